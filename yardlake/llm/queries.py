@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, quality_rules, toxicity
+from . import language_id, line_dedup, packing, quality_rules, simhash, toxicity
 from .common import crc_of_id, table
 
 
@@ -57,5 +57,32 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), F.col("toxicity.score").alias("score"), F.col("toxicity.predicted").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op9_toxicity)}
-ORACLE_SQL = {"op1_quality_rules": OP1_SQL}
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "line_dedup.n_lines", "line_dedup.n_dropped", F.sha2("line_dedup.kept", 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, i, ls[i] AS line, translate(trim(ls[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+gone AS (SELECT key, max(doc_id) AS last_doc FROM lines WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (SELECT doc_id, i, line, last_doc IS NOT NULL AND last_doc <> doc_id AS dropped FROM lines LEFT JOIN gone USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (dropped))::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op4_packing, op5_simhash, op7_line_dedup, op9_toxicity)}
+ORACLE_SQL = {"op1_quality_rules": OP1_SQL, "op7_line_dedup": OP7_SQL}
