@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, language_id, line_dedup, packing, quality_rules, simhash, toxicity
+from . import byte_bpe, chat_format, language_id, line_dedup, media_sniff, packing, quality_rules, simhash, token_counts, toxicity
 from .common import crc_of_id, table
 
 
@@ -131,5 +131,15 @@ FROM marked GROUP BY doc_id
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_byte_bpe, op4_packing, op5_simhash, op6_chat_format, op7_line_dedup, op9_toxicity)}
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens of every document, counted in token files that are written first."""
+    folder = token_counts.write_flat(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return token_counts.scan(spark, folder).select("doc_id", "n_tokens")
+
+
+def op10_media_sniff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_sniff.store_and_read(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "media.*")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_byte_bpe, op4_packing, op5_simhash, op6_chat_format, op7_line_dedup, op8_token_counts, op9_toxicity, op10_media_sniff)}
 ORACLE_SQL = {"op1_quality_rules": OP1_SQL, "op6_chat_format": OP6_SQL, "op7_line_dedup": OP7_SQL}
