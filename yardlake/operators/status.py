@@ -47,3 +47,30 @@ def current(events: DataFrame) -> DataFrame:
     newest = F.max_by(F.struct("event_time_parsed", "event_type_norm", "facility"), order).alias("n")
     attributes = [F.max_by(a, F.when(F.col(a).isNotNull(), order)).alias(a) for a in ATTRIBUTES]
     return events.groupBy("container_no_norm").agg(newest, *attributes).select("container_no_norm", "n.*", *ATTRIBUTES)
+
+
+ORDER = "event_time_parsed timestamp, event_type_norm string, event_id_generated string"
+
+
+def state(events: DataFrame) -> DataFrame:
+    """As current, but with the order of the event that told each value beside it, so that states can be merged."""
+    order = F.struct("event_time_parsed", "event_type_norm", "event_id_generated")
+    told = [F.max(F.when(F.col(a).isNotNull(), F.struct(order.alias("at"), F.col(a).alias("value")))).alias(a) for a in ATTRIBUTES]
+    return events.groupBy("container_no_norm").agg(F.max(F.struct(order.alias("at"), F.col("facility").alias("value"))).alias("newest"), *told)
+
+
+def merged(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Two states as one: what the state of all their events would be, in whatever order they came."""
+    both = target.unionByName(source)
+    return both.groupBy("container_no_norm").agg(*[F.max(c).alias(c) for c in ("newest", *ATTRIBUTES)])
+
+
+def visible(states: DataFrame) -> DataFrame:
+    """The columns of current()."""
+    return states.select(
+        "container_no_norm", F.col("newest.at.event_time_parsed").alias("event_time_parsed"), F.col("newest.at.event_type_norm").alias("event_type_norm"),
+        F.col("newest.value").alias("facility"), *[F.col(f"{a}.value").alias(a) for a in ATTRIBUTES],
+    )
+
+
+STATE = "container_no_norm string, " + ", ".join(f"{c} struct<at: struct<{ORDER.replace(' ', ': ').replace(',:', ',')}>, value: string>" for c in ("newest", *ATTRIBUTES))
