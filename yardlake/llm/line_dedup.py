@@ -91,8 +91,9 @@ def repeated(lines: DataFrame, batches: int = BATCHES) -> DataFrame:
     return lines.join(gone, ["h1", "h2"]).where("doc <> last_doc").select("doc", "pos")
 
 
-@F.pandas_udf("string")
 def without(texts: pd.Series, positions: pd.Series) -> pd.Series:
+    """The texts less the lines at these positions (null: none)."""
+
     def cut(text: str, gone) -> str:
         gone = set(gone)
         return "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
@@ -113,7 +114,7 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", into:
     side = gone.select(F.col("doc").alias("__doc"), F.col("gone").alias("__gone"))
     joined = df.join(side, doc == F.col("__doc"), "left")
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    kept = without(whole, F.col("__gone"))
+    kept = F.pandas_udf(without, "string")(whole, F.col("__gone"))
     made = F.struct(
         (F.length(whole) - F.length(F.replace(whole, F.lit("\n"))) + 1).cast("long").alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"),
