@@ -17,7 +17,7 @@ class Files:
     """The Hadoop file system that a path lies in."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.jvm = spark.sparkContext._jvm
+        self.jvm, self.gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
         self.fs = self.path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def path(self, p: str):
@@ -33,12 +33,14 @@ class Files:
         self.fs.delete(self.path(p), True)
 
     def put(self, p: str, text: str) -> None:
-        """Written aside and renamed, so that a reader sees the old file or the new one."""
+        """Written aside and renamed over the old one, so that a reader sees one or the other."""
         out = self.fs.create(self.path(f"{p}.new"), True)
         out.write(bytearray(text.encode()))
         out.close()
-        self.delete(p)
-        self.fs.rename(self.path(f"{p}.new"), self.path(p))
+        overwrite = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
+        how = self.gateway.new_array(overwrite, 1)
+        how[0] = overwrite.OVERWRITE
+        self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.fs.getConf()).rename(self.path(f"{p}.new"), self.path(p), how)
 
     def get(self, p: str) -> str:
         stream = self.fs.open(self.path(p))
