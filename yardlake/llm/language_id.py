@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import struct_of, text_column
+from .common import slices, struct_of, text_column
 
 DIMENSIONS = 512
 #: Letters share this many vectors by code point; the first stands for whatever is not a letter.
@@ -86,10 +86,11 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np
             names = batch.column("lang").to_pylist()
             numbers = {x: i for i, x in enumerate(dict.fromkeys(names))}
             group = np.array([numbers[x] for x in names], np.int64)
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 500):
-                owner, codes = trigrams(texts[at : at + 500])
-                found = bundles(group[at : at + 500][owner], codes, len(numbers))
+            at = 0
+            for texts in slices(batch.column("text")):
+                owner, codes = trigrams(texts.to_pylist())
+                found = bundles(group[at : at + len(texts)][owner], codes, len(numbers))
+                at += len(texts)
                 for x, i in numbers.items():
                     totals[x] = totals.get(x, 0) + found[i].astype(np.float64)
         for x, v in totals.items():

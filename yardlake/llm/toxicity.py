@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import struct_of, text_column, written
+from .common import slices, struct_of, text_column, written
 
 ORDERS = (3, 4, 5, 6)
 BINS = 1 << 20
@@ -85,10 +85,11 @@ def counts(train: DataFrame) -> DataFrame:
         rows = np.zeros(2, np.int64)
         for batch in batches:
             labels = np.array(batch.column("label").to_pylist(), np.int64)
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 500):
-                owner, bins = features(texts[at : at + 500])
-                part = labels[at : at + 500]
+            at = 0
+            for texts in slices(batch.column("text")):
+                owner, bins = features(texts.to_pylist())
+                part = labels[at : at + len(texts)]
+                at += len(texts)
                 rows += np.bincount(part, minlength=2)
                 for label in (0, 1):
                     total[label] += np.bincount(bins[part[owner] == label], minlength=BINS)
@@ -124,12 +125,12 @@ def fit(train: DataFrame) -> Model:
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 500):
-                part = texts[at : at + 500]
-                owner, found = features(part, wanted)
-                cuts = np.searchsorted(owner, np.arange(len(part) + 1))
-                yield pa.RecordBatch.from_pydict({"label": batch.column("label").slice(at, len(part)), "bins": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(found, pa.int32()))})
+            at = 0
+            for texts in slices(batch.column("text")):
+                owner, found = features(texts.to_pylist(), wanted)
+                cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+                yield pa.RecordBatch.from_pydict({"label": batch.column("label").slice(at, len(texts)), "bins": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(found, pa.int32()))})
+                at += len(texts)
 
     first = lambda k: train.where(F.col("label") == k).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT_ROWS)
     ids = first(0).union(first(1)).distinct()
