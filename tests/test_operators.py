@@ -54,3 +54,23 @@ def test_daily_inventory_counts_the_out_day(spark):
     df = spark.createDataFrame([row("A", 0, 0), row("B", 0, 2), row("C", 1, None)], "container_no_norm string, facility string, gate_in_time timestamp, gate_out_time timestamp")
     got = kpi.daily_inventory(df, F.lit("2024-01-04 00:00:00").cast("timestamp"), 5).orderBy("operational_date").collect()
     assert [r.inventory_eod for r in got] == [0, 0, 2, 2, 2, 1]
+
+
+def test_batch_run_is_repeatable(spark, tmp_path):
+    from yardlake.plans import batch, given
+
+    sf, days = "/root/testdata/sf0.001", batch.Lookbacks(daily=40)
+    gate_rows, yard_rows = given.clean_events(spark, sf, "gate"), given.clean_events(spark, sf, "yard_move")
+    made = cycles.cycles(gate_rows)
+    run = lambda n, as_of: batch.run_kpis(spark, gate_rows, yard_rows, made, f"file://{tmp_path}/gold", n, as_of, days)
+    plain = lambda row: str([round(x, 6) if isinstance(x, float) else x for x in row])  # noqa: E731  sums of doubles end as they come
+    seen = lambda tables: {k: sorted(map(plain, t.read().collect())) for k, t in tables.items()}
+    first = seen(run(0, given.as_of()))
+    again = run(1, given.as_of())
+    assert seen(again) == first and all(first.values())
+    assert seen(run(1, given.as_of())) == first
+    later = run(2, F.lit("2024-02-02 00:00:00").cast("timestamp"))["gold_kpi_daily"].read()
+    assert later.groupBy(*batch.DAILY_KEY).count().where("count > 1").count() == 0
+    batch.register_all(spark, "yard_gold", again)
+    assert spark.table("yard_gold.gold_kpi_shift").count() == len(first["gold_kpi_shift"])
+    spark.sql("DROP SCHEMA yard_gold CASCADE")
