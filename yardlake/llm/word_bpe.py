@@ -1,31 +1,29 @@
 """Token ids of whole texts by a word-level tokenizer file, word by word with a memo.
 
-The tokenizer drops white space and never joins what it separates, so a text's ids are those of its white-space-separated
-chunks one after the other. Common chunks are encoded once per worker.
+The tokenizer drops white space, ignores case and never joins letters with other signs, so a text's ids are those of its
+white-space-separated chunks one after the other, and a word's closing full stop or comma can be encoded on its own.
+Chunks are encoded once per worker as long as they are kept. ASCII letters are lowered and ASCII white space is split here;
+all other cases of either are left to the tokenizer.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 import public_tokenizers
 
 NAME = "word_bpe_49k.json"
-#: White space as the tokenizer's pattern has it; Python's own split() takes more.
-SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-ODD = re.compile(r"[\x1c-\x1f]")
 #: A special token of the file; no chunk without its first two characters has its id.
 SEPARATOR = "<|endoftext|>"
 #: Chunks kept per worker, some 150 MB.
 MEMO = 800_000
 #: Chunks that the tokenizer gets as one string, with a special token between them.
-JOINED = 64
+JOINED = 256
 
 
 class Encoder:
-    """encode(texts) -> one uint32 array of ids per text."""
+    """encode(texts) -> one uint32 array of ids per text, which may be str, UTF-8 bytes or None."""
 
     def __init__(self, file: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,28 +31,42 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(file or public_tokenizers.path(NAME))
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        chunks = [(SPACE.split(t) if ODD.search(t) else t.split()) if t else [] for t in texts]
+    def _plain(self, text: bytes | str) -> bytes:
+        raw = text.encode("utf-8", "replace") if isinstance(text, str) else text
+        return raw if b"<|" in raw else raw.lower()  # special tokens are told by their case
+
+    def _alone(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, new: set[bytes]) -> None:
         memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        new = list({c for part in chunks for c in part if c not in memo})
-        plain = [c for c in new if "<|" not in c]
-        for at in range(0, len(plain), JOINED * 256):
-            part = plain[at : at + JOINED * 256]
-            groups = [part[i : i + JOINED] for i in range(0, len(part), JOINED)]
-            for group, found in zip(groups, self.tokenizer.encode_batch_fast([SEPARATOR.join(g) for g in groups], add_special_tokens=False), strict=True):
-                ids = np.array(found.ids, "<u4")
-                cuts = [-1, *np.flatnonzero(ids == self.separator).tolist(), len(ids)]
-                raw = ids.tobytes()
-                for chunk, i, j in zip(group, cuts, cuts[1:], strict=False):
-                    memo[chunk] = raw[4 * i + 4 : 4 * j]
-        for chunk in new:
-            if "<|" in chunk:
-                memo[chunk] = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        get = memo.__getitem__
+        closed = [c for c in new if c[-1:] in (b".", b",") and c[-2:-1].isalpha()]
+        bare = new.difference(closed).union(c[:-1] for c in closed).difference(memo)
+        plain = [c for c in bare if b"<|" not in c]
+        for at in range(0, len(plain), JOINED):
+            group = plain[at : at + JOINED]
+            joined = SEPARATOR.join([c.decode() for c in group])
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            cuts = [-4, *(4 * np.flatnonzero(ids == self.separator)).tolist(), 4 * len(ids)]
+            raw = ids.tobytes()
+            for chunk, i, j in zip(group, cuts, cuts[1:], strict=False):
+                memo[chunk] = raw[i + 4 : j]
+        for chunk in bare.difference(plain):
+            memo[chunk] = self._alone(chunk.decode())
+        ends = {end: self._alone(end.decode()) for end in (b".", b",")} if closed else {}
+        for chunk in closed:
+            memo[chunk] = memo[chunk[:-1]] + ends[chunk[-1:]]
+
+    def encode(self, texts: list) -> list[np.ndarray]:
+        chunks = [self._plain(t).split() if t else [] for t in texts]
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+        new = set().union(*chunks).difference(self.memo)
+        if new:
+            self._learn(new)
+        get = self.memo.__getitem__
         return [np.frombuffer(b"".join(map(get, part)), "<u4") for part in chunks]
 
 
