@@ -14,9 +14,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from yardlake.llm import chat_format, line_dedup, packing, queries, simhash, token_counts
-from yardlake.llm.common import table
+from yardlake.llm.common import shared_folder, table
 from yardlake.llm.components import components
 from yardlake.llm.word_bpe import Encoder
+from yardlake.sources.sinks import Files
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,6 +37,28 @@ def test_query_equals_sql(spark, name):
 # Packing
 
 
+ODD_TEXTS = [
+    "A<|EndOfText|>B <|ENDOFTEXT|> x<|endoftext|>y", "ΣΑΣ Σ. ΟΔΟΣ, İ. Å, A\u030a. é, 1. 2, a\xa0b. c D, x..y,. .,. (a). A\x1fB\x85C ﬁ. ǅ, ß.", "", " \n", "don't 'S. it's,",
+]
+
+
+def test_word_encoder_equals_library():
+    e = Encoder()
+    for _ in range(2):  # the second time from memory
+        for text, ids in zip(ODD_TEXTS, e.encode(ODD_TEXTS), strict=True):
+            assert ids.tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aB,. \n\té<|>'\x1f\x85\u2003s1"), max_size=40))
+def test_word_encoder_on_any_text(text):
+    e = ENCODER
+    assert e.encode([text])[0].tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+ENCODER = Encoder()
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=120))
 def test_best_fit(lengths):
@@ -281,4 +304,8 @@ def test_pipeline_end_to_end(spark, pipeline):
         g = groups[slow_print(r.text)]
         least[g] = min(least.get(g, r.doc_id), r.doc_id)
     assert {r.doc_id for r in single.collect()} == set(least.values())
-    assert pipeline.run(spark, SF).count() > 0
+    folder = shared_folder(spark)
+    before = set(Files(spark, folder).names(folder))
+    pieces = pipeline.run(spark, SF)
+    left = set(Files(spark, folder).names(folder)) - before
+    assert pieces.count() > 0 and len(left) == 1 and left.pop().startswith("stage-packing")

@@ -27,9 +27,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scratch: list[str] = []
+
+
 def scratch(spark: SparkSession, what: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses. It stays until clean_up()."""
+    path = f"{shared_folder(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    return len(_scratch)
+
+
+def clean_up(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Removes the scratch paths made since a mark, but for those that `keep` reads. Only for when no DataFrame that
+    reads them is still to be run."""
+    used = [f.rpartition("/")[0] for f in keep.inputFiles()] if keep is not None else []
+    plain = lambda p: p.removeprefix("file:").lstrip("/")
+    kept = {plain(p) for p in used}
+    for path in _scratch[since:]:
+        if plain(path) not in kept:
+            remove(spark, path)
+    _scratch[since:] = [p for p in _scratch[since:] if plain(p) in kept]
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
