@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,13 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(1)
+def own_folder() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='yardlake-')}"
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, spark.checkpoint.dir; where it is unset (tests), one of our own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='yardlake-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The cluster's shared folder, spark.checkpoint.dir; where it is unset (tests), one of our own on this machine."""
+    return spark.conf.get("spark.checkpoint.dir", None) or own_folder()
 
 
 _scratch: list[str] = []
