@@ -87,7 +87,8 @@ def repeated(lines: DataFrame, batches: int = BATCHES) -> DataFrame:
     lines = spark.read.schema("doc long, pos int, h1 long, h2 long, batch int").parquet(kept)
     for batch in range(batches):
         runs.add(lines.where(F.col("batch") == batch).withColumnRenamed("doc", "doc_id"))
-    gone = runs.table().where(F.col("n_docs") >= MIN_DOCS).select("h1", "h2", "last_doc")
+    # written first, so that both sides of the join are plain shuffles and Spark splits the partition of a hot line
+    gone = written(runs.table().where(F.col("n_docs") >= MIN_DOCS).select("h1", "h2", "last_doc"), "lines-gone")
     return lines.join(gone, ["h1", "h2"]).where("doc <> last_doc").select("doc", "pos")
 
 
