@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from functools import lru_cache
+
 from pyspark.sql import SparkSession
 
 #: UTC so that hashes of timestamps and dates do not depend on the machine; AQE sizes and splits shuffles.
@@ -16,3 +21,28 @@ SETTINGS = {
 
 def get_spark(app: str = "yardlake", **more: str) -> SparkSession:
     return SparkSession.builder.appName(app).config(map=SETTINGS | more).getOrCreate()
+
+
+@lru_cache(1)
+def package_zip() -> str:
+    """This package's modules as one file."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="yardlake-")), "yardlake.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    z.write(file, os.path.relpath(file, os.path.dirname(root)))
+    return path
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, once an application, so that they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        spark.sparkContext.addPyFile(package_zip())
+        _shipped.add(app)

@@ -13,6 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from yardlake.operators import cycles, metrics, status, upsert
 from yardlake.schemas import IN_TYPES
+from yardlake.session import ship
 from yardlake.sources.sinks import Snapshots, read_appended
 
 GOLD_TRIGGER, METRICS_TRIGGER = {"processingTime": "30 seconds"}, {"processingTime": "1 minute"}
@@ -53,6 +54,7 @@ def stateful_matches(gate: DataFrame) -> DataFrame:
         state.update((json.dumps(closed_from),))
         yield pd.DataFrame({"container_no_norm": key[0], "facility": key[1], "i": [i for i, _ in changed], "o": pd.array([o for _, o in changed], "Int64")})
 
+    ship(gate.sparkSession)
     rows = gate.where("container_no_norm is not null and facility is not null").select(*cycles.KEY, "event_time_parsed", F.unix_micros("event_time_parsed").alias("t"), (~F.col("event_type_norm").isin(IN_TYPES)).alias("is_out"))
     out = rows.groupBy(*cycles.KEY).applyInPandasWithState(step, "container_no_norm string, facility string, i long, o long", "events string", "update", GroupStateTimeout.EventTimeTimeout)
     return out.select(*cycles.KEY, F.timestamp_micros("i").alias("gate_in_time"), F.timestamp_micros("o").alias("gate_out_time"))
