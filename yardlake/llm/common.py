@@ -11,11 +11,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yardlake.session import ship
+
 #: Text bytes that a Python worker handles at once, unless one row alone has more.
 SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -93,6 +96,7 @@ def text_column(returns: str, make: Callable[[], Callable[[list], pa.Array]]) ->
             yield pa.concat_arrays(parts) if parts else pa.nulls(0)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    ship(SparkSession.active())
     made = F.arrow_udf(run, returns).asNondeterministic()
     return lambda text: made(text.cast("string"))
 
