@@ -9,6 +9,8 @@ all other cases of either are left to the tokenizer.
 from __future__ import annotations
 
 import os
+from array import array
+from unicodedata import is_normalized
 
 import numpy as np
 import public_tokenizers
@@ -20,6 +22,9 @@ SEPARATOR = "<|endoftext|>"
 MEMO = 800_000
 #: Chunks that the tokenizer gets as one string, with a special token between them.
 JOINED = 256
+#: The signs that stand for bytes in the file: printable ones for themselves, the others from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SIGNS = dict(zip([b for b in range(256) if b not in PRINTABLE], range(256, 512), strict=False))
 
 
 class Encoder:
@@ -30,6 +35,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file or public_tokenizers.path(NAME))
+        self.model = self.tokenizer.model
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
         self.memo: dict[bytes, bytes] = {}
 
@@ -44,7 +50,15 @@ class Encoder:
         memo = self.memo
         closed = [c for c in new if c[-1:] in (b".", b",") and c[-2:-1].isalpha()]
         bare = new.difference(closed).union(c[:-1] for c in closed).difference(memo)
-        plain = [c for c in bare if b"<|" not in c]
+        plain = []
+        for chunk in bare:
+            word = chunk.decode()
+            if word.isalpha() and word == word.lower() and (word.isascii() or is_normalized("NFC", word)):
+                # one word in its final form: nothing to normalize or split, so the merges alone do
+                ids = [t.id for t in self.model.tokenize(chunk.decode("latin-1").translate(BYTE_SIGNS))]
+                memo[chunk] = array("I", ids).tobytes()
+            elif b"<|" not in chunk:
+                plain.append(chunk)
         for at in range(0, len(plain), JOINED):
             group = plain[at : at + JOINED]
             joined = SEPARATOR.join([c.decode() for c in group])
@@ -53,8 +67,9 @@ class Encoder:
             raw = ids.tobytes()
             for chunk, i, j in zip(group, cuts, cuts[1:], strict=False):
                 memo[chunk] = raw[i + 4 : j]
-        for chunk in bare.difference(plain):
-            memo[chunk] = self._alone(chunk.decode())
+        for chunk in bare:
+            if chunk not in memo:
+                memo[chunk] = self._alone(chunk.decode())
         ends = {end: self._alone(end.decode()) for end in (b".", b",")} if closed else {}
         for chunk in closed:
             memo[chunk] = memo[chunk[:-1]] + ends[chunk[-1:]]
