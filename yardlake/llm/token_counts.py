@@ -15,7 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, text_column
+from yardlake.session import ship
+
+from .common import scratch, slices
 from .word_bpe import encoder
 
 #: Not an id of the tokenizer. Its second byte is the line separator of Spark's text writer, which closes each document.
@@ -36,26 +38,25 @@ def read_header(ids: np.ndarray) -> int | None:
     return None if n >> 74 else n - (1 << 63)
 
 
-def write_flat(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folder: str | None = None) -> str:
-    """Token files of all rows, written by Spark's text writer to a folder it reaches; null texts are empty."""
-
-    def make():
-        encode = encoder().encode
-
-        def work(texts: list) -> pa.Array:
-            return pa.array([ids.astype(">u2").tobytes() for ids in encode(texts)], pa.binary())
+def documents_bytes(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Header, ids and the first byte of END_OF_DOC of each (id, text)."""
+    encode, close = encoder().encode, bytes([END_OF_DOC >> 8])
+    for numbers, texts in batches:
+        parts, at = [], 0
+        for part in slices(texts):
+            ids = encode(part.to_pylist())
+            heads = map(header, numbers.slice(at, len(part)).to_pylist())
+            parts.append(pa.array([b"".join((h, x.astype(">u2").tobytes(), close)) for h, x in zip(heads, ids, strict=True)], pa.binary()))
+            at += len(part)
+        yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
-        return work
 
+def write_flat(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folder: str | None = None) -> str:
+    """Token files of all rows, written by Spark's text writer to a folder it reaches; null texts are empty."""
+    ship(df.sparkSession)
     folder = folder or scratch(df.sparkSession, "tokens")
-    number = F.when(F.col(doc_id).isNull(), F.lit(None)).otherwise(F.col(doc_id).cast("long"))
-
-    @F.pandas_udf("binary")
-    def heads(ids: pd.Series) -> pd.Series:
-        return pd.Series([header(None if x is None else int(x)) for x in ids], dtype=object)
-
-    rows = df.select(F.concat(heads(number.cast("string")), text_column("binary", make)(F.col(text)), F.lit(bytes([END_OF_DOC >> 8]))).alias("doc"))
-    rows.select(F.col("doc").cast("string").alias("value")).write.option("lineSep", chr(END_OF_DOC & 0xFF)).text(folder)
+    made = F.arrow_udf(documents_bytes, "binary")(F.col(doc_id).cast("long"), F.col(text).cast("string"))
+    df.select(made.cast("string").alias("value")).write.option("lineSep", chr(END_OF_DOC & 0xFF)).text(folder)
     return folder
 
 
