@@ -1,0 +1,27 @@
+"""What the toxicity regression is fitted on."""
+
+import numpy as np
+
+from yardlake.llm import toxicity
+
+
+def test_weight_is_as_repeated_rows():
+    rnd = np.random.default_rng(5)
+    r = rnd.choice([-1.0, 1.0], 40)
+    column = np.concatenate([rnd.choice(40, 4, replace=False) for _ in range(200)])
+    y = (np.arange(200) % 2).astype(float)
+    each = np.where(y == 1, 1, 8)
+    w, bias = toxicity.regress(np.repeat(np.arange(200), 4), column, r, y, each.astype(float), steps=3)
+    many = np.repeat(column.reshape(200, 4), each, axis=0)
+    w_all, bias_all = toxicity.regress(np.repeat(np.arange(len(many)), 4), many.ravel(), r, np.repeat(y, each), np.ones(len(many)), steps=3)
+    assert np.allclose(w, w_all, atol=0.01) and abs(bias - bias_all) < 0.01
+
+
+def test_cap_keeps_the_rate_of_labels(spark, monkeypatch):
+    rows = [(i, f"alpha bravo {i % 7}", int(i % 10 == 0)) for i in range(200)]
+    seen = []
+    monkeypatch.setattr(toxicity, "MAX_FIT_ROWS", 8)
+    monkeypatch.setattr(toxicity, "regress", lambda owner, column, r, y, weight: seen.append((y, weight)) or (np.zeros(len(r)), 0.0))
+    toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    ((y, weight),) = seen
+    assert len(y) == 16 and np.isclose(weight[y == 1].sum(), 20) and np.isclose(weight[y == 0].sum(), 180)

@@ -3,7 +3,7 @@
 A feature is the presence of a hashed character n-gram of a lower-cased word (with its edges marked) anywhere in the
 text. Its value is the log ratio of its smoothed rate in toxic and in other training documents; a logistic regression
 on these values gives the score. Counts for the ratios cover all training rows; only the regression itself sees a
-bounded sample (MAX_FIT_ROWS per label).
+bounded sample (MAX_FIT_ROWS per label), whose rows weigh so that each label counts as in all training rows.
 """
 
 from __future__ import annotations
@@ -100,24 +100,24 @@ def counts(train: DataFrame) -> DataFrame:
     return train.select("label", "text").mapInArrow(run, "label int, bin int, n long").groupBy("label", "bin").agg(F.sum("n").alias("n"))
 
 
-def ratios(train: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The kept bins, sorted, and their log-count ratios; evidence is a ratio over its standard error."""
+def ratios(train: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The kept bins, sorted, and their log-count ratios, and the rows of each label; evidence is a ratio over its standard error."""
     of = lambda k: F.coalesce(F.sum(F.when(F.col("label") == k, F.col("n"))), F.lit(0))
     counted = written(counts(train).groupBy("bin").agg(of(0).alias("clean"), of(1).alias("toxic")), "toxicity-counts")
     total = counted.where("bin = -1").collect()
     if not total or not total[0].clean or not total[0].toxic:
-        return np.zeros(0, np.int64), np.zeros(0)
+        return np.zeros(0, np.int64), np.zeros(0), np.zeros(2)
     rate = lambda c: F.log((F.col(c) + SMOOTH) / (total[0][c] + 2 * SMOOTH))
     ratio = rate("toxic") - rate("clean")
     evidence = F.abs(ratio) / F.sqrt(1 / (F.col("toxic") + SMOOTH) + 1 / (F.col("clean") + SMOOTH))
     found = counted.where((F.col("bin") >= 0) & (F.col("clean") + F.col("toxic") >= MIN_SUPPORT)).select("bin", ratio.alias("ratio"))
     best = sorted((x.bin, x.ratio) for x in found.orderBy(F.desc(evidence), "bin").limit(MAX_FEATURES).collect())
-    return np.array([b for b, _ in best], np.int64), np.array([x for _, x in best])
+    return np.array([b for b, _ in best], np.int64), np.array([x for _, x in best]), np.array([total[0].clean, total[0].toxic], float)
 
 
 def fit(train: DataFrame) -> Model:
     """train: doc_id, text, label 0 or 1. Where one of the labels is missing every score is about 0."""
-    bins, r = ratios(train)
+    bins, r, n_rows = ratios(train)
     if not len(bins):
         return Model(bins, r, -50.0)
     wanted = np.zeros(BINS, bool)
@@ -139,18 +139,20 @@ def fit(train: DataFrame) -> Model:
     y = rows["label"].to_numpy(float)
     owner = np.repeat(np.arange(len(rows)), [len(x) for x in rows["bins"]])
     column = np.searchsorted(bins, np.concatenate([*rows["bins"], np.zeros(0, np.int64)]).astype(np.int64))
-    w, bias = regress(owner, column, r, y)
+    found = np.bincount(rows["label"], minlength=2)
+    w, bias = regress(owner, column, r, y, (n_rows / np.maximum(found, 1))[rows["label"]])
     return Model(bins, w * r, bias)
 
 
-def regress(owner: np.ndarray, column: np.ndarray, r: np.ndarray, y: np.ndarray, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by accelerated gradient steps; labels weigh as they are found."""
+def regress(owner: np.ndarray, column: np.ndarray, r: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 300) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression by accelerated gradient steps. weight: the training rows that each row stands for."""
     n, value = len(y), r[column]
     rate = 1 / (0.25 * max(np.bincount(owner, value**2, n).max(), 1.0) + RIDGE)
-    w, bias = np.zeros(len(r)), float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
+    w, bias = np.zeros(len(r)), float(np.log(((weight * y).sum() + 1) / ((weight * (1 - y)).sum() + 1)))
+    weight = weight * (n / weight.sum())
     v, vb = w.copy(), bias
     for k in range(steps):
-        miss = 1 / (1 + np.exp(-np.clip(np.bincount(owner, value * v[column], n) + vb, -50, 50))) - y
+        miss = weight * (1 / (1 + np.exp(-np.clip(np.bincount(owner, value * v[column], n) + vb, -50, 50))) - y)
         # the rate is that of the most curved row; the mean loss bears longer steps
         new = v - rate * (np.bincount(column, value * miss[owner], len(r)) / n * 40 + RIDGE * v)
         new_b = vb - rate * miss.mean() * 40
