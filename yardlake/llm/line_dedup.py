@@ -71,25 +71,25 @@ class LineRuns:
 
 
 def lines_of(df: DataFrame) -> DataFrame:
-    """df: doc, text. Gives doc, pos, h1, h2 of the lines whose key has MIN_CHARS code points or more."""
-    lines = df.select("doc", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
-    key = lines.select("doc", "pos", line_key(F.col("line")).alias("key")).where(F.length("key") >= MIN_CHARS)
-    return key.select("doc", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"))
+    """df: doc, r1, r2, text. Gives doc, r1, r2, pos, h1, h2 of the lines whose key has MIN_CHARS code points or more."""
+    lines = df.select("doc", "r1", "r2", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
+    key = lines.select("doc", "r1", "r2", "pos", line_key(F.col("line")).alias("key")).where(F.length("key") >= MIN_CHARS)
+    return key.select("doc", "r1", "r2", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"))
 
 
 def repeated(lines: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """lines: doc, pos, h1, h2. Gives doc, pos of the lines to drop: keys in at least MIN_DOCS documents, but for
-    those of the largest document that holds the key."""
+    """lines: doc, r1, r2, pos, h1, h2. Gives doc, r1, r2, pos of the lines to drop: keys in at least MIN_DOCS documents,
+    but for those of the largest document that holds the key."""
     spark = lines.sparkSession
     runs = LineRuns(spark)
     kept = scratch(spark, "lines")
     lines.withColumn("batch", F.pmod(F.xxhash64("doc"), F.lit(batches))).write.partitionBy("batch").parquet(kept)
-    lines = spark.read.schema("doc long, pos int, h1 long, h2 long, batch int").parquet(kept)
+    lines = spark.read.schema("doc long, r1 long, r2 long, pos int, h1 long, h2 long, batch int").parquet(kept)
     for batch in range(batches):
         runs.add(lines.where(F.col("batch") == batch).withColumnRenamed("doc", "doc_id"))
     # written first, so that both sides of the join are plain shuffles and Spark splits the partition of a hot line
     gone = written(runs.table().where(F.col("n_docs") >= MIN_DOCS).select("h1", "h2", "last_doc"), "lines-gone")
-    return lines.join(gone, ["h1", "h2"]).where("doc <> last_doc").select("doc", "pos")
+    return lines.join(gone, ["h1", "h2"]).where("doc <> last_doc").select("doc", "r1", "r2", "pos")
 
 
 def without(texts: pd.Series, positions: pd.Series) -> pd.Series:
@@ -110,15 +110,17 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", into:
     """
     low = -(1 << 63)
     doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(low))
-    lines = lines_of(df.select(doc.alias("doc"), F.col(text).cast("string").alias("text")))
-    gone = repeated(lines).groupBy("doc").agg(F.collect_set("pos").alias("gone"))
-    side = gone.select(F.col("doc").alias("__doc"), F.col("gone").alias("__gone"))
-    joined = df.join(side, doc == F.col("__doc"), "left")
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    # positions are those of one text: rows of one id and text share them, other rows of the id have their own
+    r1, r2 = F.xxhash64(whole), F.xxhash64(F.lit("second"), whole)
+    lines = lines_of(df.select(doc.alias("doc"), r1.alias("r1"), r2.alias("r2"), whole.alias("text")))
+    gone = repeated(lines).groupBy("doc", "r1", "r2").agg(F.collect_set("pos").alias("gone"))
+    side = gone.toDF("__doc", "__r1", "__r2", "__gone")
+    joined = df.join(side, (doc == F.col("__doc")) & (r1 == F.col("__r1")) & (r2 == F.col("__r2")), "left")
     kept = F.pandas_udf(without, "string")(whole, F.col("__gone"))
     made = F.struct(
         (F.length(whole) - F.length(F.replace(whole, F.lit("\n"))) + 1).cast("long").alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"),
         kept.alias("kept"),
     )
-    return joined.withColumn(into, made).drop("__doc", "__gone")
+    return joined.withColumn(into, made).drop("__doc", "__r1", "__r2", "__gone")
