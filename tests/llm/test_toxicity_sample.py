@@ -25,3 +25,12 @@ def test_cap_keeps_the_rate_of_labels(spark, monkeypatch):
     toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, label int"))
     ((y, weight),) = seen
     assert len(y) == 16 and np.isclose(weight[y == 1].sum(), 20) and np.isclose(weight[y == 0].sum(), 180)
+
+
+def test_repeated_id_takes_one_place(spark, monkeypatch):
+    """Each of the ids is repeated in turn, so that one of them comes first by hash."""
+    monkeypatch.setattr(toxicity, "MAX_FIT_ROWS", 3)
+    for hot in range(5):
+        rows = [(i, f"text {i} {k % 2}", 1) for i in range(5) for k in range(40 if i == hot else 1)] + [(9, "clean", 0)]
+        got = toxicity.sample(spark.createDataFrame(rows, "doc_id long, text string, label int")).collect()
+        assert len(got) == 4 and len({r.text.split()[1] for r in got if r.label}) == 3

@@ -115,6 +115,15 @@ def ratios(train: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array([b for b, _ in best], np.int64), np.array([x for _, x in best]), np.array([total[0].clean, total[0].toxic], float)
 
 
+def sample(train: DataFrame) -> DataFrame:
+    """label, text: of each label MAX_FIT_ROWS documents at most, lowest hash of the id first, and one row of each, that of the least text hash."""
+    ids = train.select("label", "doc_id").distinct()
+    first = lambda k: ids.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT_ROWS)
+    chosen = train.join(F.broadcast(first(0).union(first(1))), ["label", "doc_id"], "left_semi")  # 2 * MAX_FIT_ROWS ids at most
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))
+    return chosen.groupBy("label", "doc_id").agg(least.alias("least")).select("label", "least.text")
+
+
 def fit(train: DataFrame) -> Model:
     """train: doc_id, text, label 0 or 1. Where one of the labels is missing every score is about 0."""
     bins, r, n_rows = ratios(train)
@@ -132,10 +141,7 @@ def fit(train: DataFrame) -> Model:
                 yield pa.RecordBatch.from_pydict({"label": batch.column("label").slice(at, len(texts)), "bins": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(found, pa.int32()))})
                 at += len(texts)
 
-    first = lambda k: train.where(F.col("label") == k).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT_ROWS)
-    ids = first(0).union(first(1)).distinct()
-    chosen = train.join(F.broadcast(ids), "doc_id", "left_semi")  # 2 * MAX_FIT_ROWS ids at most
-    rows = chosen.select("label", "text").mapInArrow(run, "label int, bins array<int>").toPandas()
+    rows = sample(train).select("label", "text").mapInArrow(run, "label int, bins array<int>").toPandas()
     y = rows["label"].to_numpy(float)
     owner = np.repeat(np.arange(len(rows)), [len(x) for x in rows["bins"]])
     column = np.searchsorted(bins, np.concatenate([*rows["bins"], np.zeros(0, np.int64)]).astype(np.int64))
