@@ -1,12 +1,13 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter owns a random vector of +1 and -1. A trigram's vector binds (multiplies) its letters'
-vectors, the first rolled twice, the second once; a text bundles (adds) the vectors of its trigrams; a
-language's prototype bundles all training texts of it. The prediction is the prototype of highest cosine.
+Every letter of Unicode owns a random vector of +1 and -1, made from a hash of its code point. A trigram's vector binds
+(multiplies) its letters' vectors, the first rolled twice, the second once; a text bundles (adds) the vectors of its
+trigrams; a language's prototype bundles all training texts of it. The prediction is the prototype of highest cosine.
 """
 
 from __future__ import annotations
 
+import sys
 from functools import lru_cache
 
 import numpy as np
@@ -14,38 +15,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yardlake.session import ship
+
 from .common import slices, struct_of, text_column
 
-DIMENSIONS = 512
-#: Letters share this many vectors by code point; the first stands for whatever is not a letter.
-ALPHABET = 1024
+DIMENSIONS = 2048
 SEED = 20
 UNKNOWN = "und"
 #: Trigram vectors that are held at once.
 BLOCK = 4096
+#: Bits of a code point within a trigram's code.
+WIDTH = 21
 
 
-@lru_cache(1)
-def letter_vectors() -> np.ndarray:
-    return np.random.default_rng(SEED).choice(np.array([-1, 1], np.int8), (ALPHABET, DIMENSIONS))
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """64 bits of hash of each 64-bit number: multiplications and shifts, as random generators end with."""
+    with np.errstate(over="ignore"):
+        x = (x + np.uint64(SEED)) * np.uint64(0x9E3779B97F4A7C15)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        return x ^ (x >> np.uint64(31))
+
+
+def letter_vectors(letters: np.ndarray) -> np.ndarray:
+    """The vectors of letters given by code point; 0 stands for whatever is not a letter and has one too."""
+    words = letters.astype(np.uint64)[:, None] * np.uint64(DIMENSIONS // 64) + np.arange(DIMENSIONS // 64, dtype=np.uint64)
+    bits = np.unpackbits(scrambled(words).astype("<u8").view(np.uint8).reshape(len(letters), -1), axis=1)
+    return (bits.astype(np.int8) << 1) - np.int8(1)
 
 
 @lru_cache(1)
 def letter_numbers() -> np.ndarray:
-    """For each code point its letter's number, 0 for anything but a letter; case does not count."""
-    out = np.zeros(0x110000, np.int32)
-    for cp in range(0x30000):
-        c = chr(cp)
-        if c.isalpha():
-            low = ord(c.lower()[0])
-            out[cp] = 1 + low % (ALPHABET - 1)
+    """For each code point the lower-case code point where it is a letter, 0 for anything else."""
+    out = np.zeros(sys.maxunicode + 1, np.int32)
+    for c in filter(str.isalpha, map(chr, range(sys.maxunicode + 1))):
+        out[ord(c)] = ord(c.lower()[0])
     return out
 
 
 def trigram_vectors(codes: np.ndarray) -> np.ndarray:
-    """Codes as numbers in base ALPHABET."""
-    v = letter_vectors()
-    first, second, third = codes // ALPHABET**2, codes // ALPHABET % ALPHABET, codes % ALPHABET
+    """Codes as three code points of WIDTH bits."""
+    mask = (1 << WIDTH) - 1
+    letters, at = np.unique(np.stack([codes >> 2 * WIDTH, codes >> WIDTH & mask, codes & mask]), return_inverse=True)
+    v, (first, second, third) = letter_vectors(letters), at.reshape(3, -1)
     return np.roll(v, 2, axis=1)[first] * np.roll(v, 1, axis=1)[second] * v[third]
 
 
@@ -55,7 +67,7 @@ def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     at = letter_numbers()[np.concatenate(parts)] if parts else np.zeros(0, np.int32)
     at = at.astype(np.int64)
-    codes = (at[:-2] * ALPHABET + at[1:-1]) * ALPHABET + at[2:]
+    codes = (at[:-2] << 2 * WIDTH) | (at[1:-1] << WIDTH) | at[2:]
     inside = at[1:-1] > 0  # each text begins and ends with a space, so no such trigram spans two
     return owner[1:-1][inside], codes[inside]
 
@@ -96,6 +108,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np
         for x, v in totals.items():
             yield pa.RecordBatch.from_pydict({"lang": [x] * DIMENSIONS, "i": np.arange(DIMENSIONS, dtype=np.int32), "v": v})
 
+    ship(df.sparkSession)
     slim = df.select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text")).where("lang is not null and text is not null")
     sums = slim.mapInArrow(run, "lang string, i int, v double").groupBy("lang", "i").agg(F.sum("v").alias("v"))
     out: dict[str, np.ndarray] = {}
