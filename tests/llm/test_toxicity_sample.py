@@ -1,8 +1,13 @@
 """What the toxicity regression is fitted on."""
 
+import random
+import re
+import zlib
+from collections import Counter
+
 import numpy as np
 
-from yardlake.llm import toxicity
+from yardlake.llm import queries, toxicity
 
 
 def test_weight_is_as_repeated_rows():
@@ -11,17 +16,88 @@ def test_weight_is_as_repeated_rows():
     column = np.concatenate([rnd.choice(40, 4, replace=False) for _ in range(200)])
     y = (np.arange(200) % 2).astype(float)
     each = np.where(y == 1, 1, 8)
-    w, bias = toxicity.regress(np.repeat(np.arange(200), 4), column, r, y, each.astype(float), steps=3)
+    w, bias = toxicity.regress(np.repeat(np.arange(200), 4), column, r[column], y, each.astype(float), 40)
     many = np.repeat(column.reshape(200, 4), each, axis=0)
-    w_all, bias_all = toxicity.regress(np.repeat(np.arange(len(many)), 4), many.ravel(), r, np.repeat(y, each), np.ones(len(many)), steps=3)
+    w_all, bias_all = toxicity.regress(np.repeat(np.arange(len(many)), 4), many.ravel(), r[many.ravel()], np.repeat(y, each), np.ones(len(many)), 40)
     assert np.allclose(w, w_all, atol=0.01) and abs(bias - bias_all) < 0.01
 
 
+def test_regression_ends_where_the_gradient_is_zero():
+    rnd = np.random.default_rng(6)
+    owner, column = np.repeat(np.arange(500), 6), rnd.integers(0, 80, 3000)
+    value, y, weight = rnd.normal(0, 3, 3000), rnd.integers(0, 2, 500).astype(float), rnd.uniform(0.5, 4, 500)
+    w, bias = toxicity.regress(owner, column, value, y, weight, 80)
+    loss, g, gb = toxicity.gradient(w, bias, owner, column, value, y, weight / weight.sum())
+    assert max(np.abs(g).max(), abs(gb)) < toxicity.TOLERANCE
+    for _ in range(20):  # the loss is convex: no other place is lower
+        other = toxicity.gradient(w + rnd.normal(0, 0.05, 80), bias + rnd.normal(0, 0.05), owner, column, value, y, weight / weight.sum())
+        assert other[0] >= loss
+
+
+def slow_bins(text):
+    """How often each bin is in a text: n-grams within a word and its edges, one after another."""
+    out = Counter()
+    for word in re.split(r"[\W_]+", (text or "").lower()):
+        padded = f" {word} " if word else ""
+        for k in toxicity.ORDERS:
+            for i in range(len(padded) - k + 1):
+                h = k
+                for c in padded[i : i + k]:
+                    h = (h ^ ord(c)) * 0x9E3779B97F4A7C15 % (1 << 64)
+                    h ^= h >> 29
+                out[h >> 44] += 1
+    return out
+
+
+def slow_scores(train, texts):
+    """train: (text, label). Ratios from counts, then Newton's steps on the whole matrix."""
+    rows, y = [slow_bins(t) for t, _ in train], np.array([label for _, label in train], float)
+    n = [sum(y == 0), sum(y == 1)]
+    holders = [Counter(b for r, label in zip(rows, y, strict=True) if label == k for b in r) for k in (0, 1)]
+    ratio, evidence = {}, {}
+    for b in set(holders[0]) | set(holders[1]):
+        if holders[0][b] + holders[1][b] >= toxicity.MIN_SUPPORT:
+            ratio[b] = np.log((holders[1][b] + 0.5) / (n[1] + 1)) - np.log((holders[0][b] + 0.5) / (n[0] + 1))
+            evidence[b] = abs(ratio[b]) / np.sqrt(1 / (holders[1][b] + 0.5) + 1 / (holders[0][b] + 0.5))
+    bins = sorted(sorted(ratio, key=lambda b: (-evidence[b], b))[: toxicity.MAX_FEATURES])
+    matrix = lambda rs: np.array([[np.log2(1 + r[b]) * ratio[b] for b in bins] + [1.0] for r in rs])
+    x, ridge = matrix(rows), np.diag([toxicity.RIDGE] * len(bins) + [0.0])
+    w = np.zeros(len(bins) + 1)
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-x @ w))
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) / len(y) + ridge + 1e-12 * np.eye(len(w)), x.T @ (p - y) / len(y) + ridge @ w)
+        w = w - step
+    return 1 / (1 + np.exp(-matrix([slow_bins(t) for t in texts]) @ w)), holders, ratio
+
+
+def test_query_equals_brute_force(spark, tmp_path):
+    rnd = random.Random(4)
+    words, bad = ["house", "garden", "Water", "stone_wall", "river", "été", "x"], ["vile", "rotten"]
+    docs = []
+    for i in range(150):
+        toxic = int(rnd.random() < 0.3)
+        docs.append((i, " ".join(rnd.choices(words, k=8) + (rnd.choices(bad, k=2) if toxic else rnd.choices(bad, k=1) * (rnd.random() < 0.1))), toxic))
+    docs += [(900, None, 1), (901, "", 0), (902, "vile vile vile", None)]
+    spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame([(d[0], 0, d[2]) for d in docs], "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    got = sorted(queries.op9_toxicity(spark, f"file://{tmp_path}").collect())
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    train = [(t, y) for i, t, y in docs if not held(i) and t is not None and y is not None]
+    want, holders, ratio = slow_scores(train, [t for _, t, _ in docs])
+    assert [(r.doc_id, r.held_out) for r in got] == [(i, held(i)) for i, _, _ in docs]
+    assert np.allclose([r.score for r in got], want, atol=2e-3) and all(r.predicted == (r.score >= 0.7) for r in got)
+    rows = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(train)], "doc_id long, text string, label int")
+    counted = {(r.label, r.bin): r.n for r in toxicity.counts(rows).collect()}
+    assert counted == {(k, b): n for k in (0, 1) for b, n in holders[k].items()} | {(k, -1): sum(y == k for _, y in train) for k in (0, 1)}
+    bins, r, _ = toxicity.ratios(rows)
+    assert all(np.isclose(ratio[b], x) for b, x in zip(bins.tolist(), r, strict=True)) and len(bins) == min(len(ratio), toxicity.MAX_FEATURES)
+
+
 def test_cap_keeps_the_rate_of_labels(spark, monkeypatch):
     rows = [(i, f"alpha bravo {i % 7}", int(i % 10 == 0)) for i in range(200)]
     seen = []
     monkeypatch.setattr(toxicity, "MAX_FIT_ROWS", 8)
-    monkeypatch.setattr(toxicity, "regress", lambda owner, column, r, y, weight: seen.append((y, weight)) or (np.zeros(len(r)), 0.0))
+    monkeypatch.setattr(toxicity, "regress", lambda owner, column, value, y, weight, n: seen.append((y, weight)) or (np.zeros(n), 0.0))
     toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, label int"))
     ((y, weight),) = seen
     assert len(y) == 16 and np.isclose(weight[y == 1].sum(), 20) and np.isclose(weight[y == 0].sum(), 180)

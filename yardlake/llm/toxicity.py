@@ -1,9 +1,10 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-A feature is the presence of a hashed character n-gram of a lower-cased word (with its edges marked) anywhere in the
-text. Its value is the log ratio of its smoothed rate in toxic and in other training documents; a logistic regression
-on these values gives the score. Counts for the ratios cover all training rows; only the regression itself sees a
-bounded sample (MAX_FIT_ROWS per label), whose rows weigh so that each label counts as in all training rows.
+A feature is a hashed character n-gram of a lower-cased word (with its edges marked). Its value in a text is the log
+ratio of its smoothed rates in toxic and in other training documents, times the logarithm of how often the text has it; a
+logistic regression on these values gives the score. Counts for the ratios cover all training rows; only the
+regression itself sees a bounded sample (MAX_FIT_ROWS per label), whose rows weigh so that each label counts as in
+all training rows.
 """
 
 from __future__ import annotations
@@ -16,17 +17,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yardlake.session import ship
+
 from .common import slices, struct_of, text_column, written
 
 ORDERS = (3, 4, 5, 6)
 BINS = 1 << 20
 #: Features kept: those in at least MIN_SUPPORT training documents and, of these, the MAX_FEATURES of strongest evidence.
-MIN_SUPPORT, MAX_FEATURES = 3, 1 << 12
+MIN_SUPPORT, MAX_FEATURES = 3, 1 << 10
 #: Rows of each label, lowest hash of the id first, that the regression is fitted on.
 MAX_FIT_ROWS = 6000
 THRESHOLD = 0.7
 SMOOTH = 0.5
 RIDGE = 1e-3
+#: The regression ends once no part of its gradient is larger, or after so many steps.
+TOLERANCE, MAX_STEPS = 1e-5, 5000
 SPLIT = re.compile(r"[\W_]+")
 
 
@@ -38,18 +43,23 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def score(self, owner: np.ndarray, bins: np.ndarray, n: int) -> np.ndarray:
-        """owner, bins: each pair once."""
+    def score(self, owner: np.ndarray, bins: np.ndarray, times: np.ndarray, n: int) -> np.ndarray:
+        """owner, bins: each pair once; times: how often."""
         z = np.full(n, self.bias)
         if len(self.bins) and len(bins):
             at = np.minimum(np.searchsorted(self.bins, bins), len(self.bins) - 1)
             hit = self.bins[at] == bins
-            z += np.bincount(owner[hit], self.weights[at[hit]], n)
+            z += np.bincount(owner[hit], self.weights[at[hit]] * damped(times[hit]), n)
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def features(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(text's number, bin), each pair once, sorted. wanted: a table over all bins; only the true ones are kept."""
+def damped(times: np.ndarray) -> np.ndarray:
+    """1 for one occurrence, and one more each time that they double."""
+    return np.log2(1.0 + times)
+
+
+def features(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text's number, bin, times), each pair once, sorted. wanted: a table over all bins; only the true ones are kept."""
     parts = [np.frombuffer(f" {' '.join(SPLIT.split(t.lower()))} ".encode("utf-32-le", "replace"), np.uint32) if t else np.zeros(0, np.uint32) for t in texts]
     owner = np.repeat(np.arange(len(parts), dtype=np.int64), [len(p) for p in parts])
     cp = np.concatenate([*parts, np.zeros(0, np.uint32)]).astype(np.uint64)
@@ -70,8 +80,8 @@ def features(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple
             if wanted is not None:
                 inner &= wanted[bins]
             found.append(owner[:n][inner] * BINS + bins[inner])
-    pairs = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]))
-    return pairs // BINS, pairs % BINS
+    pairs, times = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_counts=True)
+    return pairs // BINS, pairs % BINS, times
 
 
 def counts(train: DataFrame) -> DataFrame:
@@ -87,7 +97,7 @@ def counts(train: DataFrame) -> DataFrame:
             labels = np.array(batch.column("label").to_pylist(), np.int64)
             at = 0
             for texts in slices(batch.column("text")):
-                owner, bins = features(texts.to_pylist())
+                owner, bins, _ = features(texts.to_pylist())
                 part = labels[at : at + len(texts)]
                 at += len(texts)
                 rows += np.bincount(part, minlength=2)
@@ -97,6 +107,7 @@ def counts(train: DataFrame) -> DataFrame:
             at = np.flatnonzero(total[label])
             yield pa.RecordBatch.from_pydict({"label": np.full(len(at) + 1, label, np.int32), "bin": np.r_[at, -1].astype(np.int32), "n": np.r_[total[label][at], rows[label]]})
 
+    ship(train.sparkSession)
     return train.select("label", "text").mapInArrow(run, "label int, bin int, n long").groupBy("label", "bin").agg(F.sum("n").alias("n"))
 
 
@@ -136,35 +147,52 @@ def fit(train: DataFrame) -> Model:
         for batch in batches:
             at = 0
             for texts in slices(batch.column("text")):
-                owner, found = features(texts.to_pylist(), wanted)
-                cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-                yield pa.RecordBatch.from_pydict({"label": batch.column("label").slice(at, len(texts)), "bins": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(found, pa.int32()))})
+                owner, found, times = features(texts.to_pylist(), wanted)
+                cuts = pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)), pa.int32())
+                lists = {name: pa.ListArray.from_arrays(cuts, pa.array(v, pa.int32())) for name, v in (("bins", found), ("times", times))}
+                yield pa.RecordBatch.from_pydict({"label": batch.column("label").slice(at, len(texts)), **lists})
                 at += len(texts)
 
-    rows = sample(train).select("label", "text").mapInArrow(run, "label int, bins array<int>").toPandas()
+    rows = sample(train).select("label", "text").mapInArrow(run, "label int, bins array<int>, times array<int>").toPandas()
     y = rows["label"].to_numpy(float)
     owner = np.repeat(np.arange(len(rows)), [len(x) for x in rows["bins"]])
-    column = np.searchsorted(bins, np.concatenate([*rows["bins"], np.zeros(0, np.int64)]).astype(np.int64))
+    flat = lambda c: np.concatenate([*rows[c], np.zeros(0, np.int64)]).astype(np.int64)
+    column, times = np.searchsorted(bins, flat("bins")), flat("times")
     found = np.bincount(rows["label"], minlength=2)
-    w, bias = regress(owner, column, r, y, (n_rows / np.maximum(found, 1))[rows["label"]])
+    w, bias = regress(owner, column, r[column] * damped(times), y, (n_rows / np.maximum(found, 1))[rows["label"]], len(r))
     return Model(bins, w * r, bias)
 
 
-def regress(owner: np.ndarray, column: np.ndarray, r: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by accelerated gradient steps. weight: the training rows that each row stands for."""
-    n, value = len(y), r[column]
-    rate = 1 / (0.25 * max(np.bincount(owner, value**2, n).max(), 1.0) + RIDGE)
-    w, bias = np.zeros(len(r)), float(np.log(((weight * y).sum() + 1) / ((weight * (1 - y)).sum() + 1)))
-    weight = weight * (n / weight.sum())
-    v, vb = w.copy(), bias
-    for k in range(steps):
-        miss = weight * (1 / (1 + np.exp(-np.clip(np.bincount(owner, value * v[column], n) + vb, -50, 50))) - y)
-        # the rate is that of the most curved row; the mean loss bears longer steps
-        new = v - rate * (np.bincount(column, value * miss[owner], len(r)) / n * 40 + RIDGE * v)
-        new_b = vb - rate * miss.mean() * 40
-        v, vb = new + k / (k + 3) * (new - w), new_b + k / (k + 3) * (new_b - bias)
-        w, bias = new, new_b
-    return w, bias
+def gradient(w: np.ndarray, bias: float, owner: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray, float]:
+    """The ridge logistic loss, its gradient by w and by the bias. weight sums to 1."""
+    z = np.bincount(owner, value * w[column], len(y)) + bias
+    miss = weight * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y)
+    return float(weight @ (np.logaddexp(0, z) - y * z) + RIDGE / 2 * (w @ w)), np.bincount(column, value * miss[owner], len(w)) + RIDGE * w, float(miss.sum())
+
+
+def regress(owner: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, weight: np.ndarray, n_columns: int) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression by accelerated gradient steps. Steps are halved until they lessen the loss as a gradient
+    step must, momentum starts anew where it points uphill, and it ends where the gradient is within TOLERANCE of 0.
+    weight: the training rows that each row stands for."""
+    weight = weight / weight.sum()
+    at = lambda w, b: gradient(w, b, owner, column, value, y, weight)
+    w, bias = np.zeros(n_columns), float(np.log((weight @ y + 1e-9) / (weight @ (1 - y) + 1e-9)))
+    v, vb, curve, pace = w, bias, 1.0, 1.0
+    for _ in range(MAX_STEPS):
+        loss, g, gb = at(v, vb)
+        if max(np.abs(g).max(initial=0.0), abs(gb)) < TOLERANCE:
+            break
+        while True:
+            new, new_b = v - g / curve, vb - gb / curve
+            if at(new, new_b)[0] <= loss - (g @ g + gb * gb) / (2 * curve) + 1e-12:
+                break
+            curve *= 2
+        if g @ (new - w) + gb * (new_b - bias) > 0:
+            pace = 1.0
+        after = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        v, vb = new + (pace - 1) / after * (new - w), new_b + (pace - 1) / after * (new_b - bias)
+        w, bias, pace, curve = new, new_b, after, curve * 0.95
+    return v, vb
 
 
 def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity") -> DataFrame:
@@ -176,8 +204,7 @@ def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity
 
     def make():
         def work(texts: list) -> pa.Array:
-            owner, bins = features(texts, wanted)
-            s = model.score(owner, bins, len(texts))
+            s = model.score(*features(texts, wanted), len(texts))
             return struct_of(score=s, predicted=(s >= THRESHOLD).astype(np.int32))
 
         return work
