@@ -1,23 +1,30 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-A run is a table (h1, h2, n_docs, last_doc) sorted by hash: each key once, with the documents that hold it and the largest
-of their ids. Every batch of documents is joined with the runs, adds its own run to level 0, and FANOUT runs of a level
-are compacted to one of the next. Runs only ever hold 128-bit hashes, never lines.
+A run is a table (h1, h2, n_docs, last_doc), bucketed and sorted by hash: its keys, with the documents of a batch that
+hold them and the largest of their ids. Every batch is anti-joined with the runs, bucket by bucket, so that nothing is
+shuffled again: keys that no run holds become a run of level 0, counts of the others go to a run of repeats. Two runs of
+a level are merged into one of the next. So each key is in one run only, and what is counted over all batches is the
+repeats. Runs hold 128-bit hashes, never lines.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yardlake.session import ship
+
 from .common import remove, scratch, written
 
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_CHARS, MIN_DOCS = 40, 5
-BATCHES, FANOUT = 4, 3
+BATCHES = 4
 RUN = "h1 long, h2 long, n_docs long, last_doc long"
+KEY = ["h1", "h2"]
 
 
 def line_key(line: Column) -> Column:
@@ -25,49 +32,89 @@ def line_key(line: Column) -> Column:
 
 
 class LineRuns:
-    """The runs under one folder."""
+    """The runs under one folder, as external tables of the session's catalog; close() takes them away.
+
+    buckets: of every run; the default is the shuffle partitions, so that a bucket is about what a task handles.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str | None = None):
+    def __init__(self, spark: SparkSession, folder: str | None = None, buckets: int | None = None):
         self.spark, self.folder = spark, folder or scratch(spark, "line-runs")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = f"line_runs_{uuid.uuid4().hex}"
         self.levels: list[list[str]] = []
+        self.repeats: list[list[str]] = []
         self.made = 0
 
-    def _write(self, run: DataFrame, level: int) -> None:
-        path = f"{self.folder}/level{level}-{self.made}"
+    def _write(self, run: DataFrame) -> str:
+        """run: dealt by key, so that a task writes one bucket."""
+        name = f"{self.name}_{self.made}"
         self.made += 1
-        run.sortWithinPartitions("h1", "h2").write.parquet(path)
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(path)
+        run.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.folder}/{name}").format("parquet").saveAsTable(name)
+        return name
+
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE {name}")
+        remove(self.spark, f"{self.folder}/{name}")
 
     @staticmethod
-    def _merged(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
+    def _names(levels: list[list[str]]) -> list[str]:
+        return [name for level in levels for name in level]
+
+    def _with(self, rows: DataFrame, run: str, how: str) -> DataFrame:
+        """rows and a run joined by key, counts added up."""
+        more = self.spark.table(run).toDF(*KEY, "n_more", "later").hint("merge")
+        total = F.coalesce("n_docs", F.lit(0)) + F.coalesce("n_more", F.lit(0))
+        return rows.join(more, KEY, how).select(*KEY, total.alias("n_docs"), F.greatest("last_doc", "later").alias("last_doc"))
+
+    def unseen(self, rows: DataFrame) -> DataFrame:
+        """The rows (h1, h2, ...) whose key no run holds: an anti-join with one run after another."""
+        for name in self._names(self.levels):
+            rows = rows.join(self.spark.table(name).hint("merge"), KEY, "left_anti")
+        return rows
+
+    def _put(self, levels: list[list[str]], name: str) -> None:
+        """A new run in level 0; full levels are compacted, each bucket on its own."""
+        level = 0
+        while True:
+            if len(levels) <= level:
+                levels.append([])
+            levels[level].append(name)
+            if len(levels[level]) < 2:
+                return
+            old, levels[level] = levels[level], []
+            name = self._write(self._with(self.spark.table(old[0]), old[1], "full"))
+            for x in old:
+                self._drop(x)
+            level += 1
 
-    def rows(self) -> DataFrame:
-        """All runs, not merged: a key has at most one row per run."""
-        paths = [p for level in self.levels for p in level]
-        return self.spark.read.schema(RUN).parquet(*paths) if paths else self.spark.createDataFrame([], RUN)
+    def add(self, lines: DataFrame) -> None:
+        """lines: h1, h2, doc_id of one batch; a document must not be spread over batches."""
+        once = lines.groupBy(*KEY, "doc_id").agg(F.lit(1).alias("one"))
+        counted = once.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
+        own = self._write(counted.repartition(self.buckets, *KEY))
+        if not any(self.levels):
+            return self._put(self.levels, own)
+        batch = self.spark.table(own)
+        new = self._write(self.unseen(batch))
+        again = self._write(batch.join(self.spark.table(new).hint("merge"), KEY, "left_anti"))
+        self._drop(own)
+        self._put(self.levels, new)
+        self._put(self.repeats, again)
 
     def table(self) -> DataFrame:
-        """Each key once, over all runs."""
-        return self._merged(self.rows())
+        """Each key once, over all batches: every run with the repeats of its keys."""
+        out = self.spark.createDataFrame([], RUN)
+        for name in self._names(self.levels):
+            rows = self.spark.table(name)
+            for again in self._names(self.repeats):
+                rows = self._with(rows, again, "left")
+            out = out.union(rows)
+        return out
 
-    def unseen(self, lines: DataFrame) -> DataFrame:
-        """The lines (h1, h2, ...) whose key no run holds: what a batch brings that is new."""
-        return lines.join(self.rows().select("h1", "h2"), ["h1", "h2"], "left_anti")
-
-    def add(self, lines: DataFrame) -> None:
-        """lines: h1, h2, doc_id of one batch; a document must not be spread over batches."""
-        own = lines.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))
-        self._write(own.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc")), 0)
-        level = 0
-        while level < len(self.levels) and len(self.levels[level]) >= FANOUT:
-            old, self.levels[level] = self.levels[level], []
-            self._write(self._merged(self.spark.read.schema(RUN).parquet(*old)), level + 1)
-            for path in old:
-                remove(self.spark, path)
-            level += 1
+    def close(self) -> None:
+        for name in self._names(self.levels) + self._names(self.repeats):
+            self._drop(name)
+        self.levels, self.repeats = [], []
 
 
 def lines_of(df: DataFrame) -> DataFrame:
@@ -88,25 +135,27 @@ def repeated(lines: DataFrame, batches: int = BATCHES) -> DataFrame:
     for batch in range(batches):
         runs.add(lines.where(F.col("batch") == batch).withColumnRenamed("doc", "doc_id"))
     # written first, so that both sides of the join are plain shuffles and Spark splits the partition of a hot line
-    gone = written(runs.table().where(F.col("n_docs") >= MIN_DOCS).select("h1", "h2", "last_doc"), "lines-gone")
-    return lines.join(gone, ["h1", "h2"]).where("doc <> last_doc").select("doc", "r1", "r2", "pos")
+    gone = written(runs.table().where(F.col("n_docs") >= MIN_DOCS).select(*KEY, "last_doc"), "lines-gone")
+    runs.close()
+    return lines.join(gone, KEY).where("doc <> last_doc").select("doc", "r1", "r2", "pos")
 
 
 def without(texts: pd.Series, positions: pd.Series) -> pd.Series:
-    """The texts less the lines at these positions (null: none)."""
+    """The texts less the lines at these positions; null for a null text."""
 
     def cut(text: str, gone) -> str:
         gone = set(gone)
         return "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
 
-    return pd.Series([t if p is None else cut(t, p) for t, p in zip(texts, positions, strict=True)], dtype=object)
+    return pd.Series([None if t is None else cut(t, p) for t, p in zip(texts, positions, strict=True)], dtype=object)
 
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", into: str = "line_dedup") -> DataFrame:
     """df with a struct column: n_lines (before), n_dropped, kept. A column of that name is replaced.
 
-    A null or empty text is one empty line. Rows of one doc_id count as one document, whatever they hold, and lose the
-    same keys; a null doc_id counts as a document below all others. Lines of fewer than MIN_CHARS code points stay.
+    A null or empty text is one empty line. Rows of one doc_id count as one document, whatever they hold, and each loses
+    its own lines of the same keys; a null doc_id counts as a document below all others. Lines of fewer than MIN_CHARS
+    code points stay.
     """
     low = -(1 << 63)
     doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(low))
@@ -117,10 +166,12 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", into:
     gone = repeated(lines).groupBy("doc", "r1", "r2").agg(F.collect_set("pos").alias("gone"))
     side = gone.toDF("__doc", "__r1", "__r2", "__gone")
     joined = df.join(side, (doc == F.col("__doc")) & (r1 == F.col("__r1")) & (r2 == F.col("__r2")), "left")
-    kept = F.pandas_udf(without, "string")(whole, F.col("__gone"))
+    ship(df.sparkSession)
+    # only texts that lose lines go to Python
+    cut = F.pandas_udf(without, "string")(F.when(F.col("__gone").isNotNull(), whole), F.col("__gone"))
     made = F.struct(
         (F.length(whole) - F.length(F.replace(whole, F.lit("\n"))) + 1).cast("long").alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"),
-        kept.alias("kept"),
+        F.coalesce(cut, whole).alias("kept"),
     )
     return joined.withColumn(into, made).drop("__doc", "__r1", "__r2", "__gone")
