@@ -1,8 +1,10 @@
 """Token counts by a separator scan of flat, unindexed token files.
 
-A token file is nothing but big-endian unsigned 16-bit ids, each document closed by END_OF_DOC. Files are cut into blocks
-of BLOCK ids; each block finds its separators in one vectorised search, and a prefix scan over a file's blocks tells where
-the document began that a block's first separator ends. A document may span any number of blocks.
+A token file is nothing but big-endian unsigned 16-bit ids, each document closed by END_OF_DOC. Spark splits files into
+byte ranges, and a range is searched block by block, each in one vectorised search. A block does not know where in its
+file it lies, so it is read from its first and from its second byte on. A prefix scan over the blocks' summaries (bytes,
+first and last separator, the ids about them) then tells which reading is true and where the document began that a
+block's first separator ends. A document may span any number of blocks, and a file any number of tasks.
 """
 
 from __future__ import annotations
@@ -17,14 +19,17 @@ from pyspark.sql import functions as F
 
 from yardlake.session import ship
 
-from .common import scratch, slices
+from .common import scratch, slices, written
 from .word_bpe import encoder
 
 #: Not an id of the tokenizer. Its second byte is the line separator of Spark's text writer, which closes each document.
 END_OF_DOC = 0xFF41
 #: Ids before a document's own that spell its number in 15-bit digits, lowest first; never END_OF_DOC.
 HEADER = 5
-BLOCK = 1 << 18
+#: Bytes searched at once.
+BLOCK = 1 << 19
+#: Spark's text reader cuts its ranges behind this byte; any would do that is not rare.
+CUT = b"A"
 
 
 def header(doc_id: int | None) -> bytes:
@@ -33,9 +38,13 @@ def header(doc_id: int | None) -> bytes:
     return np.array([n >> 15 * i & 0x7FFF for i in range(HEADER)], ">u2").tobytes()
 
 
-def read_header(ids: np.ndarray) -> int | None:
-    n = sum(int(x) << 15 * i for i, x in enumerate(ids))
-    return None if n >> 74 else n - (1 << 63)
+def read_headers(digits: np.ndarray) -> list[int | None]:
+    """digits: HEADER of them a row."""
+    d = digits.astype(np.uint64).reshape(-1, HEADER)
+    with np.errstate(over="ignore"):
+        n = sum(d[:, i] << np.uint64(15 * i) for i in range(HEADER)) - np.uint64(1 << 63)
+    null = d[:, -1] >= 1 << 14
+    return [None if none else x for x, none in zip(n.view(np.int64).tolist(), null.tolist(), strict=True)]
 
 
 def documents_bytes(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -60,36 +69,118 @@ def write_flat(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folder
     return folder
 
 
+def byte_blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """file, start of its range, number within the range, bytes: the lines of a range put together again."""
+    now, number, held, size = None, 0, [], 0
+    for batch in batches:
+        files, starts, lines = batch.column("file").to_numpy(), batch.column("start").to_numpy(), batch.column("line")
+        edges = np.flatnonzero((files[1:] != files[:-1]) | (starts[1:] != starts[:-1])) + 1
+        cuts = [0, *edges.tolist(), len(files)] if len(files) else []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if now != (here := (int(files[a]), int(starts[a]))):
+                if size:
+                    yield *now, number, b"".join(held)
+                now, number, held, size = here, 0, [], 0
+            held.append(CUT.join([*lines.slice(a, b - a).to_pylist(), b""]))
+            size += len(held[-1])
+            if size >= block:
+                whole = b"".join(held)
+                for at in range(0, size - block + 1, block):
+                    yield *now, number, whole[at : at + block]
+                    number += 1
+                held = [whole[size - size % block :]]
+                size %= block
+    if size:
+        yield *now, number, b"".join(held)
+
+
+SUMMARY = ["file long", "start long", "number int", "odd int", "bytes long", "first_byte int", "last_byte int", "n_ids long", "n_ends long", "first long", "last long", "head array<int>", "tail array<int>"]
+#: Documents between two separators of one block.
+INNER = ["doc_ids array<long>", "tokens array<long>"]
+
+
+def summary(raw: bytes, odd: int, head: int) -> dict:
+    """The ids of a block from its first or second byte on: the first and last separator (-1: none), the ids that begin it
+    and that follow the last separator, as far as a header goes, and the documents in between."""
+    ids = np.frombuffer(raw, ">u2", (len(raw) - odd) // 2, odd)
+    ends = np.flatnonzero(ids == END_OF_DOC)
+    first, last = (int(ends[0]), int(ends[-1])) if len(ends) else (-1, -1)
+    sizes = np.diff(ends) - 1 - head
+    whole = np.flatnonzero(sizes >= 0)
+    numbers: list[int | None] = [None] * len(sizes)
+    if head:
+        for i, x in zip(whole.tolist(), read_headers(ids[ends[whole, None] + 1 + np.arange(head)]), strict=True):
+            numbers[i] = x
+    return {
+        "odd": odd, "bytes": len(raw), "first_byte": raw[0], "last_byte": raw[-1], "n_ids": len(ids), "n_ends": len(ends), "first": first, "last": last,
+        "head": ids[: min(head, first) if len(ends) else head].tolist(), "tail": ids[last + 1 :][:head].tolist() if len(ends) else [],
+        "doc_ids": numbers, "tokens": np.maximum(sizes, 0).tolist(),
+    }
+
+
+class Scan:
+    """Goes over the summaries of a file's blocks, in order."""
+
+    def __init__(self, head: int):
+        self.head = head
+        self.bytes = self.documents = 0  # so far
+        self.size, self.begun = 0, []  # ids of the document that is open, and the first of them
+        self.half = 0  # the first byte of an id that the next block ends
+        self.closed: list[tuple[int | None, int]] = []
+
+    def extend(self, n: int, first: list[int]) -> None:
+        self.begun = [*self.begun, *first][: self.head]
+        self.size += n
+
+    def close(self) -> None:
+        whole = self.head and len(self.begun) == self.head
+        self.closed.append((read_headers(np.array(self.begun))[0] if whole else None, max(self.size - self.head, 0)))
+        self.size, self.begun = 0, []
+
+    def block(self, readings: list) -> tuple:
+        """number of the true reading, documents before the block, documents that it ends and others began."""
+        odd, self.closed = self.bytes % 2, []
+        b = readings[odd]
+        if odd and (cut := self.half << 8 | b.first_byte) == END_OF_DOC:
+            self.close()
+        elif odd:
+            self.extend(1, [cut])
+        if b.n_ends:
+            self.extend(b.first, list(b.head))
+            self.close()
+            self.extend(b.n_ids - 1 - b.last, list(b.tail))
+        else:
+            self.extend(b.n_ids, list(b.head))
+        before = self.documents
+        self.documents += len(self.closed) + max(b.n_ends - 1, 0)
+        self.bytes += b.bytes
+        self.half = b.last_byte
+        return odd, before, [i for i, _ in self.closed], [n for _, n in self.closed]
+
+
 def scan(spark: SparkSession, folder: str, head: int = HEADER, block: int = BLOCK) -> DataFrame:
-    """file, ordinal, doc_id (null if head is 0), n_tokens of every document of the files, header not counted.
+    """file (a hash of its path), ordinal, doc_id (null if head is 0), n_tokens of every document of the files, header not
+    counted. head: 0 or HEADER.
 
-    Files are read whole, one at a time, so they should be bounded, as a writer's task makes them. An empty file has no
-    documents; ids after the last separator belong to none.
+    An empty file has no documents; ids after the last separator belong to none; a document shorter than a header has no
+    id and no tokens. spark.sql.files.maxPartitionBytes bounds what a task reads.
     """
+    ship(spark)
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                ids = np.frombuffer(content.as_buffer(), ">u2", content.as_buffer().size // 2)
-                for at in range(0, len(ids), block):
-                    ends = np.flatnonzero(ids[at : at + block] == END_OF_DOC) + at
-                    # the first ids of the block and those after each separator, as far as the block goes
-                    heads = [ids[a : min(a + head, at + block)].astype(np.int32) for a in [at, *(ends + 1).tolist()]]
-                    yield pa.RecordBatch.from_pydict({"file": [file], "block": pa.array([at // block], pa.int64()), "ends": pa.array([ends], pa.list_(pa.int64())), "heads": pa.array(heads and [heads], pa.list_(pa.list_(pa.int32())))})
+        kinds = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}[t]) for n, t in (c.split() for c in SUMMARY + INNER)])
+        for file, start, number, raw in byte_blocks(batches, block):
+            rows = [{"file": file, "start": start, "number": number, **summary(raw, odd, head)} for odd in (0, 1)]
+            yield pa.RecordBatch.from_pylist(rows, kinds)
 
     def stitch(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
-        blocks = blocks.sort_values("block")
-        ends = np.concatenate([*blocks["ends"], np.zeros(0, np.int64)]).astype(np.int64)
-        starts = np.r_[0, ends[:-1] + 1][: len(ends)]
-        numbers: list[int | None] = []
-        begun = np.zeros(0, np.int64)  # what is known of the header of the document that is open
-        for own, heads in zip(blocks["ends"], blocks["heads"], strict=True):
-            for k, part in enumerate(heads):
-                begun = np.r_[begun, part][:head] if k == 0 else np.asarray(part)
-                if k < len(own):
-                    numbers.append(read_header(begun) if head else None)
-        return pd.DataFrame({"file": key[0], "ordinal": np.arange(len(ends)), "doc_id": pd.array(numbers, "Int64"), "n_tokens": ends - starts - head})
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content")
-    found = files.mapInArrow(summaries, "file string, block long, ends array<long>, heads array<array<int>>")
-    return found.groupBy("file").applyInPandas(stitch, "file string, ordinal long, doc_id long, n_tokens long")
+        state, rows = Scan(head), list(blocks.sort_values(["start", "number", "odd"]).itertuples(index=False))
+        return pd.DataFrame([(*key, a.start, a.number, *state.block([a, b])) for a, b in zip(rows[::2], rows[1::2], strict=True)], columns=["file", "start", "number", "odd", "before", "ended", "ended_tokens"])
+
+    bytes_of = spark.read.option("pathGlobFilter", "part-*").option("lineSep", CUT.decode()).text(folder)
+    lines = bytes_of.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line"))
+    found = written(lines.mapInArrow(summaries, ", ".join(SUMMARY + INNER)), "token-blocks")
+    told = found.drop("doc_ids", "tokens").groupBy("file").applyInPandas(stitch, "file long, start long, number int, odd int, before long, ended array<long>, ended_tokens array<long>")
+    both = found.select("file", "start", "number", "odd", "doc_ids", "tokens").join(told, ["file", "start", "number", "odd"])
+    each = both.select("file", "before", F.posexplode(F.arrays_zip(F.concat("ended", "doc_ids").alias("doc_id"), F.concat("ended_tokens", "tokens").alias("n_tokens"))).alias("at", "d"))
+    return each.select("file", (F.col("before") + F.col("at")).alias("ordinal"), "d.doc_id", "d.n_tokens")
