@@ -1,9 +1,10 @@
 """SimHash near-duplicates by pigeonhole blocks.
 
-Texts become 64-bit fingerprints; equal fingerprints are one class from there on. 64 bits are cut into BLOCKS blocks; two
-fingerprints that differ in at most DISTANCE bits agree in BLOCKS - DISTANCE blocks or more, so they share one of the
-keys made of BLOCKS - DISTANCE blocks (35 keys of 27 or 28 bits at 7 blocks). Classes are dealt by key, each bucket is
-verified by Hamming distance, and the links' components are the groups.
+Texts become 64-bit fingerprints; equal fingerprints are one class from there on. 64 bits are cut into blocks; two
+fingerprints that differ in at most DISTANCE bits agree in all but DISTANCE blocks or more, so they share one of the keys
+made of that many blocks (35 keys of 27 or 28 bits at 7 blocks). Classes are dealt by key, each bucket is verified by
+Hamming distance, and the links' components are the groups. Buckets are counted first: one of over MAX_BUCKET classes
+is not compared in a task but linked through common neighbours (far_links).
 """
 
 from __future__ import annotations
@@ -18,13 +19,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yardlake.session import ship
+
 from .common import text_column, written
 from .components import components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 SHINGLE, SEED = 4, 42
 BITS, DISTANCE, BLOCKS = 64, 4, 7
-#: A bucket of more classes is not compared in one task but linked through common neighbours, see far_links.
 MAX_BUCKET = 20_000
 #: Hashes whose bits are counted at once.
 CHUNK = 1 << 16
@@ -56,10 +58,10 @@ def with_fingerprint(df: DataFrame, text: str = "text", into: str = "fingerprint
     return df.withColumn(into, text_column("long", make)(F.col(text)))
 
 
-def key_masks() -> list[int]:
-    cuts = [round(i * BITS / BLOCKS) for i in range(BLOCKS + 1)]
+def key_masks(blocks: int = BLOCKS) -> list[int]:
+    cuts = [round(i * BITS / blocks) for i in range(blocks + 1)]
     block = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:], strict=False)]
-    return [sum(chosen) for chosen in combinations(block, BLOCKS - DISTANCE)]
+    return [sum(chosen) for chosen in combinations(block, blocks - DISTANCE)]
 
 
 def signed(x: int) -> int:
@@ -88,12 +90,8 @@ def forest(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (k, v): buckets. Gives links a, b; rows of a bucket of over MAX_BUCKET classes as far = true."""
+    """Rows k, v, fp sorted by (k, v), which are buckets. Gives links a, b."""
     k, v, fp = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    far = None  # key of the large bucket that is passing
-
-    def out(a: np.ndarray, b: np.ndarray, is_far: bool) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"a": a, "b": b, "far": np.full(len(a), is_far)})
 
     def compare(k: np.ndarray, v: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (v[1:] != v[:-1])]) if len(k) else np.zeros(0, np.int64)
@@ -106,28 +104,18 @@ def bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same = b[step:] == b[:-step]
             hit = same & near(x[step:], x[:-step])
             if hit.any():
-                yield out(x[:-step][hit], x[step:][hit], False)
+                yield pa.RecordBatch.from_pydict({"a": x[:-step][hit], "b": x[step:][hit]})
         for i in np.flatnonzero(sizes > 32):
-            yield out(*forest(fp[starts[i] : starts[i] + sizes[i]]), False)
+            a, b = forest(fp[starts[i] : starts[i] + sizes[i]])
+            yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
     for batch in batches:
         k = np.r_[k, batch.column("k").to_numpy()]
         v = np.r_[v, batch.column("v").to_numpy()]
         fp = np.r_[fp, batch.column("fp").to_numpy()]
-        if far is not None:
-            here = (k == far[0]) & (v == far[1])
-            yield out(fp[here], fp[here], True)
-            k, v, fp = k[~here], v[~here], fp[~here]
-            if not len(k):
-                continue
-            far = None
         cut = int(np.flatnonzero((k != k[-1]) | (v != v[-1])).max(initial=-1)) + 1 if len(k) else 0
         yield from compare(k[:cut], v[:cut], fp[:cut])
         k, v, fp = k[cut:], v[cut:], fp[cut:]
-        if len(k) > MAX_BUCKET:
-            far = (k[0], v[0])
-            yield out(fp, fp, True)
-            k, v, fp = k[:0], v[:0], fp[:0]
     yield from compare(k, v, fp)
 
 
@@ -140,25 +128,32 @@ def far_links(classes: DataFrame) -> DataFrame:
     return at.join(least, "key").where("a <> fp").select("a", F.col("fp").alias("b")).distinct()
 
 
-def links(classes: DataFrame) -> DataFrame:
+def links(classes: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     """classes: fp (long), distinct. Links a, b whose components are those of all pairs within DISTANCE bits."""
-    keys = F.array(*[F.struct(F.lit(i).alias("k"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("v")) for i, m in enumerate(key_masks())])
-    dealt = classes.select("fp", F.explode(keys).alias("key")).select("key.k", "key.v", "fp").repartition("k", "v").sortWithinPartitions("k", "v", "fp")
-    found = written(dealt.mapInArrow(bucket_links, "a long, b long, far boolean").distinct(), "simhash-links")
-    near_ones = found.where("not far").select("a", "b")
-    far_ones = found.where("far").select(F.col("a").alias("fp"))
-    return near_ones if far_ones.isEmpty() else near_ones.union(far_links(far_ones))
-
-
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    ship(classes.sparkSession)
+    keys = F.array(*[F.struct(F.lit(i).alias("k"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("v")) for i, m in enumerate(key_masks(blocks))])
+    dealt, far = classes.select("fp", F.explode(keys).alias("key")).select("key.k", "key.v", "fp"), None
+    if classes.count() > MAX_BUCKET:  # else no bucket can be large
+        counted = dealt.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+        large = written(counted.where(F.col("n") > MAX_BUCKET).select("k", "v"), "simhash-large")
+        if not large.isEmpty():
+            far = written(dealt.join(large, ["k", "v"], "left_semi").select("fp").distinct(), "simhash-far")
+            dealt = dealt.join(large, ["k", "v"], "left_anti")
+    sorted_rows = dealt.repartition("k", "v").sortWithinPartitions("k", "v", "fp")
+    found = written(sorted_rows.mapInArrow(bucket_links, "a long, b long").distinct(), "simhash-links")
+    return found if far is None else found.union(far_links(far))
+
+
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", blocks: int = BLOCKS) -> DataFrame:
     """doc_id, fingerprint (long), component_id, one row per row of df.
 
     component_id is the smallest doc_id of the group, by links of at most DISTANCE bits from text to text. Texts without
-    words, null ones too, have fingerprint 0. A null doc_id is never a component's id unless all its ids are null.
+    words, null ones too, have fingerprint 0. A null doc_id is never a component's id unless all its ids are null. blocks:
+    8 for more than some 10 million fingerprints (70 keys of 32 bits instead of 35 of 27).
     """
     prints = written(with_fingerprint(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "fingerprint"), "simhash-prints")
     classes = written(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least")), "simhash-classes")
-    labels = components(links(classes.select("fp")))
+    labels = components(links(classes.select("fp"), blocks))
     labelled = classes.join(labels, classes["fp"] == labels["node"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
     groups = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     named = labelled.join(groups, "label").select(F.col("fp").alias("fingerprint"), "component_id")
