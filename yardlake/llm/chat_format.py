@@ -31,15 +31,17 @@ def unescaped(text: Column) -> Column:
 def conversations(df: DataFrame) -> DataFrame:
     """conv_id, formatted, replies: array of (start, end) of the text of each assistant turn, in order, from 0.
 
-    Rows go by turn, ties by role and text, null turns first. Null texts and roles are empty. A null conv_id is one
-    conversation. Repeated rows stay. Other columns are ignored.
+    Rows go by turn, ties by role and text, null turns first. Null texts and roles are empty. A row without a conv_id is a
+    conversation of its own, so that such rows are never gathered. Repeated rows stay. Other columns are ignored.
     """
     turn = F.struct(
         F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    turns = df.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    rows = df.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("turn"))
+    turns = rows.where("conv_id is not null").groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
+    turns = turns.unionByName(rows.where("conv_id is null").select("conv_id", F.array("turn").alias("turns")))
     parts = F.transform(
         "turns",
         lambda t: F.struct(

@@ -11,8 +11,9 @@ from .common import crc_of_id, table
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.verdicts(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return found.select("doc_id", *[F.col(f"ledger.{x}").alias(x) for x in names])
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
+    earlier = quality_rules.allows(quality_rules.POLICIES["v1"], F.col("ledger.fail_bits")).alias("kept_v1")
+    return found.select("doc_id", *[F.col(f"ledger.{x}").alias(x) for x in names], earlier)
 
 
 OP1_SQL = r"""
@@ -32,12 +33,15 @@ m AS (
     coalesce(covered.n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines, len(letters)::BIGINT AS n_letters,
     len(list_filter(letters, lambda x: regexp_matches(x, '\p{Lu}')))::BIGINT AS n_upper,
     len(list_filter(generate_series(2, len(w)), lambda i: w[i] = w[i - 1]))::BIGINT AS n_stutters
-  FROM d LEFT JOIN covered USING (doc_id))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 100 * n_symbols > 30 * n_words OR 100 * n_dup_lines > 50 * n_lines
-    OR 100 * n_upper > 50 * n_letters OR word_chars > 40 * n_words OR 2 * n_letters < word_chars OR 100 * n_stutters > 40 * n_words) AS kept
-FROM m
+  FROM d LEFT JOIN covered USING (doc_id)),
+bits AS (
+  SELECT *, ((n_words < 20)::BIGINT + (100 * n_repeat_words > 30 * n_words)::BIGINT * 2 + (100 * n_symbols > 30 * n_words)::BIGINT * 4
+    + (100 * n_dup_lines > 50 * n_lines)::BIGINT * 8 + (100 * n_upper > 50 * n_letters)::BIGINT * 16 + (word_chars > 40 * n_words)::BIGINT * 32
+    + (2 * n_letters < word_chars)::BIGINT * 64 + (100 * n_stutters > 40 * n_words)::BIGINT * 128)::BIGINT AS fail_bits
+  FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits,
+  fail_bits & 3 = 0 AS kept_v1
+FROM bits
 """
 
 
@@ -83,7 +87,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     last = F.max_by("text", "example").alias("text")
     replies = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "reply"))), lambda x: x["reply"]), "").alias("replies")
-    by_conv = read.groupBy("conv_id").agg(last, replies, F.sum("chars").cast("long").alias("formatted_chars"))
+    by_conv = read.where("conv_id is not null").groupBy("conv_id").agg(last, replies, F.sum("chars").cast("long").alias("formatted_chars"))
+    # a turn without a conv_id is a conversation, and its only example, on its own
+    alone = read.where("conv_id is null").select("conv_id", "text", F.col("reply").alias("replies"), F.col("chars").cast("long").alias("formatted_chars"))
+    by_conv = by_conv.unionByName(alone)
     turns = by_conv.withColumn("turns", chat_format.read_turns(F.col("text")))
     spelled = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return turns.select(
@@ -98,18 +105,18 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = r"""
 WITH c AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
-  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () ELSE 0 END AS alone, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 0, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 o AS (
   SELECT *, row_number() OVER w AS i, sum(12 + 11 + 1 + length(replace(replace(role, '&', '&amp;'), '<|', '&lt;|')) + length(replace(replace(text, '&', '&amp;'), '<|', '&lt;|'))) OVER w AS upto
-  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
-m AS (SELECT conv_id, max(i) AS n, max(i) FILTER (role = 'assistant') AS last_reply, max(upto) AS whole FROM o GROUP BY conv_id)
-SELECT conv_id, max(n)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  FROM c WINDOW w AS (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
+m AS (SELECT conv_id, alone, max(i) AS n, max(i) FILTER (role = 'assistant') AS last_reply, max(upto) AS whole FROM o GROUP BY conv_id, alone)
+SELECT o.conv_id, max(n)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
   (coalesce(sum(upto) FILTER (role = 'assistant'), 0) + CASE WHEN coalesce(max(last_reply), 0) < max(n) THEN max(whole) ELSE 0 END)::BIGINT AS formatted_chars
-FROM o JOIN m USING (conv_id) GROUP BY conv_id
+FROM o JOIN m ON o.conv_id IS NOT DISTINCT FROM m.conv_id AND o.alone = m.alone GROUP BY o.conv_id, o.alone
 """
 
 
