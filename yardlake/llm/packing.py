@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yardlake.session import ship
+
 from .common import text_column, written
 from .word_bpe import encoder
 
@@ -99,11 +101,13 @@ def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", window: in
 
 
 def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
-    """PIECE rows with sequence_id and offset. Ties in length go by doc_id, then start, so a run can be repeated;
-    sequence ids are unique, not dense. Any number of pieces of one document are dealt over all shards."""
+    """PIECE rows with sequence_id and offset. Ties in length go by doc_id, then start, so a task can be run again;
+    sequence ids are unique, not dense. Pieces of one document and equal pieces are dealt over all shards."""
+    ship(cut.sparkSession)
     cut = written(cut, "pieces")
     shards = max(1, math.ceil(cut.count() / SHARD))
-    shard = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(shards))
+    # the number of a row in the written pieces deals equal pieces over all shards, and is the same in a task run again
+    shard = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(shards))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
