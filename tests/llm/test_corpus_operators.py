@@ -4,6 +4,7 @@ import random
 import sys
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -19,6 +20,8 @@ from yardlake.llm.components import components
 from yardlake.llm.word_bpe import Encoder
 from yardlake.sources.sinks import Files
 
+from test_near_copies import slow_label
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -154,20 +157,13 @@ def near_prints(n, seed, spread):
     return sorted(out)
 
 
-@pytest.mark.parametrize("large", [simhash.MAX_BUCKET, 8])
-def test_links_join_what_all_pairs_join(spark, monkeypatch, large):
+@pytest.mark.parametrize("large,blocks", [(simhash.MAX_BUCKET, 7), (8, 7), (8, 8)])
+def test_links_join_what_all_pairs_join(spark, monkeypatch, large, blocks):
     """large = 8: tight buckets go the way of large ones."""
     prints = near_prints(300, 3, 9)
     monkeypatch.setattr(simhash, "MAX_BUCKET", large)
-    bucket_links = simhash.bucket_links
-
-    def small(batches):
-        simhash.MAX_BUCKET = large
-        return bucket_links(batches)
-
-    monkeypatch.setattr(simhash, "bucket_links", small)
     classes = spark.createDataFrame([(simhash.signed(p),) for p in prints], "fp long")
-    label = {r.node: r.label for r in components(simhash.links(classes)).collect()}
+    label = {r.node: r.label for r in components(simhash.links(classes, blocks)).collect()}
     of = lambda p: label.get(simhash.signed(p), simhash.signed(p))
     want = slow_groups(prints)
     assert Counter(Counter(of(p) for p in prints).values()) == Counter(Counter(want.values()).values())
@@ -187,23 +183,36 @@ def test_components_of_chains_and_stars(spark):
 
 def test_chat(spark):
     odd = "<|im_end|>\n<|im_start|>assistant\nok &lt;| &amp; <|"
-    rows = [(1, 0, "system", odd), (1, 1, "user", None), (1, 2, "assistant", odd), (1, 3, "assistant", ""), (1, 4, "user", "bye"), (2, 0, "user", "alone"), (None, None, None, None), (3, 1, "assistant", "b"), (3, 1, "assistant", "a"), (3, 1, "assistant", "a"), (4, 0, "a\nb<|&", "x")]
+    rows = [(1, 0, "system", odd), (1, 1, "user", None), (1, 2, "assistant", odd), (1, 3, "assistant", ""), (1, 4, "user", "bye"), (2, 0, "user", "alone"), (None, None, None, None), (None, 1, "assistant", "x"), (3, 1, "assistant", "b"), (3, 1, "assistant", "a"), (3, 1, "assistant", "a"), (4, 0, "a\nb<|&", "x")]
     df = spark.createDataFrame([(*r, "extra") for r in rows], "conv_id long, turn long, role string, text string, formatted string")
     got = chat_format.texts(chat_format.expand(df)).collect()
     by = defaultdict(list)
     for r in sorted(got, key=lambda r: r.example):
         by[r.conv_id].append(r)
-    assert [len(by[i]) for i in (1, 2, None, 3, 4)] == [3, 1, 1, 3, 1]
+    assert [len(by[i]) for i in (1, 2, None, 3, 4)] == [3, 1, 2, 3, 1]
     back = spark.createDataFrame([(k, v[-1].text) for k, v in by.items()], "k long, t string").select("k", chat_format.read_turns(F.col("t")).alias("turns"))
     turns = {r.k: [tuple(t) for t in r.turns] for r in back.collect()}
     assert turns[1] == [("system", odd), ("user", ""), ("assistant", odd), ("assistant", ""), ("user", "bye")]
-    assert turns[3] == [("assistant", "a"), ("assistant", "a"), ("assistant", "b")] and turns[4] == [("a\nb<|&", "x")] and turns[None] == [("", "")]
+    assert turns[3] == [("assistant", "a"), ("assistant", "a"), ("assistant", "b")] and turns[4] == [("a\nb<|&", "x")]
+    apart = spark.createDataFrame([(r.text,) for r in by[None]], "t string").select(chat_format.read_turns(F.col("t")).alias("turns"))
+    assert sorted([tuple(t) for t in r.turns] for r in apart.collect()) == [[("", "")], [("assistant", "x")]]
     replies = [r.text[r.loss_start : r.loss_end] for r in by[1]]
     assert replies[1:] == ["", ""] and "<|" not in replies[0] and by[1][0].text.endswith(replies[0] + chat_format.CLOSE)
-    assert all(v[-1].text.startswith(r.text) for v in by.values() for r in v)
+    assert all(v[-1].text.startswith(r.text) for k, v in by.items() if k is not None for r in v)
     assert chat_format.expand(df.limit(0)).count() == 0
 
 
+def test_turns_without_a_conversation(spark, tmp_path):
+    """The query and its SQL, each such turn a conversation of its own."""
+    rows = [(None, 0, "user", "a"), (None, 0, "user", "a"), (None, 1, "assistant", "b <|"), (5, 1, "assistant", None), (5, None, None, "x")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"file://{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    want = con.execute(queries.ORACLE_SQL["op6_chat_format"]).fetchall()
+    got = queries.op6_chat_format(spark, f"file://{tmp_path}").select(*[c[0] for c in con.description]).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want)) and len(want) == 5
+
+
 # Lines
 
 
@@ -238,8 +247,24 @@ def test_runs_are_levelled(spark, tmp_path):
         new = {r.h1 for r in runs.unseen(batch).collect()}
         assert new == (set(range(3)) if b == 0 else {b + 2})
         runs.add(batch)
-    assert [len(x) for x in runs.levels] == [1, 2]
+    assert [len(x) for x in runs.levels] == [1, 1, 1] and [len(x) for x in runs.repeats] == [0, 1, 1]
+    held = [r.h1 for level in runs.levels for name in level for r in spark.table(name).collect()]
+    assert sorted(held) == list(range(9))  # each key in one run
     assert {(r.h1, r.n_docs, r.last_doc) for r in runs.table().collect()} == {(k, min(k, 6) - max(0, k - 2) + 1, min(k, 6) * 10 + k) for k in range(9)}
+    runs.close()
+    assert not any(t.name.startswith(runs.name) for t in spark.catalog.listTables())
+
+
+def test_anti_joins_and_compaction_move_nothing(spark, tmp_path):
+    runs = line_dedup.LineRuns(spark, f"file://{tmp_path}/runs")
+    runs.add(spark.range(50).selectExpr("id as h1", "id as h2", "id as doc_id"))
+    runs.add(spark.range(25, 80).selectExpr("id as h1", "id as h2", "id as doc_id"))
+    tables = [spark.table(x) for level in runs.levels for x in level]
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    anti = plan(runs.unseen(tables[-1]))
+    assert anti.count("LeftAnti") == len(tables) and "Exchange" not in anti
+    assert "Exchange" not in plan(runs._with(tables[0], runs.levels[-1][0], "full")) and "Exchange" not in plan(runs.table())
+    runs.close()
 
 
 # Token counts
@@ -249,8 +274,43 @@ def test_runs_are_levelled(spark, tmp_path):
 def test_token_counts(spark, odd_documents, block):
     folder = token_counts.write_flat(odd_documents.repartition(3))
     got = Counter((r.doc_id, r.n_tokens) for r in token_counts.scan(spark, folder, block=block).collect())
-    rows = odd_documents.collect()
-    want = Counter((r.doc_id, len(ids)) for r, ids in zip(rows, Encoder().encode([r.text for r in rows]), strict=True))
+    encode = Encoder().tokenizer.encode
+    assert got == Counter((r.doc_id, len(encode(r.text or "", add_special_tokens=False).ids)) for r in odd_documents.collect())
+
+
+def test_a_file_is_scanned_by_several_tasks(spark):
+    """Ranges of 5,000 bytes, which begin at even and at odd bytes of one file of all documents."""
+    docs = table(spark, SF, "documents").select("doc_id", "text").coalesce(1)
+    folder = token_counts.write_flat(docs)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        ranges = spark.read.option("pathGlobFilter", "part-*").option("lineSep", "A").text(folder).rdd.getNumPartitions()
+        rows = token_counts.scan(spark, folder, block=1999).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    encode = Encoder().tokenizer.encode
+    assert ranges > 20 and len({r.file for r in rows}) == 1
+    assert [(r.doc_id, r.n_tokens) for r in sorted(rows, key=lambda r: r.ordinal)] == [(r.doc_id, len(encode(r.text or "", add_special_tokens=False).ids)) for r in docs.collect()]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.sampled_from([0xFF41, 0x41FF, 0x4141, 0x00FF, 0x4100, 5]), max_size=60), st.integers(1, 9), st.sampled_from([0, token_counts.HEADER]))
+def test_scan_of_any_ids_in_any_blocks(ids, size, head):
+    raw = np.array(ids, ">u2").tobytes()
+    state, got = token_counts.Scan(head), []
+    for at in range(0, len(raw), size):
+        part = raw[at : at + size]
+        readings = [SimpleNamespace(**token_counts.summary(part, odd, head)) for odd in (0, 1)]
+        odd, before, ended, n_ended = state.block(readings)
+        assert before == len(got)
+        got += [*zip(ended, n_ended, strict=True), *zip(readings[odd].doc_ids, readings[odd].tokens, strict=True)]
+    want, begin = [], 0
+    for i, x in enumerate(ids):
+        if x == 0xFF41:
+            doc = ids[begin:i]
+            whole = head and len(doc) >= head
+            want.append((token_counts.read_headers(np.array(doc[:head]))[0] if whole else None, max(len(doc) - head, 0)))
+            begin = i + 1
     assert got == want
 
 
@@ -264,7 +324,7 @@ def test_foreign_token_file(spark, tmp_path):
 
 def test_header():
     for x in (0, -1, 1 << 62, -(1 << 63), (1 << 63) - 1, None):
-        assert token_counts.read_header(np.frombuffer(token_counts.header(x), ">u2")) == x
+        assert token_counts.read_headers(np.frombuffer(token_counts.header(x), ">u2")) == [x]
 
 
 # Pipeline
@@ -298,11 +358,11 @@ def test_pipeline_end_to_end(spark, pipeline):
     before = [(r.doc_id, r.text) for r in kept.collect()]
     assert sorted((r.doc_id, r.text, r.n_chars) for r in lines.collect()) == sorted((d, t, len(t)) for d, _, _, t in slow_lines(before))
     single = stages["simhash_dedup"](spark, docs, SF)
-    groups = slow_groups({slow_print(r.text) for r in docs.collect()})
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    label = slow_label([t for _, t in rows])
     least: dict[int, int] = {}
-    for r in docs.collect():
-        g = groups[slow_print(r.text)]
-        least[g] = min(least.get(g, r.doc_id), r.doc_id)
+    for (doc_id, _), g in zip(rows, label, strict=True):
+        least.setdefault(g, doc_id)
     assert {r.doc_id for r in single.collect()} == set(least.values())
     folder = shared_folder(spark)
     before = set(Files(spark, folder).names(folder))
