@@ -171,6 +171,21 @@ def test_links_join_what_all_pairs_join(spark, monkeypatch, large, blocks):
         assert of(p) == of(want[p])
 
 
+def test_every_bit_counts_alike(spark):
+    """Pairs that differ in four bits, or five, the first of them each of the 64 in turn."""
+    rnd = random.Random(8)
+    pairs = []
+    for first in range(64):
+        for n in (4, 5):
+            x = rnd.getrandbits(64)
+            pairs.append((x, x ^ sum(1 << b for b in [first, *rnd.sample([b for b in range(64) if b != first], n - 1)]), n))
+    classes = spark.createDataFrame([(simhash.signed(p),) for a, b, _ in pairs for p in (a, b)], "fp long")
+    label = {r.node: r.label for r in components(simhash.links(classes)).collect()}
+    for a, b, n in pairs:
+        same = label.get(simhash.signed(a), a) == label.get(simhash.signed(b), b)
+        assert same == (n == 4)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5), (7, 7)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

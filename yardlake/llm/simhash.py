@@ -69,7 +69,7 @@ def signed(x: int) -> int:
 
 
 def near(fp: np.ndarray, other: np.ndarray | int) -> np.ndarray:
-    return np.bitwise_count(fp ^ other) <= DISTANCE
+    return np.bitwise_count((fp ^ other).view(np.uint64)) <= DISTANCE  # of signed numbers it counts the absolute value's bits
 
 
 def forest(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
