@@ -34,13 +34,38 @@ def test_window_form_equals_join_form(spark, rows):
     assert closed == {tuple(r) for r in cycles.pair_matches(df).select("container_no_norm", "gate_in_time", "gate_out_time").collect()}
     by_hand = set()
     for c in "AB":
-        events = sorted({(h, int(t == "GATE_OUT")) for x, h, t in rows if x == c})
-        by_hand |= {(c, T0 + timedelta(hours=i), T0 + timedelta(hours=o)) for i, o in pairs(events) if o is not None}
+        events = {(h, int(t == "GATE_OUT"), f"T{h}") for x, h, t in rows if x == c}
+        by_hand |= {(c, T0 + timedelta(hours=i), T0 + timedelta(hours=o)) for i, (_, o, _) in pairs(events).items() if o is not None}
     assert closed == by_hand
     found = cycles.cycles(df).collect()
     assert len({r.cycle_id for r in found}) == len(found) and all((r.dwell_time_hours or 0) >= 0 for r in found)
 
 
+def test_silver_parses_each_time_once(spark):
+    """Three texts, nine formats; no filter or id makes a parse of its own."""
+    from yardlake.operators import silver
+    from yardlake.plans import given as feed
+
+    rows = silver.deduplicated(silver.silver(feed.bronze(spark, "/root/testdata/sf0.001", "gate"), "gate"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") == 9
+
+
+def test_inventory_of_overlapping_stays(spark):
+    """Against the days of each stay, written out and counted."""
+    import random
+
+    rnd = random.Random(1)
+    stays = [(f"C{rnd.randrange(6)}", rnd.choice(["CT01", "CT02"]), a := rnd.randrange(-5, 12), None if rnd.random() < 0.2 else a + rnd.randrange(8)) for _ in range(60)]
+    rows = [(c, f, T0 + timedelta(days=a, hours=3), None if b is None else T0 + timedelta(days=b, hours=5)) for c, f, a, b in stays]
+    df = spark.createDataFrame(rows, "container_no_norm string, facility string, gate_in_time timestamp, gate_out_time timestamp")
+    got = {(r.facility, r.operational_date): r.inventory_eod for r in kpi.daily_inventory(df, F.lit("2024-01-11 00:00:00").cast("timestamp"), 10).collect()}
+    for f in ("CT01", "CT02"):
+        for d in range(11):
+            inside = {c for c, g, a, b in stays if g == f and a <= d <= (10 if b is None else b)}
+            assert got[f, (T0 + timedelta(days=d)).date()] == len(inside)
+
+
 def test_upsert_rules(spark):
     t = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
     s = spark.createDataFrame([(None, "c"), (2, "d")], "k int, v string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,9 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The patterns of container_number, facility_code, facility_prefix, raw_facility and event_type are fixed values.
+
+
 def container_number(raw: Column | str) -> Column:
     """Letters and digits only, upper case; nothing left: null."""
     return F.nullif(F.upper(F.regexp_replace(_col(raw), "[^A-Za-z0-9]", "")), F.lit(""))
@@ -37,14 +42,30 @@ def raw_facility(value: Column | str) -> Column:
 
 
 def event_time(time: Column | str, date: Column | str | None = None, clock: Column | str | None = None) -> Column:
-    """The first format that fits, then date and clock, then the date alone; years out of range: null."""
-    tries = [F.try_to_timestamp(_col(time), F.lit(f)) for f in TIME_FORMATS]
+    """The format that fits, then date and clock, then the date alone; years out of range: null."""
+    return in_range(read_time(time, date, clock))
+
+
+def read_time(time: Column | str, date: Column | str | None = None, clock: Column | str | None = None) -> Column:
+    """event_time() of any year."""
+    tries = [by_shape(_col(time), TIME_FORMATS)]
     if date is not None and clock is not None:
-        both = F.concat_ws(" ", _col(date), _col(clock))
-        tries += [F.try_to_timestamp(both, F.lit(f)) for f in DATE_AND_CLOCK_FORMATS]
-        tries.append(F.try_to_timestamp(_col(date), F.lit(DATE_FORMAT)))
-    found = F.coalesce(*tries)
-    return F.when(F.year(found).between(FIRST_YEAR, LAST_YEAR), found)
+        tries.append(by_shape(F.concat_ws(" ", _col(date), _col(clock)), DATE_AND_CLOCK_FORMATS))
+        tries.append(by_shape(_col(date), [DATE_FORMAT]))
+    return F.coalesce(*tries)
+
+
+def by_shape(text: Column, formats: list[str]) -> Column:
+    """The format whose digits and signs lie as in the text, so that only one is tried; a text fits no more than one."""
+    shape, out = F.translate(text, "012345678", "9" * 9), F.lit(None).cast("timestamp")
+    for f in reversed(formats):
+        like = re.sub("[a-zA-Z]", "9", f.replace("'T'", "\0")).replace("\0", "T")
+        out = F.when(shape == like, F.try_to_timestamp(text, F.lit(f))).otherwise(out)
+    return out
+
+
+def in_range(time: Column) -> Column:
+    return F.when(F.year(time).between(FIRST_YEAR, LAST_YEAR), time)
 
 
 def event_type(raw: Column | str, allowed: list[str]) -> Column:

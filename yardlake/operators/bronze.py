@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from yardlake.schemas import DLQ_REASON, payload
 
+# Names, casts and order of the envelope's columns are fixed values.
 KAFKA = ["kafka_key", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp"]
 
 
-def parsed(envelopes: DataFrame, topic: str) -> DataFrame:
-    """The envelope renamed, and the payload as struct `p` (null or all null where the value is no record)."""
+def parsed(envelopes: DataFrame, topic: str, more: tuple[str, ...] = ()) -> DataFrame:
+    """The envelope renamed, and the payload as struct `p` (null or all null where the value is no record). more: further
+    fields of the payload."""
     return envelopes.select(
         F.col("key").cast("string").alias("kafka_key"),
         F.col("value").cast("string").alias("kafka_value"),
@@ -19,7 +21,7 @@ def parsed(envelopes: DataFrame, topic: str) -> DataFrame:
         F.col("partition").cast("int").alias("kafka_partition"),
         F.col("offset").cast("long").alias("kafka_offset"),
         F.col("timestamp").cast("timestamp").alias("kafka_timestamp"),
-    ).withColumn("p", F.from_json("kafka_value", payload(topic)))
+    ).withColumn("p", F.from_json("kafka_value", payload(topic, more)))
 
 
 def is_valid() -> Column:

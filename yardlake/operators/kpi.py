@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from yardlake.functions import clean, shifts
 
 #: Spellings of the two families.
-IN_FAMILY = ["GATE_IN", "GATEIN", "IN", "GATE IN"]
-OUT_FAMILY = ["GATE_OUT", "GATEOUT", "OUT", "GATE OUT"]
+IN_FAMILY = ["GATE_IN", "GATEIN", "IN", "GATE-IN"]
+OUT_FAMILY = ["GATE_OUT", "GATEOUT", "OUT", "GATE-OUT"]
 TIME = "event_time_parsed"
 
 
@@ -17,11 +17,16 @@ def since(as_of: Column, days: int) -> Column:
     return F.col(TIME).between(F.date_sub(F.to_date(as_of), days).cast("timestamp"), as_of)
 
 
+def direction() -> Column:
+    """IN or OUT, by the cleaned type or else the raw one; null: neither."""
+    norm = F.upper(F.trim(F.coalesce("event_type_norm", "event_type")))
+    return F.when(norm.isin(IN_FAMILY), "IN").when(norm.isin(OUT_FAMILY), "OUT")
+
+
 def shift_kpis(gate: DataFrame, yard: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
     """facility, operational_date, shift_id, kpi_type, value. Both directions come from one pass over the gate events.
     The oldest operational date is only partly within the lookback and is left out."""
-    norm = F.upper(F.trim(F.coalesce("event_type_norm", "event_type")))
-    kind = F.when(norm.isin(IN_FAMILY), "SHIFT_GATE_IN").when(norm.isin(OUT_FAMILY), "SHIFT_GATE_OUT")
+    kind = F.when(direction() == "IN", "SHIFT_GATE_IN").when(direction() == "OUT", "SHIFT_GATE_OUT")
     rows = gate.where(since(as_of, days)).select(clean.facility_code("facility", "location").alias("facility"), TIME, kind.alias("kpi_type")).where("kpi_type is not null")
     moves = yard.where(since(as_of, days)).select(clean.facility_code("facility").alias("facility"), TIME, F.lit("SHIFT_YARD_MOVES").alias("kpi_type"))
     both = rows.unionByName(moves).where("facility is not null")
@@ -40,11 +45,6 @@ def throughput(cycles: DataFrame) -> DataFrame:
     )
 
 
-def calendar(spark, as_of: Column, days: int) -> DataFrame:
-    today = F.to_date(as_of)
-    return spark.range(1).select(F.explode(F.sequence(F.date_sub(today, days), today)).alias("operational_date"))
-
-
 def dense_days(cycles: DataFrame, as_of: Column, days: int) -> DataFrame:
     """Every facility on every day. Facilities are a handful of codes and the calendar has days + 1 rows, so each facility
     generates its own days and nothing is joined."""
@@ -66,13 +66,24 @@ def rolling(cycles: DataFrame, as_of: Column, days: int = 365) -> DataFrame:
 
 
 def daily_inventory(cycles: DataFrame, as_of: Column, days: int = 365) -> DataFrame:
-    """Containers in the yard per facility and day, the day of gate-out included; days without any are 0."""
+    """Containers in the yard per facility and day, the day of gate-out included; days without any are 0.
+
+    A container's stays that overlap count as one. A stay adds 1 on its first day and takes 1 away on the day after its
+    last, so a cycle makes two rows, however long it is; a running sum over the calendar gives the days between.
+    """
     today = F.to_date(as_of)
     first, last = F.greatest(F.to_date("gate_in_time"), F.date_sub(today, days)), F.least(F.coalesce(F.to_date("gate_out_time"), today), today)
-    stays = cycles.select("facility", "container_no_norm", first.alias("a"), last.alias("b")).where("a <= b")
-    seen = stays.select("facility", "container_no_norm", F.explode(F.sequence("a", "b")).alias("operational_date"))
-    counted = seen.groupBy("facility", "operational_date").agg(F.countDistinct("container_no_norm").alias("inventory_eod"))
-    return dense_days(cycles, as_of, days).join(counted, ["facility", "operational_date"], "left").na.fill({"inventory_eod": 0})
+    stays = cycles.select("container_no_norm", "facility", first.alias("a"), last.alias("b")).where("a <= b")
+    by = Window.partitionBy("container_no_norm", "facility").orderBy("a", "b")  # as cycles are dealt already
+    before = F.max("b").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    # what a stay adds to those before it: the days past their last one
+    added = stays.withColumn("a", F.greatest("a", F.date_add(before, 1))).where("a <= b")
+    step = lambda day, n: F.struct(day.alias("operational_date"), F.lit(n).alias("step"))
+    steps = added.select("facility", F.inline(F.array(step(F.col("a"), 1), step(F.date_add("b", 1), -1))))
+    change = steps.groupBy("facility", "operational_date").agg(F.sum("step").alias("step"))
+    dense = dense_days(cycles, as_of, days).join(change, ["facility", "operational_date"], "left")
+    running = F.sum(F.coalesce("step", F.lit(0))).over(Window.partitionBy("facility").orderBy("operational_date").rowsBetween(Window.unboundedPreceding, 0))
+    return dense.select("facility", "operational_date", running.alias("inventory_eod"))
 
 
 def daily_kpis(cycles: DataFrame, as_of: Column, days: int = 365) -> DataFrame:

@@ -49,9 +49,6 @@ def current(events: DataFrame) -> DataFrame:
     return events.groupBy("container_no_norm").agg(newest, *attributes).select("container_no_norm", "n.*", *ATTRIBUTES)
 
 
-ORDER = "event_time_parsed timestamp, event_type_norm string, event_id_generated string"
-
-
 def state(events: DataFrame) -> DataFrame:
     """As current, but with the order of the event that told each value beside it, so that states can be merged."""
     order = F.struct("event_time_parsed", "event_type_norm", "event_id_generated")
@@ -61,8 +58,12 @@ def state(events: DataFrame) -> DataFrame:
 
 def merged(target: DataFrame, source: DataFrame) -> DataFrame:
     """Two states as one: what the state of all their events would be, in whatever order they came."""
-    both = target.unionByName(source)
-    return both.groupBy("container_no_norm").agg(*[F.max(c).alias(c) for c in ("newest", *ATTRIBUTES)])
+    return newest_state(target.unionByName(source))
+
+
+def newest_state(states: DataFrame) -> DataFrame:
+    """One state of each container."""
+    return states.groupBy("container_no_norm").agg(*[F.max(c).alias(c) for c in ("newest", *ATTRIBUTES)])
 
 
 def visible(states: DataFrame) -> DataFrame:
@@ -73,4 +74,5 @@ def visible(states: DataFrame) -> DataFrame:
     )
 
 
-STATE = "container_no_norm string, " + ", ".join(f"{c} struct<at: struct<{ORDER.replace(' ', ': ').replace(',:', ',')}>, value: string>" for c in ("newest", *ATTRIBUTES))
+_TOLD = "struct<at: struct<event_time_parsed: timestamp, event_type_norm: string, event_id_generated: string>, value: string>"
+STATE = "container_no_norm string, " + ", ".join(f"{c} {_TOLD}" for c in ("newest", *ATTRIBUTES))

@@ -13,6 +13,9 @@ TOPIC_FIELDS = {
     "raw.mnr": "event_id event_type event_time container_no_raw size_raw location_raw amount_raw cleaning_cost_raw repair_cost_raw discount_raw note_raw stage facility source_file source_sheet source_row is_synthetic ingest_time",
 }
 
+# Topic of each kind of event.
+TOPICS = {"gate": "raw.gate", "yard_move": "raw.yard_move", "inspection": "raw.inspection", "cleaning": "raw.cleaning", "mnr": "raw.mnr"}
+
 # Spelling of a type -> its topic, case-sensitive.
 TOPIC_OF_TYPE = {
     "GATE_IN": "raw.gate", "GATEIN": "raw.gate", "GATE_OUT": "raw.gate", "GATEOUT": "raw.gate",
@@ -29,15 +32,14 @@ YARD_TYPES = ["YARD_MOVE", "YARD_TRANSFER", "RESTACK", "LOAD", "UNLOAD"]
 CLEANING_TYPES = ["CLEANING", "WASH", "DRY"]
 MNR_TYPES = ["REPAIR", "MAINTENANCE", "MNR", "MNR_ESTIMATE", "MNR_APPROVAL", "MNR_COMPLETE", "MNR_RECEIVED", "MNR_APPROVED", "MNR_REPAIRED"]
 INSPECTION_TYPES = ["INSPECTION", "DAMAGE_REPORT"]
+TYPES_OF_KIND = {"gate": GATE_TYPES, "yard_move": YARD_TYPES, "inspection": INSPECTION_TYPES, "cleaning": CLEANING_TYPES, "mnr": MNR_TYPES}
 IN_TYPES, OUT_TYPES = ["GATE_IN", "GATEIN"], ["GATE_OUT", "GATEOUT"]
 
 DLQ_REASON = "INVALID_JSON_OR_MISSING_CONTAINER"
 
 ENVELOPE = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
-CYCLE = "container_no_norm string, facility string, gate_in_time timestamp, gate_out_time timestamp, gate_in_truck string, gate_out_truck string, cycle_id string, cycle_status string, dwell_time_hours double, updated_at timestamp"
-STATUS = "container_no_norm string, event_time_parsed timestamp, event_type_norm string, facility string, last_location string, last_inspection_severity string, last_repair_stage string, last_cleaning_type string, updated_at timestamp"
-KPI_SHIFT = "facility string, operational_date date, shift_id string, kpi_type string, value bigint, computed_at timestamp"
 
 
-def payload(topic: str) -> T.StructType:
-    return T.StructType([T.StructField(f, T.StringType()) for f in TOPIC_FIELDS[topic].split()])
+def payload(topic: str, more: tuple[str, ...] = ()) -> T.StructType:
+    """more: fields that a producer has begun to send."""
+    return T.StructType([T.StructField(f, T.StringType()) for f in (*TOPIC_FIELDS[topic].split(), *more)])
