@@ -1,13 +1,15 @@
 """Streams give what the batch operators give, however the events fall into batches."""
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from yardlake.operators import bronze, cycles, silver, status
 from yardlake.plans import given
-from yardlake.schemas import payload
-from yardlake.sources.sinks import Snapshots, ensure_table, read_appended, register
-from yardlake.sources.tables import envelope_stream
+from yardlake.schemas import TOPICS, payload
+from yardlake.sources.sinks import Merged, Snapshots, append_batch, columns_of, ensure_table, read_appended, register
+from yardlake.sources.tables import between, envelope_stream, numbered, table_stream
 from yardlake.streaming import gold, ingest, service
 
 SF = "/root/testdata/sf0.001"
@@ -16,14 +18,14 @@ KINDS = ["gate", "yard_move", "inspection", "cleaning", "mnr"]
 
 def envelopes(spark, kind):
     rows = given.bronze(spark, SF, kind).withColumn("event_id", F.col("event_id").cast("string"))
-    topic = given.TOPICS[kind]
+    topic = TOPICS[kind]
     names = [f.name for f in payload(topic) if f.name in rows.columns]
     at = F.lit("2024-06-01 00:00:00").cast("timestamp")
     return rows.select(F.col("container_no_raw").alias("key"), F.to_json(F.struct(*names)).alias("value"), F.lit(topic).alias("topic"), F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"), at.alias("timestamp"))
 
 
 def batch_silver(spark, kind):
-    rows = bronze.valid(bronze.parsed(envelopes(spark, kind), given.TOPICS[kind]), F.current_timestamp())
+    rows = bronze.valid(bronze.parsed(envelopes(spark, kind), TOPICS[kind]), F.current_timestamp())
     return silver.deduplicated(silver.silver(rows, kind))
 
 
@@ -38,18 +40,18 @@ def test_streams_equal_batches(spark, tmp_path, files):
         df = envelopes(spark, kind).orderBy("offset")
         for i in range(files):  # the first part now, the others as later runs
             part = df.where(F.col("offset") % files == i).coalesce(1)
-            part.write.mode("append").parquet(f"file://{src}/{i}/{given.TOPICS[kind]}")
+            part.write.mode("append").parquet(f"file://{src}/{i}/{TOPICS[kind]}")
     for i in range(files):
         for kind in KINDS:
-            spark.read.parquet(f"file://{src}/{i}/{given.TOPICS[kind]}").coalesce(1).write.mode("append").parquet(f"file://{src}/all/{given.TOPICS[kind]}")
-        service.catch_up(spark, lambda t: envelope_stream(spark, f"file://{src}/all/{t}"), root)
+            spark.read.parquet(f"file://{src}/{i}/{TOPICS[kind]}").coalesce(1).write.mode("append").parquet(f"file://{src}/all/{TOPICS[kind]}")
+        service.catch_up(spark, lambda t: envelope_stream(spark, f"file://{src}/all/{t}"), root, "replay")
     want = {k: batch_silver(spark, k) for k in KINDS}
     for kind in KINDS:
         got = read_appended(spark, f"{root}/silver/{kind}", service.silver_schema(kind))
         if files == 1:  # in several runs a late event may be dropped, which the tables behind then lack
             assert rows_of(got.select("event_id_generated")) == rows_of(want[kind].select("event_id_generated"))
     silver_now = {k: read_appended(spark, f"{root}/silver/{k}", service.silver_schema(k)) for k in KINDS}
-    got = Snapshots(spark, f"{root}/gold/cycles", gold.CYCLE_ROW).read()
+    got = gold.read_cycles(spark, f"{root}/gold/cycles")
     assert rows_of(got) == rows_of(cycles.cycles(silver_now["gate"])) and got.count() > 0
     assert rows_of(gold.read_status(spark, f"{root}/gold/status")) == rows_of(status.current(status.all_events(silver_now)))
     gold.refresh_metrics(spark, root, 0, given.as_of())
@@ -68,11 +70,150 @@ def test_stateful_matches(spark, tmp_path):
     last = {}
     for _, part in sorted(parts, key=lambda x: x[0]):
         for r in part.itertuples(index=False):
-            last[r.container_no_norm, r.facility, r.gate_in_time] = r.gate_out_time
-    want = {(r.container_no_norm, r.facility, r.gate_in_time): r.gate_out_time for r in cycles.cycles(gate).toPandas().itertuples(index=False)}
+            last[r.container_no_norm, r.facility, r.gate_in_time] = (r.gate_out_time, r.gate_in_truck, r.gate_out_truck)
+    want = {(r.container_no_norm, r.facility, r.gate_in_time): (r.gate_out_time, r.gate_in_truck, r.gate_out_truck) for r in cycles.cycles(gate).toPandas().itertuples(index=False)}
     assert {k: str(v) for k, v in last.items()} == {k: str(v) for k, v in want.items()}
 
 
+GATE_ROW = "container_no_norm string, facility string, event_time_parsed timestamp, event_type_norm string, truck string"
+
+
+def gate_rows(spark, *rows):
+    """(container, day, IN or OUT)."""
+    return spark.createDataFrame([(c, "CT01", datetime(2024, 1, 1) + timedelta(days=d), f"GATE_{t}", f"T{d}") for c, d, t in rows], GATE_ROW)
+
+
+def test_state_holds_recent_events_and_open_cycles_only(spark, tmp_path):
+    """Each batch has a container of its own that goes out a day later, one that stays, and a late OUT."""
+    src, at = f"file://{tmp_path}/src", f"{tmp_path}/gold"
+    rows = []
+    for b in range(12):
+        new = [(f"A{b}", 10 * b, "IN"), (f"A{b}", 10 * b + 1, "OUT")] + ([("STAYS", 0, "IN")] if b == 0 else [("LATE", 10 * b - 8, "OUT")])
+        rows += new
+        gate_rows(spark, *new).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(GATE_ROW).option("maxFilesPerTrigger", 1).parquet(src)
+    q = gold.start_cycles(stream, f"file://{at}", f"file://{tmp_path}/cp", ingest.ONCE)
+    q.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(kept) <= 4 and kept[-1] <= 3
+    found = {(r.container_no_norm, r.cycle_status) for r in gold.read_cycles(spark, f"file://{at}").collect()}
+    assert found == {(f"A{b}", "CLOSED") for b in range(12)} | {("STAYS", "OPEN")}
+
+
+def test_an_out_before_its_in(spark, tmp_path):
+    """An OUT is kept until the watermark has passed it, and an IN that comes between takes a later OUT over."""
+    src, at = f"file://{tmp_path}/src", f"file://{tmp_path}/gold"
+    for part in ([("A", 3, "OUT")], [("A", 1, "IN")], [("A", 2, "IN")], [("B", 30, "IN")], [("A", 4, "OUT"), ("B", 31, "OUT")]):
+        gate_rows(spark, *part).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(GATE_ROW).option("maxFilesPerTrigger", 1).parquet(src)
+    gold.start_cycles(stream, at, f"file://{tmp_path}/cp", ingest.ONCE).awaitTermination()
+    got = {(r.container_no_norm, r.gate_in_time.day, r.gate_out_time and r.gate_out_time.day, r.gate_out_truck) for r in gold.read_cycles(spark, at).collect()}
+    assert got == {("A", 2, None, None), ("A", 3, 4, "T3"), ("B", 31, 1, "T31")}
+
+
+def test_batches_of_a_merged_table_read_no_history(spark, tmp_path, monkeypatch):
+    """64 batches that touch 10 of 640 keys each: a batch reads runs only where a level is full, and every key is rewritten
+    as often as there are levels."""
+    rule = lambda df: df.groupBy("k").agg(F.max("v").alias("v"))
+    table, read = Merged(spark, f"file://{tmp_path}/t", "k long, v long", rule), []
+    rows = table._rows
+    monkeypatch.setattr(table, "_rows", lambda names: read.append(len(names)) or rows(names))
+    per_batch = []
+    for b in range(64):
+        read.clear()
+        assert table.add(spark.range(10 * b, 10 * b + 10).selectExpr("id as k", f"{b}L as v").coalesce(1), b)
+        per_batch.append(sum(read))
+    assert per_batch[5] == per_batch[50] == 0 and sum(per_batch) == 64 + 8 and max(per_batch) == 16
+    assert table.read().count() == 640
+    assert not table.add(spark.range(1).selectExpr("id as k", "99L as v"), 63)  # a replay
+    assert table.read().agg(F.max("v")).first()[0] == 63
+
+
+def test_replays_and_new_columns(spark, tmp_path):
+    folder = f"file://{tmp_path}/t"
+    one, two = spark.createDataFrame([(1, "a")], "k long, v string"), spark.createDataFrame([(2, "b", "new")], "k long, v string, w string")
+    assert append_batch(one, folder, 0) and not append_batch(one, folder, 0)
+    assert append_batch(two, folder, 1) and append_batch(one, folder, 2)
+    assert sorted(map(tuple, read_appended(spark, folder).collect()), key=str) == sorted([(1, "a", None), (1, "a", None), (2, "b", "new")], key=str)
+    assert columns_of(spark, folder).names == ["k", "v", "w"]
+    assert table_stream(spark, folder, "k long, z int").columns == ["k", "z", "v", "w"]
+    with pytest.raises(ValueError, match="column v was string and now is int"):
+        append_batch(spark.createDataFrame([(1, 2)], "k long, v int"), folder, 3)
+
+
+def test_new_payload_field_reaches_silver(spark, tmp_path):
+    topic, root = "raw.gate", f"file://{tmp_path}/lake"
+    value = '{"event_type":"GATE_IN","container_no_raw":"TCNU%d","facility":"CT01","event_time":"2024-01-05 10:00:00","seal":"S%d"}'
+    for run, more in enumerate(((), ("seal",))):
+        rows = spark.createDataFrame([("K", value % (run, run), topic, 0, run)], "key string, value string, topic string, partition int, offset long").withColumn("timestamp", F.current_timestamp())
+        rows.coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/src")
+        ingest.start_bronze(envelope_stream(spark, f"file://{tmp_path}/src"), topic, root, ingest.ONCE, more).awaitTermination()
+        ingest.start_silver(spark, "gate", root, ingest.ONCE).awaitTermination()
+    got = read_appended(spark, f"{root}/silver/gate")
+    assert sorted((r.container_no_norm, r.seal) for r in got.collect()) == [("TCNU0", None), ("TCNU1", "S1")]
+
+
+def test_republished_events_count_once(spark, tmp_path):
+    topic, root = "raw.gate", f"file://{tmp_path}/lake"
+    value = '{"event_type":"GATE_IN","container_no_raw":"TCNU1","facility":"CT01","event_time":"2024-01-05 10:00:00"}'
+    rows = spark.createDataFrame([("K", value, topic, 0, i) for i in range(3)], "key string, value string, topic string, partition int, offset long").withColumn("timestamp", F.current_timestamp())
+    rows.coalesce(1).write.parquet(f"file://{tmp_path}/src")
+    ingest.start_bronze(envelope_stream(spark, f"file://{tmp_path}/src"), topic, root, ingest.ONCE).awaitTermination()
+    ingest.start_silver(spark, "gate", root, ingest.ONCE).awaitTermination()
+    assert read_appended(spark, f"{root}/silver/gate").count() == 1
+
+
+def test_service_runs_until_a_query_ends(spark, tmp_path):
+    """All streams on their triggers, metrics on the clock; then one query is stopped."""
+    import threading
+    import time
+
+    root = f"file://{tmp_path}/lake"
+    for kind in KINDS:
+        envelopes(spark, kind).coalesce(1).write.parquet(f"file://{tmp_path}/src/{TOPICS[kind]}")
+    done = []
+
+    def work():
+        service.run(spark, lambda t: envelope_stream(spark, f"file://{tmp_path}/src/{t}"), root, refresh_seconds=2)
+        done.append(True)
+
+    thread = threading.Thread(target=work, daemon=True)
+    thread.start()
+    table = Snapshots(spark, f"{root}/gold/backlog", gold.BACKLOG)
+    end = time.time() + 240
+    while time.time() < end and thread.is_alive() and not ((table.current() or 0) > 0 and table.read().count() and gold.read_cycles(spark, f"{root}/gold/cycles").count()):
+        time.sleep(2)
+    assert table.read().count() > 0 and gold.read_cycles(spark, f"{root}/gold/cycles").count() > 0
+    next(iter(spark.streams.active)).stop()
+    thread.join(120)
+    assert done and not spark.streams.active
+    assert gold.next_refresh(spark, root) == max(Snapshots(spark, f"{root}/gold/{t}", "facility string").current() for t in ("inventory", "backlog")) + 1
+
+
+def test_time_bounds_reach_the_files(spark, tmp_path):
+    append_batch(gate_rows(spark, ("A", 1, "IN")), f"file://{tmp_path}/t", 0)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        rows = between(read_appended(spark, f"file://{tmp_path}/t"), "event_time_parsed", given.at("2024-01-01 00:00:00"), given.as_of())
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(event_time_parsed" in plan and "LessThanOrEqual(event_time_parsed" in plan
+
+
+def test_rows_are_numbered_over_the_ranges_of_a_file(spark, tmp_path):
+    for name, n in (("a", 3000), ("b", 10)):
+        (tmp_path / f"{name}.csv").write_text("x\n" + "".join(f"{i}\n" for i in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        files = spark.read.option("header", True).csv(f"file://{tmp_path}")
+        assert files.rdd.getNumPartitions() > 5
+        rows = numbered(files).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 3010 and all(int(r.x) == r.row_number for r in rows)
+
+
 def test_snapshots_replay_and_register(spark, tmp_path):
     from yardlake.operators import upsert
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from yardlake.functions import clean
 from yardlake.schemas import TOPIC_FIELDS, TOPIC_OF_TYPE
+from yardlake.sources.tables import ROW
 
 #: Kinds of staging files: prefix of made ids, words in a file's name that tell the kind, in the order they are published.
 KINDS = {
@@ -37,8 +38,13 @@ def _field(df: DataFrame, name: str, default: str | None = None) -> Column:
     return F.coalesce(value, F.lit(default)) if default is not None else value
 
 
+def _row(df: DataFrame) -> Column:
+    """The row's number in its file, as tables.staging_csv() counts them, or else what the file itself says."""
+    return _field(df, ROW if ROW in df.columns else "source_row")
+
+
 def _made_id(df: DataFrame, prefix: str, own: str | None = None) -> Column:
-    made = F.concat_ws("_", F.lit(prefix), _field(df, "source_row"))
+    made = F.concat_ws("_", F.lit(prefix), _row(df))
     return F.coalesce(_field(df, own), made) if own else made
 
 
@@ -53,7 +59,9 @@ def _spot(df: DataFrame, side: str) -> Column:
 
 
 def _finish(df: DataFrame, topic: str, made: dict[str, Column]) -> DataFrame:
-    """All fields of the topic: those given, else the staging column of that name."""
+    """All fields of the topic: those given, else the staging column of that name; a row without a number gets that of its file."""
+    if ROW in df.columns:
+        made = {"source_row": F.coalesce(_field(df, "source_row"), _row(df))} | made
     return df.select(*[made.get(f, _field(df, f)).alias(f) for f in TOPIC_FIELDS[topic].split()])
 
 
@@ -90,29 +98,35 @@ def inspection(df: DataFrame, file: str = "inspection_damage_report.csv") -> Dat
 SHAPES = {"gate": gate, "cleaning": cleaning, "mnr": mnr, "yard_move": yard_move, "inspection": inspection}
 
 
-def first_rows(df: DataFrame, n: int, by: str = "source_row", within: str | None = None) -> DataFrame:
-    """The first n rows by an order, of each value of `within` if given. Per value Spark drops rows past n map-side."""
+def first_rows(df: DataFrame, n: int, by: str | None = None, within: str | None = None) -> DataFrame:
+    """The first n rows of each file, or else by a column (source_row, as a number, where none is named), of each value of
+    `within` if given. Per value Spark drops rows past n map-side."""
+    if by is None and ROW in df.columns:
+        return df.where(F.col(ROW) < n)
+    by = F.col(by) if by else F.col("source_row").cast("long")
     if within is None:
         return df.orderBy(by).limit(n)
     return df.withColumn("__n", F.row_number().over(Window.partitionBy(within).orderBy(by))).where(F.col("__n") <= n).drop("__n")
 
 
-def envelope(events: DataFrame, topic: str | None = None) -> DataFrame:
-    """key, value (JSON), topic; the topic of the type where none is given. Null fields are left out of the JSON."""
+#: As the publisher spells the time of publishing. A fixed value.
+STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def envelope(events: DataFrame, topic: str | None = None, at: Column | None = None) -> DataFrame:
+    """key, value (JSON), topic; the topic of the type where none is given. Null fields are left out of the JSON. at: the
+    time of publishing, which becomes ingest_time; the current time by default."""
     to = F.lit(topic) if topic else topic_of(F.col("event_type"))
+    events = events.withColumn("ingest_time", F.date_format(F.current_timestamp() if at is None else at, STAMP))
     return events.select(F.col("container_no_raw").alias("key"), F.to_json(F.struct("*")).alias("value"), to.alias("topic"))
 
 
-def all_envelopes(staged: dict[str, DataFrame], limit: int | None = None) -> DataFrame:
-    """Envelopes of all kinds, in the order of KINDS."""
+def all_envelopes(staged: dict[str, DataFrame], limit: int | None = None, at: Column | None = None) -> DataFrame:
+    """Envelopes of all kinds, in the order of KINDS; limit: rows of each kind, the first ones."""
     out = None
     for kind in (k for k in KINDS if k in staged):
         rows = first_rows(staged[kind], limit) if limit else staged[kind]
         fixed = KINDS[kind][2] if kind in ("yard_move", "inspection") else None
-        part = envelope(SHAPES[kind](rows), fixed)
+        part = envelope(SHAPES[kind](rows), fixed, at)
         out = part if out is None else out.unionByName(part)
     return out
-
-
-def counts_by_topic(envelopes: DataFrame) -> DataFrame:
-    return envelopes.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))

@@ -1,14 +1,17 @@
 """Writing tables: exactly-once appends, versioned snapshots and the catalog.
 
-A keyed table is a folder of versions, one per batch, and a file that names the current one. A batch that is run again
-starts from the version before its own, so a replay changes nothing.
+A keyed table that is small, or made anew each time, is a folder of versions, one per batch, and a file that names the
+current one (Snapshots). A batch that is run again starts from the version before its own, so a replay changes nothing. A
+keyed table that grows with its streams is a list of runs, merged where they are read (Merged).
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 KEEP = 3
 
@@ -42,6 +45,10 @@ class Files:
         how[0] = overwrite.OVERWRITE
         self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.fs.getConf()).rename(self.path(f"{p}.new"), self.path(p), how)
 
+    def move(self, p: str, to: str) -> None:
+        if not self.fs.rename(self.path(p), self.path(to)):
+            raise OSError(f"{p} could not be renamed to {to}")
+
     def get(self, p: str) -> str:
         stream = self.fs.open(self.path(p))
         text = self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -49,16 +56,95 @@ class Files:
         return text
 
 
-def append_batch(df: DataFrame, folder: str, batch_id: int) -> None:
-    """Rows of one batch in a folder of its own; running the batch again replaces them."""
-    df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+SCHEMA = "_columns.json"
+
+
+def columns_of(spark: SparkSession, folder: str) -> T.StructType | None:
+    """The columns of all batches appended to a folder so far; None before the first."""
+    files, at = Files(spark, folder), f"{folder}/{SCHEMA}"
+    return T.StructType.fromJson(json.loads(files.get(at))) if files.exists(at) else None
+
+
+def widened(known: T.StructType | None, new: T.StructType) -> T.StructType:
+    """Known columns, then those that are new; a column that changes its type is refused."""
+    plain = lambda fields: T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    if known is None:
+        return plain(new)
+    types = {f.name: f.dataType for f in known}
+    for f in new:
+        if types.get(f.name, f.dataType) != f.dataType:
+            raise ValueError(f"column {f.name} was {types[f.name].simpleString()} and now is {f.dataType.simpleString()}")
+    return plain([*known, *(f for f in new if f.name not in types)])
+
+
+def append_batch(df: DataFrame, folder: str, batch_id: int) -> bool:
+    """Rows of one batch, once: the batch is written aside and renamed into the table, so a reader sees all of it or
+    nothing, and a batch that is there already is not written again. New columns are added to the table's. False: it was
+    there. (On stores without an atomic rename of folders, a reader must wait for the batch's _SUCCESS file.)"""
+    spark = df.sparkSession
+    files, place, aside = Files(spark, folder), f"{folder}/batch_id={batch_id}", f"{folder}/_new-{batch_id}"
+    if files.exists(place):
+        return False
+    known = columns_of(spark, folder)
+    if (now := widened(known, df.schema)) != known:
+        files.put(f"{folder}/{SCHEMA}", now.json())
+    df.write.mode("overwrite").parquet(aside)
+    files.move(aside, place)
+    return True
 
 
-def read_appended(spark: SparkSession, folder: str, schema) -> DataFrame:
-    """All rows appended so far; none while the folder is missing."""
-    if not any(n.startswith("batch_id=") for n in Files(spark, folder).names(folder)):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{folder}/batch_id=*")
+def read_appended(spark: SparkSession, folder: str, schema=None) -> DataFrame:
+    """All rows appended so far, with all columns that any batch had; rows of `schema`, but none, before the first."""
+    known = columns_of(spark, folder)
+    if known is None or not any(n.startswith("batch_id=") for n in Files(spark, folder).names(folder)):
+        return spark.createDataFrame([], schema or known or T.StructType())
+    return spark.read.schema(known).parquet(f"{folder}/batch_id=*")
+
+
+class Merged:
+    """A keyed table as runs of partial rows, which `rule` makes one row a key of: rows -> rows, whatever their order, and
+    the same if some were merged before. A batch only adds its own run. FANOUT runs of a level are merged into one of the
+    next, so that a row is rewritten as often as the table has levels, not with every batch."""
+
+    FANOUT = 8
+
+    def __init__(self, spark: SparkSession, folder: str, schema, rule: Callable[[DataFrame], DataFrame]):
+        self.spark, self.folder, self.schema, self.rule = spark, folder, schema, rule
+        self.files = Files(spark, folder)
+
+    def runs(self) -> dict:
+        """The last batch, the runs of each level, and runs that the last batch has replaced, which readers may still use."""
+        at = f"{self.folder}/_runs.json"
+        return json.loads(self.files.get(at)) if self.files.exists(at) else {"batch": -1, "levels": [], "old": []}
+
+    def _rows(self, names: list[str]) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.folder}/{n}" for n in names])
+
+    def add(self, batch: DataFrame, batch_id: int) -> bool:
+        """Adds a batch, once. What is not named in the list of runs is not part of the table, so a failure leaves it as it was."""
+        now = self.runs()
+        if batch_id <= now["batch"]:
+            return False
+        levels, replaced, name, level = now["levels"], [], f"run-{batch_id}-0", 0
+        self.rule(batch).write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        while True:
+            if len(levels) <= level:
+                levels.append([])
+            levels[level].append(name)
+            if len(levels[level]) < self.FANOUT:
+                break
+            full, levels[level] = levels[level], []
+            replaced += full
+            level, name = level + 1, f"run-{batch_id}-{level + 1}"
+            self.rule(self._rows(full)).write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        self.files.put(f"{self.folder}/_runs.json", json.dumps({"batch": batch_id, "levels": levels, "old": replaced}))
+        for n in now["old"]:
+            self.files.delete(f"{self.folder}/{n}")
+        return True
+
+    def read(self) -> DataFrame:
+        names = [n for level in self.runs()["levels"] for n in level]
+        return self.rule(self._rows(names)) if names else self.spark.createDataFrame([], self.schema)
 
 
 class Snapshots:

@@ -2,19 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yardlake.schemas import ENVELOPE
+from yardlake.sources.sinks import columns_of, widened
+
+
+#: The column of staging_csv() that numbers a file's rows.
+ROW = "row_number"
 
 
 def staging_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """A CSV file with a header, all text. Without `columns` the header is read for them, never the types."""
+    """CSV files with a header, all text, and the number of each row in its file (ROW, from 0). Without `columns` the header
+    is read for them, never the types."""
     reader = spark.read.option("header", True)
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    return reader.csv(path)
+    return numbered(reader.csv(path))
+
+
+def numbered(files: DataFrame) -> DataFrame:
+    """Rows of files as read, numbered in order. Spark's tasks number the rows of each byte range; how many rows lie in the
+    ranges before it is a sum over one row a range."""
+    place = ["__file", "__range"]
+    at = [F.col("_metadata.file_path").alias(place[0]), F.col("_metadata.file_block_start").alias(place[1])]
+    rows = files.select("*", *at, F.monotonically_increasing_id().alias("__id"))
+    ranges = rows.groupBy(*place).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(place[0]).orderBy(place[1]).rowsBetween(Window.unboundedPreceding, -1))
+    ranges = ranges.select(*place, (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__shift"))
+    return rows.join(ranges, place).select(*files.columns, (F.col("__id") + F.col("__shift")).alias(ROW))
 
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int = 3000) -> DataFrame:
@@ -29,7 +47,9 @@ def envelope_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1
 
 
 def table_stream(spark: SparkSession, folder: str, schema, files_per_trigger: int = 100) -> DataFrame:
-    """Rows appended to a table that sinks.append_batch writes."""
+    """Rows appended to a table that sinks.append_batch writes: the columns of `schema`, and those that the table has besides."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    schema = widened(schema, columns_of(spark, folder) or schema)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{folder}/batch_id=*")
 
 

@@ -1,4 +1,5 @@
-"""Streams from silver to gold: cycles and status kept in state or snapshots, metrics recomputed from snapshots."""
+"""Streams from silver to gold. What a batch costs depends on the batch and on what is still open, not on the history:
+cycles are matched in state, and the tables only take what has changed; metrics are recomputed from the tables."""
 
 from __future__ import annotations
 
@@ -11,88 +12,145 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from yardlake.operators import cycles, metrics, status, upsert
-from yardlake.schemas import IN_TYPES
+from yardlake.functions import clean
+from yardlake.operators import cycles, metrics, status
+from yardlake.operators.silver import WATERMARK
+from yardlake.schemas import IN_TYPES, OUT_TYPES
 from yardlake.session import ship
-from yardlake.sources.sinks import Snapshots, read_appended
+from yardlake.sources.sinks import Merged, Snapshots
 
 GOLD_TRIGGER, METRICS_TRIGGER = {"processingTime": "30 seconds"}, {"processingTime": "1 minute"}
 CYCLE_ROW = "container_no_norm string, facility string, gate_in_time timestamp, gate_out_time timestamp, gate_in_truck string, gate_out_truck string, cycle_id string, cycle_status string, dwell_time_hours double"
+#: A change of a cycle: its row, and the number of the batch that made it.
+CHANGE = f"{CYCLE_ROW}, batch long"
 
 
-def start_cycles(gate: DataFrame, silver_gate: str, gold: str, checkpoint: str, trigger: dict = GOLD_TRIGGER) -> StreamingQuery:
-    """gate: the silver gate events as a stream; silver_gate: their folder. Only the containers of a batch are matched
-    anew, over all their events so far, so cycles do not depend on how events fall into batches."""
+def start_cycles(gate: DataFrame, gold: str, checkpoint: str, trigger: dict = GOLD_TRIGGER, watermark: str = WATERMARK) -> StreamingQuery:
+    """gate: the silver gate events as a stream. Events that come later than the watermark are dropped, as silver does."""
+    changes = stateful_matches(gate.withWatermark("event_time_parsed", watermark))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        touched = batch.select(*cycles.KEY).distinct()
-        known = read_appended(spark, silver_gate, batch.schema).join(touched, cycles.KEY, "left_semi")
-        Snapshots(spark, gold, CYCLE_ROW).upsert(cycles.cycles(known), batch_id, lambda t, s: upsert.replace(t, s, ["cycle_id"]))
+        cycle_changes(batch.sparkSession, gold).add(as_cycles(batch).withColumn("batch", F.lit(batch_id).cast("long")), batch_id)
 
-    return gate.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def newest_change(rows: DataFrame) -> DataFrame:
+    """Of each cycle the row of the last batch."""
+    columns = [c for c in rows.columns if c != "cycle_id"]
+    return rows.groupBy("cycle_id").agg(F.max_by(F.struct(*columns), "batch").alias("n")).select(*[f"n.{c}" if c != "cycle_id" else c for c in rows.columns])
+
+
+def cycle_changes(spark: SparkSession, gold: str) -> Merged:
+    return Merged(spark, gold, CHANGE, newest_change)
+
+
+def read_cycles(spark: SparkSession, gold: str) -> DataFrame:
+    return cycle_changes(spark, gold).read().drop("batch")
+
+
+def as_cycles(matches: DataFrame) -> DataFrame:
+    """Rows of stateful_matches as cycles.cycles() has them."""
+    out = F.col("gate_out_time")
+    return matches.select(
+        *cycles.KEY, "gate_in_time", "gate_out_time", "gate_in_truck", "gate_out_truck", clean.cycle_id("container_no_norm", "gate_in_time", "facility").alias("cycle_id"),
+        F.when(out.isNull(), "OPEN").otherwise("CLOSED").alias("cycle_status"), cycles.dwell_hours(F.col("gate_in_time"), out).alias("dwell_time_hours"),
+    )
+
+
+MATCH = "container_no_norm string, facility string, i long, in_truck string, o long, out_truck string"
 
 
 def stateful_matches(gate: DataFrame) -> DataFrame:
     """Matches as a stateful stream: no table is read or rewritten, and only what a batch changes comes out.
 
     gate needs a watermark on event_time_parsed. Each (container, facility) keeps its events; what lies before the watermark
-    is final and goes, but for the last IN, which a later OUT may still close. Rows are
-    container_no_norm, facility, gate_in_time, gate_out_time (null: open); a later row of a gate_in_time replaces the earlier.
+    is final and goes, but for the last IN and what follows it. Once that IN is closed for good, which a timer finds where
+    no event comes any more, the key has no state: what is kept are recent events and open cycles. Rows are
+    container_no_norm, facility, gate_in_time, gate_in_truck, gate_out_time, gate_out_truck (null: open); a later row of a
+    gate_in_time replaces the earlier.
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = [tuple(x) for x in json.loads(state.get[0])] if state.exists else []
-        before = dict(pairs(kept))
-        new = [(int(t), int(out)) for f in frames for t, out in zip(f["t"], f["is_out"], strict=True)]
-        now = sorted({*kept, *new})
-        found = pairs(now)
-        changed = [(i, o) for i, o in found if i not in before or before[i] != o]
-        floor = state.getCurrentWatermarkMs() * 1000
-        last_in = max((t for t, out in now if not out and t < floor), default=None)
-        closed_from = [e for e in now if e[0] >= floor or (last_in is not None and e[0] >= last_in)]
-        state.update((json.dumps(closed_from),))
-        yield pd.DataFrame({"container_no_norm": key[0], "facility": key[1], "i": [i for i, _ in changed], "o": pd.array([o for _, o in changed], "Int64")})
+        kept = {tuple(x) for x in json.loads(state.get[0])} if state.exists else set()
+        new = set() if state.hasTimedOut else {(int(t), int(out), None if truck is None or truck != truck else truck) for f in frames for t, out, truck in zip(f["t"], f["is_out"], f["truck"], strict=True)}
+        before, now = pairs(kept), pairs(kept | new)
+        rest = unsettled(kept | new, floor := state.getCurrentWatermarkMs() * 1000)
+        if rest:
+            state.update((json.dumps(sorted(rest, key=str)),))
+            if (last := max(t for t, _, _ in rest)) >= floor:  # a cycle that stays open needs no timer
+                state.setTimeoutTimestamp(last // 1000 + 1)
+        elif state.exists:
+            state.remove()
+        changed = [(i, *told) for i, told in now.items() if before.get(i) != told]
+        yield pd.DataFrame({
+            "container_no_norm": key[0], "facility": key[1], "i": pd.array([x[0] for x in changed], "int64"), "in_truck": pd.array([x[1] for x in changed], object),
+            "o": pd.array([x[2] for x in changed], "Int64"), "out_truck": pd.array([x[3] for x in changed], object),
+        })
 
     ship(gate.sparkSession)
-    rows = gate.where("container_no_norm is not null and facility is not null").select(*cycles.KEY, "event_time_parsed", F.unix_micros("event_time_parsed").alias("t"), (~F.col("event_type_norm").isin(IN_TYPES)).alias("is_out"))
-    out = rows.groupBy(*cycles.KEY).applyInPandasWithState(step, "container_no_norm string, facility string, i long, o long", "events string", "update", GroupStateTimeout.EventTimeTimeout)
-    return out.select(*cycles.KEY, F.timestamp_micros("i").alias("gate_in_time"), F.timestamp_micros("o").alias("gate_out_time"))
+    known = gate.where("container_no_norm is not null and facility is not null").where(F.col("event_type_norm").isin(IN_TYPES + OUT_TYPES))
+    rows = known.select(*cycles.KEY, "event_time_parsed", F.unix_micros("event_time_parsed").alias("t"), F.col("event_type_norm").isin(OUT_TYPES).alias("is_out"), "truck")
+    out = rows.groupBy(*cycles.KEY).applyInPandasWithState(step, MATCH, "events string", "update", GroupStateTimeout.EventTimeTimeout)
+    return out.select(*cycles.KEY, F.timestamp_micros("i").alias("gate_in_time"), F.col("in_truck").alias("gate_in_truck"), F.timestamp_micros("o").alias("gate_out_time"), F.col("out_truck").alias("gate_out_truck"))
+
+
+Event = tuple[int, int, str | None]  # time, 1 for an OUT, truck
 
 
-def pairs(events: list[tuple[int, int]]) -> list[tuple[int, int | None]]:
-    """(IN, first OUT that has it as its latest IN, or None), for events sorted by time, an IN before an OUT."""
-    found: dict[int, int | None] = {}
+def pairs(events: set[Event]) -> dict[int, tuple[str | None, int | None, str | None]]:
+    """IN -> its truck, the first OUT that has it as its latest IN and that one's truck; of equal times the least truck."""
+    found: dict[int, tuple] = {}
     last = None
-    for t, out in events:
-        if not out:
+    for t, out, truck in sorted(events, key=lambda e: (e[0], e[1], e[2] is None, e[2] or "")):
+        if not out and t not in found:
             last = t
-            found[t] = None
-        elif last is not None and found[last] is None:
-            found[last] = t
-    return list(found.items())
+            found[t] = (truck, None, None)
+        elif out and last is not None and found[last][1] is None:
+            found[last] = (found[last][0], t, truck)
+    return found
+
+
+def unsettled(events: set[Event], floor: int) -> set[Event]:
+    """What may still count: events from the watermark on, and the last IN before it with what follows, unless all that is
+    before the watermark and closed."""
+    last_in = max((t for t, out, _ in events if not out and t < floor), default=None)
+    rest = {e for e in events if e[0] >= floor or (last_in is not None and e[0] >= last_in)}
+    if last_in is None or any(t >= floor for t, _, _ in rest):
+        return rest
+    return set() if any(out for _, out, _ in rest) else rest
 
 
 def start_status(events: DataFrame, gold: str, checkpoint: str, trigger: dict = GOLD_TRIGGER) -> StreamingQuery:
-    """events: the harmonized events of all kinds as a stream. The snapshot holds mergeable states; read_status shows it."""
+    """events: the harmonized events of all kinds as a stream. The table holds mergeable states; read_status shows it."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        Snapshots(batch.sparkSession, gold, status.STATE).upsert(status.state(batch), batch_id, status.merged)
+        status_states(batch.sparkSession, gold).add(status.state(batch), batch_id)
 
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def status_states(spark: SparkSession, gold: str) -> Merged:
+    return Merged(spark, gold, status.STATE, status.newest_state)
+
+
 def read_status(spark: SparkSession, gold: str) -> DataFrame:
-    return status.visible(Snapshots(spark, gold, status.STATE).read())
+    return status.visible(status_states(spark, gold).read())
 
 
 INVENTORY = "facility string, dwell_bucket string, container_count long, max_dwell_hours double, min_dwell_hours double, metric_type string, metric_time timestamp"
 BACKLOG = "facility string, backlog_type string, backlog_count long, metric_time timestamp"
 
 
+def next_refresh(spark: SparkSession, root: str) -> int:
+    """The number of the next refresh, also after a restart."""
+    done = [Snapshots(spark, f"{root}/gold/{t}", s).current() for t, s in (("inventory", INVENTORY), ("backlog", BACKLOG))]
+    return max((n for n in done if n is not None), default=-1) + 1
+
+
 def refresh_metrics(spark: SparkSession, root: str, run: int, as_of: Column) -> None:
-    """Inventory and backlog from the current snapshots: dwell grows with the clock, though no event comes."""
-    inventory = metrics.inventory_by_dwell(Snapshots(spark, f"{root}/gold/cycles", CYCLE_ROW).read(), as_of).withColumn("metric_time", as_of)
+    """Inventory and backlog from the current tables: dwell grows with the clock, though no event comes."""
+    inventory = metrics.inventory_by_dwell(read_cycles(spark, f"{root}/gold/cycles"), as_of).withColumn("metric_time", as_of)
     Snapshots(spark, f"{root}/gold/inventory", INVENTORY).write(inventory, run)
     waiting = metrics.backlog(read_status(spark, f"{root}/gold/status")).withColumn("metric_time", as_of)
     Snapshots(spark, f"{root}/gold/backlog", BACKLOG).write(waiting, run)

@@ -1,6 +1,7 @@
 """Streams from envelopes to bronze, dead letters and silver.
 
-Every batch is written to a folder of its own id, so a batch that is run again after a failure replaces itself.
+Every batch is a folder of its own id that is there wholly or not at all, so a batch that is run again after a failure is
+not delivered twice.
 """
 
 from __future__ import annotations
@@ -10,8 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from yardlake.operators import bronze, silver
-from yardlake.plans.given import TOPICS
-from yardlake.schemas import payload
+from yardlake.schemas import TOPICS, payload
 from yardlake.sources.sinks import append_batch
 from yardlake.sources.tables import table_stream
 
@@ -27,11 +27,12 @@ def bronze_schema(topic: str) -> str:
     return f"kafka_key string, kafka_topic string, kafka_partition int, kafka_offset long, kafka_timestamp timestamp, bronze_ingest_time timestamp, {fields}"
 
 
-def start_bronze(envelopes: DataFrame, topic: str, root: str, trigger: dict = INGEST_TRIGGER) -> StreamingQuery:
-    """One query for both tables: the batch is parsed once and split."""
+def start_bronze(envelopes: DataFrame, topic: str, root: str, trigger: dict = INGEST_TRIGGER, more: tuple[str, ...] = ()) -> StreamingQuery:
+    """One query for both tables: the batch is parsed once and split. more: payload fields beside the known ones, which
+    become columns of the table from then on, and of silver."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = bronze.parsed(batch, topic).persist()
+        rows = bronze.parsed(batch, topic, more).persist()
         at = F.current_timestamp()
         append_batch(bronze.valid(rows, at), f"{root}/bronze/{topic}", batch_id)
         append_batch(bronze.dead_letters(rows, at), f"{root}/dlq/{topic}", batch_id)
@@ -40,15 +41,19 @@ def start_bronze(envelopes: DataFrame, topic: str, root: str, trigger: dict = IN
     return envelopes.where(F.col("topic") == topic).writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoints/bronze/{topic}").trigger(**trigger).start()
 
 
-def silver_stream(spark: SparkSession, kind: str, root: str, id_of: str = "replay") -> DataFrame:
-    """Accepted, deduplicated events of the bronze table as a stream."""
+def silver_stream(spark: SparkSession, kind: str, root: str, id_of: str = "business") -> DataFrame:
+    """Accepted, deduplicated events of the bronze table as a stream. By default an event that a feed publishes again counts
+    once; id_of `replay` removes re-reads of a record only."""
     topic = TOPICS[kind]
     rows = table_stream(spark, f"{root}/bronze/{topic}", bronze_schema(topic))
     return silver.deduplicated(silver.silver(rows, kind, id_of, latest=F.col("bronze_ingest_time") + F.expr(AHEAD)))
 
 
-def start_silver(spark: SparkSession, kind: str, root: str, trigger: dict = INGEST_TRIGGER, id_of: str = "replay") -> StreamingQuery:
+def start_silver(spark: SparkSession, kind: str, root: str, trigger: dict = INGEST_TRIGGER, id_of: str = "business") -> StreamingQuery:
     """Rows are counted on the way by observe(), not by a job of their own."""
     rows = silver_stream(spark, kind, root, id_of).observe(f"silver_{kind}", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("container_no_norm").isNull()).alias("null_container"))
-    write = lambda batch, batch_id: append_batch(batch, f"{root}/silver/{kind}", batch_id)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch, f"{root}/silver/{kind}", batch_id)
+
     return rows.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", f"{root}/checkpoints/silver/{kind}").trigger(**trigger).start()

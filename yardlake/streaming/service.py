@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yardlake.operators import silver, status
-from yardlake.plans.given import TOPICS
+from yardlake.schemas import TOPICS
 from yardlake.sources.tables import table_stream
 from yardlake.streaming import gold, ingest
 
@@ -21,6 +21,11 @@ def silver_table(spark: SparkSession, root: str, kind: str) -> DataFrame:
     return table_stream(spark, f"{root}/silver/{kind}", silver_schema(kind))
 
 
+def silver_events(spark: SparkSession, root: str) -> DataFrame:
+    """The harmonized events of all silver tables."""
+    return status.all_events({k: silver_table(spark, root, k) for k in TOPICS})
+
+
 def start_all(spark: SparkSession, envelopes, root: str, trigger: dict | None = None) -> list:
     """envelopes: function of a topic that gives its stream. Each query runs in a scheduler pool of its own name."""
     queries = []
@@ -33,26 +38,29 @@ def start_all(spark: SparkSession, envelopes, root: str, trigger: dict | None =
         start(f"bronze-{kind}", ingest.start_bronze, envelopes(topic), topic, root, trigger or ingest.INGEST_TRIGGER)
         start(f"silver-{kind}", ingest.start_silver, spark, kind, root, trigger or ingest.INGEST_TRIGGER)
     when = trigger or gold.GOLD_TRIGGER
-    start("cycles", gold.start_cycles, silver_table(spark, root, "gate"), f"{root}/silver/gate", f"{root}/gold/cycles", f"{root}/checkpoints/cycles", when)
-    events = status.all_events({k: silver_table(spark, root, k) for k in TOPICS})
-    start("status", gold.start_status, events, f"{root}/gold/status", f"{root}/checkpoints/status", when)
+    start("cycles", gold.start_cycles, silver_table(spark, root, "gate"), f"{root}/gold/cycles", f"{root}/checkpoints/cycles", when)
+    start("status", gold.start_status, silver_events(spark, root), f"{root}/gold/status", f"{root}/checkpoints/status", when)
     return queries
 
 
-def catch_up(spark: SparkSession, envelopes, root: str) -> None:
-    """Everything there is, layer after layer, then stop: for back-fills and tests."""
+def catch_up(spark: SparkSession, envelopes, root: str, id_of: str = "business") -> None:
+    """Everything there is, layer after layer, then stop: for back-fills and tests. Silver's ids: see ingest.silver_stream."""
     for kind, topic in TOPICS.items():
         ingest.start_bronze(envelopes(topic), topic, root, ingest.ONCE).awaitTermination()
-        ingest.start_silver(spark, kind, root, ingest.ONCE).awaitTermination()
-    gold.start_cycles(silver_table(spark, root, "gate"), f"{root}/silver/gate", f"{root}/gold/cycles", f"{root}/checkpoints/cycles", ingest.ONCE).awaitTermination()
-    events = status.all_events({k: silver_table(spark, root, k) for k in TOPICS})
-    gold.start_status(events, f"{root}/gold/status", f"{root}/checkpoints/status", ingest.ONCE).awaitTermination()
+        ingest.start_silver(spark, kind, root, ingest.ONCE, id_of).awaitTermination()
+    gold.start_cycles(silver_table(spark, root, "gate"), f"{root}/gold/cycles", f"{root}/checkpoints/cycles", ingest.ONCE).awaitTermination()
+    gold.start_status(silver_events(spark, root), f"{root}/gold/status", f"{root}/checkpoints/status", ingest.ONCE).awaitTermination()
 
 
 def run(spark: SparkSession, envelopes, root: str, refresh_seconds: int = 60) -> None:
-    """Until a query ends: metrics are refreshed on the clock, the only place where it is read."""
-    queries, runs = start_all(spark, envelopes, root), 0
-    while all(q.isActive for q in queries):
-        if not spark.streams.awaitAnyTermination(refresh_seconds):
-            gold.refresh_metrics(spark, root, runs, F.current_timestamp())
-            runs += 1
+    """Until a query ends: metrics are refreshed on the clock, the only place where it is read. If one fails, its error is
+    raised and the others are stopped."""
+    queries = start_all(spark, envelopes, root)
+    try:
+        while all(q.isActive for q in queries):
+            spark.streams.resetTerminated()  # queries that had ended before don't end the wait
+            if not spark.streams.awaitAnyTermination(refresh_seconds):
+                gold.refresh_metrics(spark, root, gold.next_refresh(spark, root), F.current_timestamp())
+    finally:
+        for q in queries:
+            q.stop()
