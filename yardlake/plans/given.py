@@ -1,7 +1,8 @@
 """The given tables seen as raw yard events, for the queries and their SQL alike.
 
 signup and purchase events stand for gate-in and gate-out, clicks for yard moves, views for inspections, errors for
-cleaning and repair; ids inject odd spellings, missing and wrong values.
+cleaning and repair; ids inject odd spellings, all time formats, missing and wrong values, and containers that are only
+known from one kind of event.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yardlake.operators import cycles, silver, status
+from yardlake.schemas import TOPICS
 
 RAW_SQL = """
 SELECT event_id,
@@ -23,10 +25,23 @@ SELECT event_id,
        WHEN event_type = 'view' THEN 'raw.inspection' WHEN event_id % 2 = 0 THEN 'raw.cleaning' ELSE 'raw.mnr' END AS topic,
   CASE WHEN event_id % 103 = 0 THEN 'nan'
        WHEN event_id % 101 = 0 THEN '1999' || substr(CAST(ts AS STRING), 5, 15)
-       WHEN event_id % 6 = 1 THEN substr(CAST(ts AS STRING), 9, 2) || '/' || substr(CAST(ts AS STRING), 6, 2) || '/' || substr(CAST(ts AS STRING), 1, 4) || substr(CAST(ts AS STRING), 11, 9)
+       WHEN event_id % 12 = 1 THEN {day} || substr(CAST(ts AS STRING), 11, 9)
+       WHEN event_id % 12 = 7 THEN {day} || substr(CAST(ts AS STRING), 11, 6)
        WHEN event_id % 6 = 2 THEN substr(CAST(ts AS STRING), 1, 10) || 'T' || substr(CAST(ts AS STRING), 12, 8)
+       WHEN event_id % 36 = 9 THEN {day}
+       WHEN event_id % 36 = 21 THEN substr(CAST(ts AS STRING), 1, 10)
+       WHEN event_id % 12 = 10 AND event_type NOT IN ('click', 'view') THEN CAST(NULL AS STRING)
+       WHEN event_id % 36 = 11 AND event_type IN ('signup', 'purchase') THEN 'at noon'
        ELSE substr(CAST(ts AS STRING), 1, 19) END AS event_time,
+  CASE WHEN event_type IN ('signup', 'purchase') AND (event_id % 12 = 10 OR event_id % 36 = 11) THEN {day} END AS date_raw,
+  CASE WHEN event_type IN ('signup', 'purchase') AND event_id % 24 = 10 THEN substr(CAST(ts AS STRING), 12, 8)
+       WHEN event_type IN ('signup', 'purchase') AND event_id % 24 = 22 THEN substr(CAST(ts AS STRING), 12, 5)
+       WHEN event_id % 36 = 11 THEN '?' END AS time_raw,
+  CASE WHEN event_type NOT IN ('signup', 'purchase', 'click', 'view') AND event_id % 2 = 0 THEN substr(CAST(ts AS STRING), 1, 10) END AS date_in,
   CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS STRING)
+       WHEN event_id % 7 = 3 AND event_type = 'view' THEN 'INSU' || lpad(CAST(event_id % 991 AS STRING), 7, '0')
+       WHEN event_id % 7 = 3 AND event_type = 'signup' THEN 'NEWU' || lpad(CAST(event_id % 991 AS STRING), 7, '0')
+       WHEN event_id % 14 = 3 AND event_type = 'error' THEN 'REPU' || lpad(CAST(event_id % 991 AS STRING), 7, '0')
        WHEN event_id % 10 = 0 THEN '  tcnu ' || lpad(CAST(user_id AS STRING), 7, '0') || ' '
        WHEN event_id % 10 = 1 THEN 'TCNU-' || lpad(CAST(user_id AS STRING), 7, '0')
        ELSE 'TCNU' || lpad(CAST(user_id AS STRING), 7, '0') END AS container_no_raw,
@@ -40,14 +55,15 @@ SELECT event_id,
   CAST(user_id % 3 AS INT) AS kafka_partition,
   event_id AS kafka_offset
 FROM {events}
-"""
-TOPICS = {"gate": "raw.gate", "yard_move": "raw.yard_move", "inspection": "raw.inspection", "cleaning": "raw.cleaning", "mnr": "raw.mnr"}
+""".replace("{day}", "substr(CAST(ts AS STRING), 9, 2) || '/' || substr(CAST(ts AS STRING), 6, 2) || '/' || substr(CAST(ts AS STRING), 1, 4)")
+#: Types of the given events that a kind is made of; None: all others.
+MADE_OF = {"gate": ["signup", "purchase"], "yard_move": ["click"], "inspection": ["view"], "cleaning": None, "mnr": None}
 #: Bronze columns that a kind has beside the common ones, made from which.
 EXTRA = {
-    "gate": {"date_raw": None, "time_raw": None, "booking": "booking", "truck": "truck", "location": "location"},
+    "gate": {"date_raw": "date_raw", "time_raw": "time_raw", "booking": "booking", "truck": "truck", "location": "location"},
     "yard_move": {"to_location": "location"},
     "inspection": {"damage_code": None, "component": None, "severity": "severity"},
-    "cleaning": {"date_in": None, "source_file": None, "source_row": None},
+    "cleaning": {"date_in": "date_in", "source_file": None, "source_row": None},
     "mnr": {"location_raw": "location", "stage": "stage", "source_file": None, "source_row": None},
 }
 
@@ -60,12 +76,18 @@ def as_of() -> Column:
     return at("2024-01-31 00:00:00")
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(RAW_SQL, events=spark.read.parquet(f"{sf_dir}/events.parquet"))
+def raw(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFrame:
+    """All raw events; with a kind, the files are only read for rows that it is made of."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if kind:
+        known = [t for types in MADE_OF.values() if types for t in types]
+        its = F.col("event_type").isin(MADE_OF[kind]) if MADE_OF[kind] else ~F.col("event_type").isin(known) | F.col("event_type").isNull()
+        events = events.where(its)
+    return spark.sql(RAW_SQL, events=events)
 
 
 def bronze(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    rows = raw(spark, sf_dir).where(F.col("topic") == TOPICS[kind])
+    rows = raw(spark, sf_dir, kind).where(F.col("topic") == TOPICS[kind])
     extra = [(F.col(c) if c else F.lit(None).cast("string")).alias(n) for n, c in EXTRA[kind].items()]
     return rows.select("event_id", "event_type", "event_time", "container_no_raw", "facility", "kafka_partition", "kafka_offset", *extra)
 

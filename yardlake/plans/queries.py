@@ -11,7 +11,8 @@ from yardlake.functions import clean
 from yardlake.operators import bronze as bronze_ops
 from yardlake.operators import cycles, health, kpi, metrics, serving, shape, silver, status, upsert
 from yardlake.plans import given, sql
-from yardlake.plans.given import TOPICS, as_of, at, edge
+from yardlake.plans.given import as_of, at, edge
+from yardlake.schemas import GATE_TYPES, TOPICS, TYPES_OF_KIND
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -48,15 +49,13 @@ def clean_facility(spark, sf):
     return given.raw(spark, sf).select("event_id", clean.facility_code("facility", "location").alias("facility"), clean.facility_prefix("facility", "location").alias("facility_prefix"))
 
 
-@query(f"SELECT event_id, {sql.TIME} AS event_time_parsed FROM raw")
+@query(f"SELECT event_id, {sql.time('event_time')} AS event_time_parsed FROM raw")
 def parse_event_time(spark, sf):
-    return given.raw(spark, sf).select("event_id", clean.event_time("event_time").alias("event_time_parsed"))
+    return given.raw(spark, sf).select("event_id", clean.event_time("event_time", "date_raw", "time_raw").alias("event_time_parsed"))
 
 
 @query(f"SELECT event_id, {sql.GATED} AS event_type_norm FROM raw")
 def validate_event_type(spark, sf):
-    from yardlake.schemas import GATE_TYPES
-
     return given.raw(spark, sf).select("event_id", clean.event_type("event_type", GATE_TYPES).alias("event_type_norm"))
 
 
@@ -69,12 +68,14 @@ def event_id_md5(spark, sf):
 
 
 def staging(spark, sf, kind: str) -> DataFrame:
-    rows = given.raw(spark, sf).where(F.col("topic") == TOPICS[kind]).withColumn("source_row", F.col("event_id").cast("string"))
+    rows = given.raw(spark, sf, kind).where(F.col("topic") == TOPICS[kind]).withColumn("source_row", F.col("event_id").cast("string"))
     if kind in ("yard_move", "inspection"):
         rows = rows.drop("event_id")
     if kind == "yard_move":
         part = lambda i: F.split_part("location", F.lit("-"), F.lit(i))
         rows = rows.withColumns({"move_id": F.concat(F.lit("M"), "source_row"), "move_time": F.col("event_time"), "to_block": part(1), "to_row": part(2), "to_bay": part(3), "to_tier": part(4)})
+        moved = F.col("source_row").cast("long") % 3 == 0
+        rows = rows.withColumns({f"from_{c}": F.when(moved, part(i)) for c, i in (("block", 1), ("row", 2), ("bay", 4), ("tier", 3))})
     if kind == "inspection":
         rows = rows.withColumn("inspection_time", F.col("event_time"))
     if kind == "cleaning":
@@ -109,7 +110,8 @@ def shape_mnr(spark, sf):
     return shape.mnr(staging(spark, sf, "mnr")).select(*SHOWN, "stage")
 
 
-@query("""SELECT 'M' || event_id AS event_id, 'yard_move' AS event_type, event_time, container_no_raw, facility, '---' AS from_location, coalesce(location, '---') AS to_location
+@query("""SELECT 'M' || event_id AS event_id, 'yard_move' AS event_type, event_time, container_no_raw, facility,
+  CASE WHEN event_id % 3 = 0 AND location IS NOT NULL THEN split_part(location, '-', 1) || '-' || split_part(location, '-', 2) || '-' || split_part(location, '-', 4) || '-' || split_part(location, '-', 3) ELSE '---' END AS from_location, coalesce(location, '---') AS to_location
   FROM raw WHERE topic = 'raw.yard_move'""")
 def shape_yard(spark, sf):
     return shape.yard_move(staging(spark, sf, "yard_move")).select(*SHOWN, "from_location", "to_location")
@@ -137,7 +139,7 @@ def publish_counts(spark, sf):
 
 def envelopes(spark, sf) -> DataFrame:
     """Gate envelopes; every 89th value is broken JSON, every 83rd no record at all."""
-    rows = given.raw(spark, sf).where("topic = 'raw.gate'")
+    rows = given.raw(spark, sf, "gate").where("topic = 'raw.gate'")
     made = F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), "event_type", "event_time", "container_no_raw", "facility", "location", "truck", "booking"))
     value = F.when(F.col("event_id") % 89 == 0, F.lit("{bad")).when(F.col("event_id") % 83 == 0, F.lit(None)).otherwise(made)
     return rows.select(F.col("container_no_raw").alias("key"), value.alias("value"), "topic", F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"), at("2024-02-01 00:00:00").alias("timestamp"))
@@ -428,7 +430,7 @@ def q_facility_filter(spark, sf):
 
 def layers(spark, sf) -> DataFrame:
     gate, moves = given.clean_events(spark, sf, "gate"), given.clean_events(spark, sf, "yard_move")
-    dated = given.raw(spark, sf).select(F.col("topic"), clean.event_time("event_time").alias("t"))
+    dated = given.raw(spark, sf).select(F.col("topic"), clean.event_time("event_time", "date_raw", "time_raw").alias("t"))
     tables = {("bronze", "bronze_gate"): (dated.where("topic = 'raw.gate'"), "t"), ("bronze", "bronze_yard"): (dated.where("topic = 'raw.yard_move'"), "t")}
     tables |= {("silver", "silver_gate"): (gate, "event_time_parsed"), ("silver", "silver_yard"): (moves, "event_time_parsed")}
     tables |= {("gold", "gold_cycles"): (cycles.cycles(gate), "gate_in_time")}

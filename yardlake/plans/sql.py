@@ -13,8 +13,16 @@ def code(c: str) -> str:
 
 
 FACILITY = f"CASE WHEN topic IN ('raw.gate', 'raw.mnr') THEN coalesce({code('facility')}, {code('location')}) ELSE {code('facility')} END"
-PARSED = "try_strptime(event_time, ['%Y-%m-%d %H:%M:%S', '%d/%m/%Y %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%d/%m/%Y %H:%M', '%Y-%m-%d', '%d/%m/%Y'])"
-TIME = f"CASE WHEN year({PARSED}) BETWEEN 2020 AND 2030 THEN {PARSED} END"
+FORMATS = "['%Y-%m-%d %H:%M:%S', '%d/%m/%Y %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%d/%m/%Y %H:%M', '%Y-%m-%d', '%d/%m/%Y']"
+
+
+def time(text: str) -> str:
+    """The time of a text, else of date_raw and time_raw, else of date_raw, if its year is in range."""
+    parsed = f"coalesce(try_strptime({text}, {FORMATS}), try_strptime(date_raw || ' ' || time_raw, ['%d/%m/%Y %H:%M:%S', '%d/%m/%Y %H:%M']), try_strptime(date_raw, '%d/%m/%Y'))"
+    return f"CASE WHEN year({parsed}) BETWEEN 2020 AND 2030 THEN {parsed} END"
+
+
+TIME = time("CASE topic WHEN 'raw.cleaning' THEN coalesce(event_time, date_in) ELSE event_time END")
 TYPE = r"upper(regexp_replace(regexp_replace(trim(event_type), '[\s\-]+', '_', 'g'), '[^A-Za-z0-9_]', '', 'g'))"
 GATED = f"CASE WHEN {TYPE} IN ('GATE_IN', 'GATEIN', 'GATE_OUT', 'GATEOUT') THEN {TYPE} END"
 RAW_FACILITY = r"coalesce(nullif(regexp_extract({}, '(CT\d{{2}})', 1), ''), 'UNKNOWN')"

@@ -8,12 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yardlake.operators import status
 from yardlake.plans import given
-from yardlake.plans.given import TOPICS
 from yardlake.plans.queries import SILVER, query, silver_sql
-from yardlake.schemas import payload
-from yardlake.sources.sinks import Snapshots, publish, read_appended
+from yardlake.schemas import TOPICS, payload
+from yardlake.sources.sinks import publish, read_appended
 from yardlake.sources.tables import envelope_stream
 from yardlake.streaming import gold, ingest, service
 
@@ -36,14 +34,14 @@ def envelopes(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     )
 
 
-def ingested(spark: SparkSession, sf_dir: str, kinds) -> str:
+def ingested(spark: SparkSession, sf_dir: str, kinds, id_of: str = "business") -> str:
     """The root of a lake that holds bronze and silver of these kinds, each made by its streams."""
     root = scratch(spark)
     for kind in kinds:
         topic = TOPICS[kind]
         publish(envelopes(spark, sf_dir, kind), f"{root}/topics/{topic}")
         ingest.start_bronze(envelope_stream(spark, f"{root}/topics/{topic}", ALL_FILES), topic, root, ingest.ONCE).awaitTermination()
-        ingest.start_silver(spark, kind, root, ingest.ONCE).awaitTermination()
+        ingest.start_silver(spark, kind, root, ingest.ONCE, id_of).awaitTermination()
     return root
 
 
@@ -57,20 +55,19 @@ KEYED = " AND container_no_raw IS NOT NULL"
 
 @query(silver_sql("gate", "event_type_norm").replace("SELECT event_id,", "SELECT CAST(event_id AS VARCHAR) AS event_id,") + KEYED)
 def stream_silver_gate(spark, sf):
-    return silver_of(spark, ingested(spark, sf, ["gate"]), "gate").select(*SILVER, "event_type_norm")
+    return silver_of(spark, ingested(spark, sf, ["gate"], "replay"), "gate").select(*SILVER, "event_type_norm")
 
 
 @query("SELECT * FROM cycles")
 def stream_cycles(spark, sf):
     root = ingested(spark, sf, ["gate"])
     at = f"{root}/gold/cycles"
-    gold.start_cycles(service.silver_table(spark, root, "gate"), f"{root}/silver/gate", at, f"{root}/checkpoints/cycles", ingest.ONCE).awaitTermination()
-    return Snapshots(spark, at, gold.CYCLE_ROW).read()
+    gold.start_cycles(service.silver_table(spark, root, "gate"), at, f"{root}/checkpoints/cycles", ingest.ONCE).awaitTermination()
+    return gold.read_cycles(spark, at)
 
 
 @query("SELECT * FROM status")
 def stream_status(spark, sf):
     root = ingested(spark, sf, list(TOPICS))
-    events = status.all_events({k: service.silver_table(spark, root, k) for k in TOPICS})
-    gold.start_status(events, f"{root}/gold/status", f"{root}/checkpoints/status", ingest.ONCE).awaitTermination()
+    gold.start_status(service.silver_events(spark, root), f"{root}/gold/status", f"{root}/checkpoints/status", ingest.ONCE).awaitTermination()
     return gold.read_status(spark, f"{root}/gold/status")
