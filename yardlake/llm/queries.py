@@ -1,4 +1,7 @@
-"""The training-data operators as queries over the given tables."""
+"""The training-data operators as queries over the given tables.
+
+What a query writes to the shared folder stays there, as its result still reads it; common.clean_up() takes it away.
+"""
 
 from __future__ import annotations
 
