@@ -89,3 +89,37 @@ def test_dead_letters(spark):
     at = F.current_timestamp()
     assert [r.kafka_offset for r in bronze.dead_letters(p, at).orderBy("kafka_offset").collect()] == [0, 1, 2, 3, 4]
     assert [(r.kafka_offset, r.container_no_raw) for r in bronze.valid(p, at).orderBy("kafka_offset").collect()] == [(5, "5"), (6, "")]
+
+
+def test_kafka_options():
+    """The connector is not here: what it would be asked for."""
+    from types import SimpleNamespace
+
+    from yardlake.sources import tables
+
+    asked = {}
+
+    class Reader:
+        def format(self, name):
+            asked["format"] = name
+            return self
+
+        def options(self, **options):
+            asked.update(options)
+            return self
+
+        def load(self):
+            return asked
+
+    assert tables.topic_stream(SimpleNamespace(readStream=Reader()), "host:9092", "raw.gate", 10) == {
+        "format": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "raw.gate", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "10", "failOnDataLoss": "false",
+    }
+
+
+def test_own_list_of_types(spark):
+    from yardlake.operators import silver
+    from yardlake.schemas import TYPES_OF_KIND
+
+    rows = spark.createDataFrame([(i, t, "2024-01-05 10:00:00", "C1", "CT01", None, 0, i) for i, t in enumerate(["restack", "yard move", " LOAD ", "fly", None])], "id int, event_type string, event_time string, container_no_raw string, facility string, to_location string, kafka_partition int, kafka_offset long")
+    assert silver.silver(rows, "yard_move").count() == 5
+    assert [r.event_type_norm for r in silver.silver(rows, "yard_move", types=TYPES_OF_KIND["yard_move"]).orderBy("id").collect()] == ["RESTACK", "YARD_MOVE", "LOAD"]

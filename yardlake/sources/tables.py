@@ -36,7 +36,8 @@ def numbered(files: DataFrame) -> DataFrame:
 
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int = 3000) -> DataFrame:
-    """A Kafka topic from its earliest offset; lost offsets don't stop it. Needs the Kafka connector."""
+    """A Kafka topic from its earliest offset; lost offsets don't stop it. Needs the Kafka connector. Its columns are those of
+    envelope_stream, so `service.run(spark, lambda topic: topic_stream(spark, servers, topic), root)` runs on Kafka."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest", "maxOffsetsPerTrigger": str(per_trigger), "failOnDataLoss": "false"}
     return spark.readStream.format("kafka").options(**options).load()
 
