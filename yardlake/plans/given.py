@@ -108,7 +108,11 @@ def current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.current(harmonized(spark, sf_dir))
 
 
+#: Added before rounding, as means that end in a 5 differ in their last bit with the order of their terms.
+TIE = 1e-9
+
+
 def edge(df: DataFrame) -> DataFrame:
     """Timestamps and dates as timestamps without a zone, and doubles of six places, as the SQL has them."""
-    fixed = {"timestamp": lambda c: F.col(c).cast("timestamp_ntz"), "date": lambda c: F.col(c).cast("timestamp_ntz"), "double": lambda c: F.round(c, 6)}
+    fixed = {"timestamp": lambda c: F.col(c).cast("timestamp_ntz"), "date": lambda c: F.col(c).cast("timestamp_ntz"), "double": lambda c: F.round(F.col(c) + TIE, 6)}
     return df.select(*[fixed[t](c).alias(c) if t in fixed else F.col(c) for c, t in df.dtypes])

@@ -31,8 +31,13 @@ def query(text: str | None, dates: bool = False):
     return add
 
 
+def six(c: str) -> str:
+    """Six places, as given.edge() rounds."""
+    return f"round({c} + {given.TIE}, 6)"
+
+
 def r6(*columns: str) -> str:
-    return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
+    return ", ".join(f"{six(c)} AS {c}" for c in columns)
 
 
 # Single values
@@ -397,24 +402,24 @@ def q_throughput_trend(spark, sf):
     return serving.throughput_trend(daily_rows(spark, sf))
 
 
-@query("SELECT day_ts, round(avg(metric1), 6) AS avg_dwell, round(avg(metric3), 6) AS p95_dwell FROM daily WHERE kpi_type = 'DAILY_THROUGHPUT' GROUP BY 1")
+@query(f"SELECT day_ts, {six('avg(metric1)')} AS avg_dwell, {six('avg(metric3)')} AS p95_dwell FROM daily WHERE kpi_type = 'DAILY_THROUGHPUT' GROUP BY 1")
 def q_dwell_trend(spark, sf):
     return serving.dwell_trend(daily_rows(spark, sf))
 
 
-@query("""SELECT day_name, hour_of_day, round(activity, 6) AS activity, round(activity / sum(activity) OVER (), 6) AS share
+@query(f"""SELECT day_name, hour_of_day, {six('activity')} AS activity, {six('activity / sum(activity) OVER ()')} AS share
   FROM (SELECT day_name, hour_of_day, sum(avg_activity) AS activity FROM peaks GROUP BY 1, 2)""")
 def q_heatmap(spark, sf):
     return serving.heatmap(peak_rows(spark, sf))
 
 
-@query("SELECT facility, activity, round(activity / sum(activity) OVER (), 6) AS share FROM (SELECT facility, sum(total_activity)::BIGINT AS activity FROM peaks GROUP BY 1)")
+@query(f"SELECT facility, activity, {six('activity / sum(activity) OVER ()')} AS share FROM (SELECT facility, sum(total_activity)::BIGINT AS activity FROM peaks GROUP BY 1)")
 def q_facility_share(spark, sf):
     return serving.facility_share(peak_rows(spark, sf))
 
 
-@query("""SELECT 'total_in_yard' AS card, sum(container_count)::DOUBLE AS value FROM inventory UNION ALL SELECT 'total_backlog', sum(backlog_count)::DOUBLE FROM backlog
-  UNION ALL SELECT 'rolling_throughput', round(arg_max(v, day_ts), 6) FROM (SELECT day_ts, sum(rolling_7d_avg_throughput) AS v FROM daily WHERE kpi_type = 'DAILY_THROUGHPUT' GROUP BY 1)""")
+@query(f"""SELECT 'total_in_yard' AS card, sum(container_count)::DOUBLE AS value FROM inventory UNION ALL SELECT 'total_backlog', sum(backlog_count)::DOUBLE FROM backlog
+  UNION ALL SELECT 'rolling_throughput', {six('arg_max(v, day_ts)')} FROM (SELECT day_ts, sum(rolling_7d_avg_throughput) AS v FROM daily WHERE kpi_type = 'DAILY_THROUGHPUT' GROUP BY 1)""")
 def q_cards(spark, sf):
     gate_cycles = given.gate_cycles(spark, sf)
     return serving.cards(metrics.inventory_by_dwell(gate_cycles, as_of()), metrics.backlog(given.current(spark, sf)), kpi.daily_kpis(gate_cycles, as_of()))
