@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, language_id, line_dedup, media_sniff, packing, quality_rules, simhash, token_counts, toxicity
+from . import alignment, byte_bpe, chat_format, language_id, line_dedup, media_sniff, packing, quality_rules, simhash, token_counts, toxicity
 from .common import crc_of_id, table
 
 
@@ -151,5 +151,9 @@ def op10_media_sniff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_sniff.store_and_read(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "media.*")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_byte_bpe, op4_packing, op5_simhash, op6_chat_format, op7_line_dedup, op8_token_counts, op9_toxicity, op10_media_sniff)}
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_byte_bpe, op4_packing, op5_simhash, op6_chat_format, op7_line_dedup, op8_token_counts, op9_toxicity, op10_media_sniff, op13_alignment)}
 ORACLE_SQL = {"op1_quality_rules": OP1_SQL, "op6_chat_format": OP6_SQL, "op7_line_dedup": OP7_SQL}
