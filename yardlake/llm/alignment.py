@@ -1,7 +1,9 @@
 """Cross-tokenizer alignment: which tokens of two tokenizers cover the same bytes, and how often a corpus links them.
 
 Both tokenizers end a token wherever a space follows something that is no white space, so a text is cut there into units,
-and a worker aligns each distinct unit once (Aligner). The counts over the corpus are external spill counting:
+and a worker encodes each unit once while it remembers it. Token ends are then compared for a whole slice of texts at once:
+between two neighbouring ends lies one link, and where both sides end, a group ends. The counts over the corpus are external
+spill counting:
 
 1. `spill`: while texts are aligned, the (pair, document) records of a slice of texts are sorted and radix-partitioned
    by their first id, and each part is written as a zstd run to the shared folder.
@@ -10,7 +12,7 @@ and a worker aligns each distinct unit once (Aligner). The counts over the corpu
    a first id are neighbours, its maximum. They are stored as sorted blocks, each of one radix.
 3. `contributions`: each split's runs of a radix stream past the blocks of that radix, and give every document its sums.
 
-A record crosses the network once, compressed, in step 3. What is held at a time is one slice, one run of each slice of a
+A record crosses the network once, compressed, in step 3. What is held at a time is one slice, the pairs of one radix of one
 split (a split has about spark.sql.files.maxPartitionBytes), and the totals of one radix. A first id, frequent as it may be, has
 one record a pair and split after the first merge, so no key is hot.
 """
@@ -20,7 +22,9 @@ from __future__ import annotations
 import hashlib
 import heapq
 import itertools
+import os
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -38,11 +42,13 @@ from .common import slices, written
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Parts that pairs are dealt over by their first id.
 RADIX = 8
-#: Distinct units that a worker remembers, and units that are aligned at once.
-MEMO, UNITS = 150_000, 1 << 17
+#: Units that a worker remembers, some 100 MB, and characters of a text that are aligned at once.
+MEMO, PART = 400_000, 1 << 21
 #: Pairs in a stored block of totals.
 BLOCK = 1 << 16
-SPACE = "\u2581"
+#: A pair is a << ID_BITS | b, its record in a slice that << ROW_BITS | row.
+ID_BITS, ROW_BITS = 20, 20
+SPACE = "▁"
 CUT = re.compile(r"(?<=\S) ")
 
 
@@ -54,107 +60,126 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Byte:
-    """Tokenizer A: ids and the bytes of each id."""
+    """Tokenizer A: ids, and the bytes of each id."""
 
     def __init__(self, file: str):
+        # a worker has the cores of one task, not all that the library sees
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(file)
         self.model.encode_special_tokens = True
         back = byte_alphabet()
         vocab = self.model.get_vocab(with_added_tokens=False)
-        self.bytes = {i: bytes(back[c] for c in piece) for piece, i in vocab.items()}
+        self.bytes = [b""] * (max(vocab.values()) + 1)
+        for piece, i in vocab.items():
+            self.bytes[i] = bytes(back[c] for c in piece)
 
     def ids(self, units: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast(units, add_special_tokens=False)]
+        return [e.ids for e in self.model.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
 
 
 class Piece:
-    """Tokenizer B, which puts a space before every text itself."""
+    """Tokenizer B, which puts a space before a text itself, but not before an empty one."""
 
     def __init__(self, file: str):
         import sentencepiece
 
         self.model = m = sentencepiece.SentencePieceProcessor(model_file=file)
-        own = lambda i: m.id_to_piece(i)
-        self.bytes = {i: bytes([int(own(i)[3:5], 16)]) if m.is_byte(i) else own(i).replace(SPACE, " ").encode() for i in range(m.get_piece_size())}
+        names = [m.id_to_piece(i) for i in range(m.get_piece_size())]
+        self.bytes = [bytes([int(p[3:5], 16)]) if m.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
         self.alone = m.piece_to_id(SPACE)
 
     def ids(self, units: list[str]) -> list[list[int]]:
-        """A unit that is one space alone has nothing for the model to put its space before."""
-        return [i or [self.alone] for i in self.model.encode([u[1:] for u in units], num_threads=1)]
+        return [i or [self.alone] for i in self.model.encode(units, num_threads=1)]
 
 
-def units_of(text: str) -> Iterator[str]:
-    """space + text, cut before each space that follows something that is no white space."""
-    start = 0
-    whole = " " + text
-    for found in CUT.finditer(whole):
-        yield whole[start : found.start()]
-        start = found.start()
-    yield whole[start:]
+class Ragged:
+    """Lists of ids by number, and what is known of each id: its size in bytes and its number as text with what may follow it."""
+
+    def __init__(self, pieces: list[bytes], inner: str, last: str):
+        self.pieces = pieces
+        self.size = np.array([len(p) for p in pieces], np.int64)
+        self.text = [f"{i}{mark}" for i in range(len(pieces)) for mark in (inner, last)]
+        self.clear()
+
+    def clear(self) -> None:
+        self.flat, self.start = array("i"), array("q", [0])
+
+    def add(self, ids: list[int]) -> None:
+        self.flat.extend(ids)
+        self.start.append(len(self.flat))
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these numbers, one list after another, and how many each has."""
+        flat, start = np.frombuffer(self.flat, np.int32), np.frombuffer(self.start, np.int64)
+        n = start[numbers + 1] - start[numbers]
+        at = np.arange(int(n.sum())) + np.repeat(start[numbers] - (np.cumsum(n) - n), n)
+        return flat[at].astype(np.int64), n
 
 
 class Aligner:
-    """Aligned units by number: their counts, their groups as text, their linked pairs."""
+    """Encodes and aligns slices of texts."""
 
     def __init__(self, a: str, b: str):
-        self.a, self.b = Byte(a), Piece(b)
+        self.models = Byte(a), Piece(b)
+        self.a, self.b = Ragged(self.models[0].bytes, ",", "|"), Ragged(self.models[1].bytes, ",", ";")
+        if max(len(self.a.pieces), len(self.b.pieces)) > 1 << ID_BITS:
+            raise ValueError(f"a vocabulary has more than {1 << ID_BITS} ids")
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.groups: list[str] = []
-        self.counts: list[tuple[int, int, int, int]] = []  # n_a, n_b, n_groups, n_links; n_a is -1 where the bytes differ
-        self.pairs: list[np.ndarray] = []
+        self.good = array("b")
+        self.a.clear()
+        self.b.clear()
 
     def learn(self, units: list[str]) -> None:
-        """Numbers for units that are not known yet."""
-        for unit, x, y in zip(units, self.a.ids(units), self.b.ids(units), strict=True):
-            self.number[unit] = len(self.groups)
-            raw = unit.encode("utf-8", "replace")
-            bytes_a, bytes_b = [self.a.bytes.get(i, b"") for i in x], [self.b.bytes[i] for i in y]
-            if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
-                self.groups.append("")
-                self.counts.append((-1, 0, 0, 0))
-                self.pairs.append(np.zeros(0, np.int64))
-                continue
-            groups, pairs = align(x, bytes_a, y, bytes_b)
-            self.groups.append(groups)
-            self.counts.append((len(x), len(y), groups.count(";") + 1, len(pairs)))
-            self.pairs.append(np.array(pairs, np.int64))
+        """Numbers for units that are not known yet. A unit is good if both token lists give its bytes back."""
+        for unit, x, y in zip(units, self.models[0].ids(units), self.models[1].ids(units), strict=True):
+            raw = b" " + unit.encode("utf-8", "replace")
+            same = [b"".join(map(side.pieces.__getitem__, ids)) == raw for side, ids in ((self.a, x), (self.b, y))]
+            self.number[unit] = len(self.good)
+            self.good.append(all(same))
+            self.a.add(x)
+            self.b.add(y)
 
     def numbers(self, units: list[str]) -> np.ndarray:
-        try:
-            return np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
-        except KeyError:
-            if len(self.groups) > MEMO:
-                self.clear()
-            self.learn([u for u in dict.fromkeys(units) if u not in self.number])
-            return np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
-
-
-def align(x: list[int], bytes_a: list[bytes], y: list[int], bytes_b: list[bytes]) -> tuple[str, list[int]]:
-    """Groups as text, and a << 32 | b of every two overlapping tokens, for token lists of equal bytes."""
-    pairs, groups = [], []
-    i = j = i0 = j0 = at_a = at_b = 0
-    n, m = len(x), len(y)
-    end_a, end_b = len(bytes_a[0]), len(bytes_b[0])
-    while True:
-        pairs.append(x[i] << 32 | y[j])
-        if end_a == end_b:
-            i, j = i + 1, j + 1
-            groups.append(f"{','.join(map(str, x[i0:i]))}|{','.join(map(str, y[j0:j]))}")
-            if i == n or j == m:
-                return ";".join(groups), pairs
-            i0, j0 = i, j
-            end_a, end_b = end_a + len(bytes_a[i]), end_b + len(bytes_b[j])
-        elif end_a < end_b:
-            i += 1
-            end_a += len(bytes_a[i])
-        else:
-            j += 1
-            end_b += len(bytes_b[j])
+        """Of known units."""
+        return np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+
+    def slice(self, texts: list[str | None], whole: bool = False) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+        """whole: an empty text is one space too, as the last part of another may be. For each text its four counts (zeros without tokens) and its groups as text; records (distinct, sorted) and their links."""
+        split = [CUT.split(t) if (t or whole) and SPACE not in t else [] for t in texts]
+        if len(self.good) > MEMO:
+            self.clear()
+        self.learn([u for u in dict.fromkeys(itertools.chain.from_iterable(split)) if u not in self.number])
+        good = np.frombuffer(self.good, np.int8)
+        numbers = [self.numbers(u) for u in split]
+        numbers = [n if good[n].all() else n[:0] for n in numbers]
+        del good
+        row = np.repeat(np.arange(len(texts)), [len(n) for n in numbers])
+        numbers = np.concatenate([*numbers, np.zeros(0, np.int64)])
+        (x, n_x), (y, n_y) = self.a.of(numbers), self.b.of(numbers)
+        row_x, row_y = np.repeat(row, n_x), np.repeat(row, n_y)
+        # all token ends in order; x comes before y where both end
+        ends = np.r_[np.cumsum(self.a.size[x]), np.cumsum(self.b.size[y])]
+        order = np.argsort(ends, kind="stable")
+        first = np.flatnonzero(np.diff(ends[order], prepend=-1))
+        in_x = np.add.reduceat((order < len(x)).astype(np.int64), first) if len(first) else first
+        in_y = np.diff(np.r_[first, len(order)]) - in_x
+        at_x, at_y, cut = np.cumsum(in_x) - in_x, np.cumsum(in_y) - in_y, in_x & in_y
+        records, links = np.unique((x[at_x] << ID_BITS | y[at_y]) << ROW_BITS | row_x[at_x], return_counts=True)
+        per = lambda rows: np.bincount(rows, minlength=len(texts))
+        counts = np.stack([per(row_x), per(row_y), per(row_x[at_x[cut > 0]]), per(row_x[at_x])], 1)
+        group = np.cumsum(cut) - cut
+        of_x, of_y = in_x > 0, in_y > 0
+        # within a group first the ids of one side, then those of the other
+        order = np.argsort(np.r_[2 * group[of_x], 2 * group[of_y] + 1], kind="stable")
+        which = np.r_[2 * x + cut[of_x], 2 * y + cut[of_y] + len(self.a.text)][order]
+        words = list(map((self.a.text + self.b.text).__getitem__, which.tolist()))
+        upto = np.r_[0, np.cumsum(counts[:, 0] + counts[:, 1])].tolist()
+        return counts, ["".join(words[i:j])[:-1].encode() for i, j in itertools.pairwise(upto)], records, links
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -168,31 +193,32 @@ def aligner(a: str | None = None, b: str | None = None) -> Aligner:
     return _aligners[files]
 
 
-def aligned(text: str | None, own: Aligner) -> tuple[tuple[int, int, int, int], str, np.ndarray, np.ndarray]:
-    """Counts, SHA-256 of the groups ('' without tokens), distinct pairs (sorted) and their links, of one whole text.
-
-    A long text is worked through UNITS units at a time."""
-    nothing = (0, 0, 0, 0), "", np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if not text or SPACE in text:
-        return nothing
-    total, sha, parts = np.zeros(4, np.int64), hashlib.sha256(), []
-    units = units_of(text)
-    while some := list(itertools.islice(units, UNITS)):
-        numbers = own.numbers(some)
-        counts = np.array([own.counts[i] for i in numbers.tolist()])
-        if (counts[:, 0] < 0).any():
-            return nothing
-        if parts:
-            sha.update(b";")
-        sha.update(";".join([own.groups[i] for i in numbers.tolist()]).encode())
-        total += counts.sum(0)
-        parts.append(np.unique(np.concatenate([own.pairs[i] for i in numbers.tolist()]), return_counts=True))
-    if len(parts) == 1:
-        keys, links = parts[0]
-    else:
-        keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-        links = np.bincount(where, np.concatenate([n for _, n in parts])).astype(np.int64)
-    return tuple(total.tolist()), sha.hexdigest(), keys, links
+def parts_of(text: str) -> Iterator[str]:
+    """The text in parts of about PART characters, cut as units are."""
+    at = 0
+    while at < len(text):
+        found = CUT.search(text, at + PART)
+        yield text[at : found.start() if found else len(text)]
+        at = found.end() if found else len(text)
+        if found and at == len(text):
+            yield ""  # a last unit of one space
+
+
+def aligned(texts: list[str | None], own: Aligner) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """Of whole texts: counts, SHA-256 of the groups ('' without tokens), records (distinct, sorted), links."""
+    if len(texts) != 1 or not texts[0] or len(texts[0]) <= PART:
+        counts, groups, records, links = own.slice(texts)
+        return counts, [hashlib.sha256(g).hexdigest() if g else "" for g in groups], records, links
+    total, sha, found = np.zeros((1, 4), np.int64), hashlib.sha256(), []
+    for i, part in enumerate(parts_of(texts[0])):
+        counts, groups, *records = own.slice([part], whole=True)
+        if not counts[0, 0]:
+            return np.zeros((1, 4), np.int64), [""], np.zeros(0, np.int64), np.zeros(0, np.int64)
+        sha.update(b";" * (i > 0) + groups[0])
+        total += counts
+        found.append(records)
+    records, links = added(*(np.concatenate(c) for c in zip(*found, strict=True)))
+    return total, [sha.hexdigest()], records, links
 
 
 # runs
@@ -280,12 +306,11 @@ def spill(texts: DataFrame, make: Callable[[], Aligner], key: str) -> DataFrame:
             for part in slices(batch.column("text")):
                 keys = batch.column(key).slice(at, len(part))
                 at += len(part)
-                found = [aligned(t, own) for t in part.to_pylist()]
-                n = len(found)
-                counts = [[f[0][i] for f in found] for i in range(4)]
-                rows = batch_of(NAMES, [[task] * n, [number] * n, [None] * n, range(n), *counts, [f[1] for f in found], [None] * n], ARROW)
+                counts, shas, records, links = aligned(part.to_pylist(), own)
+                n = len(part)
+                rows = batch_of(NAMES, [[task] * n, [number] * n, [None] * n, range(n), *counts.T, shas, [None] * n], ARROW)
                 yield pa.RecordBatch.from_arrays([keys, *rows.columns], names=[key, *NAMES])
-                runs = list(runs_of(found))
+                runs = list(runs_of(records, links))
                 k = len(runs)
                 rows = batch_of(NAMES, [[task] * k, [number] * k, [r for r, _ in runs], *[[None] * k] * 6, [x for _, x in runs]], ARROW)
                 yield pa.RecordBatch.from_arrays([pa.nulls(k, keys.type), *rows.columns], names=[key, *NAMES])
@@ -296,17 +321,13 @@ def spill(texts: DataFrame, make: Callable[[], Aligner], key: str) -> DataFrame:
     return written(texts.mapInArrow(run, f"`{key}` {kind}, {SPILLED}"), "alignment-runs")
 
 
-def runs_of(found: list) -> Iterator[tuple[int, bytes]]:
-    keys = np.concatenate([f[2] for f in found])
-    rows = np.repeat(np.arange(len(found)), [len(f[2]) for f in found])
-    links = np.concatenate([f[3] for f in found])
-    order = np.argsort(keys, kind="stable")
-    keys, rows, links = keys[order], rows[order], links[order]
-    radix = (keys >> 32) % RADIX
+def runs_of(records: np.ndarray, links: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    pairs, rows = records >> ROW_BITS, records & (1 << ROW_BITS) - 1
+    radix = (pairs >> ID_BITS) % RADIX
     for r in range(RADIX):
         mine = radix == r
         if mine.any():
-            distinct, n = np.unique(keys[mine], return_counts=True)
+            distinct, n = np.unique(pairs[mine], return_counts=True)
             yield r, packed(distinct, n, rows[mine], links[mine])
 
 
@@ -318,7 +339,7 @@ def counted(runs: DataFrame) -> DataFrame:
         rows = ((r, f) for b in batches for r, f in zip(b.column("radix").to_pylist(), b.column("frame").to_pylist(), strict=True))
         for _, group in itertools.groupby(rows, key=lambda x: x[0]):
             for keys, n in merged(tuple(unpacked(f, 4)[:2]) for _, f in group):
-                yield pa.RecordBatch.from_pydict({"a": (keys >> 32).astype(np.int32), "b": (keys & 0xFFFFFFFF).astype(np.int32), "n": n})
+                yield pa.RecordBatch.from_pydict({"a": (keys >> ID_BITS).astype(np.int32), "b": (keys & (1 << ID_BITS) - 1).astype(np.int32), "n": n})
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted by a, b: what is held back is the last first id, whose pairs may go on."""
@@ -326,8 +347,8 @@ def counted(runs: DataFrame) -> DataFrame:
         blocks = Blocks()
         for batch in batches:
             a, b, n = (batch.column(c).to_numpy().astype(np.int64) for c in ("a", "b", "n"))
-            keys, sums = added(np.r_[rest, a << 32 | b], np.r_[numbers, n])
-            cut = int(np.searchsorted(keys, keys[-1] >> 32 << 32)) if len(keys) else 0
+            keys, sums = added(np.r_[rest, a << ID_BITS | b], np.r_[numbers, n])
+            cut = int(np.searchsorted(keys, keys[-1] >> ID_BITS << ID_BITS)) if len(keys) else 0
             yield from blocks.add(keys[:cut], sums[:cut])
             rest, numbers = keys[cut:], sums[cut:]
         yield from blocks.add(rest, numbers)
@@ -348,7 +369,7 @@ class Blocks:
 
     def add(self, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(keys):
-            a = keys >> 32
+            a = keys >> ID_BITS
             first = np.flatnonzero(np.diff(a, prepend=-1))
             best = n == np.repeat(np.maximum.reduceat(n, first), np.diff(np.r_[first, len(a)]))
             for r in np.unique(a % RADIX).tolist():
