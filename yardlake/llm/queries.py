@@ -5,11 +5,11 @@ What a query writes to the shared folder stays there, as its result still reads
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import alignment, byte_bpe, chat_format, language_id, line_dedup, media_sniff, packing, quality_rules, simhash, token_counts, toxicity
-from .common import crc_of_id, table
+from . import alignment, byte_bpe, chat_format, language_id, line_dedup, media_sniff, packing, prefix_trie, quality_rules, simhash, token_counts, toxicity
+from .common import crc_of_id, table, written
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,9 +151,64 @@ def op10_media_sniff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_sniff.store_and_read(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "media.*")
 
 
+#: A conversation begins with up to this many turns less one of the first conversation of its FAMILY.
+BORROWED, FAMILY = 9, 5
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = written(prefix_trie.ordered_turns(given), "turns")
+    conversations = given.where("conv_id is not null").select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    borrowed = F.crc32(F.col("conv_id").cast("string")) % BORROWED
+    own = turns.where(F.col("pos") >= borrowed)
+    # the first conversation of a family lends its first turns to each that asks for them, itself included
+    asked = conversations.select((F.col("conv_id") - F.col("conv_id") % FAMILY).alias("lender"), F.col("conv_id").alias("by"), borrowed.alias("n"))
+    lent = turns.where(F.col("pos") < BORROWED - 1).join(asked, F.col("conv_id") == F.col("lender")).where("pos < n")
+    lent = lent.select(F.col("by").alias("conv_id"), "pos", "digest", "bytes")
+    # where the lender is shorter, what follows moves up
+    order = Window.partitionBy("conv_id").orderBy("pos")
+    rebuilt = lent.unionByName(own).withColumn("pos", (F.row_number().over(order) - 1).cast("long"))
+    return prefix_trie.trie(rebuilt, conversations)
+
+
+OP12_SQL = r"""
+WITH steps AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS lender,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda x, y: xor(x >> 8, crc[(xor(x, y) & 255) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id::BIGINT AS conv_id FROM conversations WHERE conv_id IS NOT NULL), steps),
+o AS (
+  SELECT conv_id::BIGINT AS conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+rebuilt AS (
+  SELECT ids.conv_id, o.pos, o.role, o.text FROM ids JOIN o ON o.conv_id = ids.lender AND o.pos < ids.h
+  UNION ALL SELECT ids.conv_id, o.pos, o.role, o.text FROM ids JOIN o USING (conv_id) WHERE o.pos >= ids.h),
+paths AS (
+  SELECT conv_id, coalesce(list({'role': role, 'text': text} ORDER BY pos) FILTER (pos IS NOT NULL), []) AS turns
+  FROM ids LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id),
+members AS (SELECT conv_id, len(turns) = d AS ends, d, turns[1:d] AS path FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS d FROM paths)),
+nodes AS (
+  SELECT d, path, min(conv_id) AS conv_id, count(*)::BIGINT AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+    (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE strlen(path[d].text) END AS saved
+  FROM members GROUP BY d, path),
+edges AS (SELECT p.conv_id, p.d, count(c.d)::BIGINT AS n_children FROM nodes p LEFT JOIN nodes c ON c.d = p.d + 1 AND c.path[1:p.d] = p.path GROUP BY p.conv_id, p.d),
+subtree AS (
+  SELECT a.conv_id, a.d, sum(b.saved)::BIGINT AS saved_tokens, count(*) FILTER (e.n_children = 0)::BIGINT AS n_leaves
+  FROM (SELECT conv_id, d, saved, unnest(range(d + 1)) AS up, path FROM nodes) b JOIN nodes a ON a.d = b.up AND b.path[1:b.up] = a.path
+  JOIN edges e ON e.conv_id = b.conv_id AND e.d = b.d GROUP BY a.conv_id, a.d)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, e.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.d = n.d - 1 AND n.path[1:n.d - 1] = p.path
+JOIN edges e ON e.conv_id = n.conv_id AND e.d = n.d JOIN subtree s ON s.conv_id = n.conv_id AND s.d = n.d
+"""
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_byte_bpe, op4_packing, op5_simhash, op6_chat_format, op7_line_dedup, op8_token_counts, op9_toxicity, op10_media_sniff, op13_alignment)}
-ORACLE_SQL = {"op1_quality_rules": OP1_SQL, "op6_chat_format": OP6_SQL, "op7_line_dedup": OP7_SQL}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_byte_bpe, op4_packing, op5_simhash, op6_chat_format, op7_line_dedup, op8_token_counts, op9_toxicity, op10_media_sniff, op12_prefix_trie, op13_alignment)}
+ORACLE_SQL = {"op1_quality_rules": OP1_SQL, "op6_chat_format": OP6_SQL, "op7_line_dedup": OP7_SQL, "op12_prefix_trie": OP12_SQL}
