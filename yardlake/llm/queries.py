@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import alignment, byte_bpe, chat_format, language_id, line_dedup, media_sniff, packing, prefix_trie, quality_rules, simhash, token_counts, toxicity
+from . import alignment, byte_bpe, chat_format, language_id, line_dedup, media_sniff, packing, prefix_trie, quality_rules, quality_votes, simhash, token_counts, toxicity
 from .common import crc_of_id, table, written
 
 
@@ -151,6 +151,14 @@ def op10_media_sniff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_sniff.store_and_read(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "media.*")
 
 
+def op11_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_of_id() % 5 == 0
+    model = quality_votes.fit(quality_votes.training_rows(docs.where(~held_out), table(spark, sf_dir, "labels")), docs)
+    found = quality_votes.score(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), F.col("quality.score").alias("score"), F.col("quality.predicted").alias("predicted"))
+
+
 #: A conversation begins with up to this many turns less one of the first conversation of its FAMILY.
 BORROWED, FAMILY = 9, 5
 
@@ -210,5 +218,5 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_byte_bpe, op4_packing, op5_simhash, op6_chat_format, op7_line_dedup, op8_token_counts, op9_toxicity, op10_media_sniff, op12_prefix_trie, op13_alignment)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_language_id, op3_byte_bpe, op4_packing, op5_simhash, op6_chat_format, op7_line_dedup, op8_token_counts, op9_toxicity, op10_media_sniff, op11_quality_votes, op12_prefix_trie, op13_alignment)}
 ORACLE_SQL = {"op1_quality_rules": OP1_SQL, "op6_chat_format": OP6_SQL, "op7_line_dedup": OP7_SQL, "op12_prefix_trie": OP12_SQL}
