@@ -54,7 +54,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [np.frombuffer(f" {t} ".encode("utf-32-le", "replace"), np.uint32) for t in texts]
+    parts = [np.frombuffer(f" {t} ".encode("utf-32-le", "replace") if t else b"", np.uint32) for t in texts]
     owner = np.repeat(np.arange(len(parts), dtype=np.int64), [len(p) for p in parts])
     return np.concatenate([*parts, np.zeros(0, np.uint32)]), owner
 
