@@ -2,10 +2,12 @@
 
 import random
 import re
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
+import xxhash
 
 from yardlake.llm import queries, toxicity
 
@@ -50,24 +52,47 @@ def slow_bins(text):
 
 
 def slow_scores(train, texts):
-    """train: (text, label). Ratios from counts, then Newton's steps on the whole matrix."""
-    rows, y = [slow_bins(t) for t, _ in train], np.array([label for _, label in train], float)
+    """train: (text, label, doc_id). Ratios from counts, then Newton's steps on the whole matrix."""
+    rows, y = [slow_bins(t) for t, *_ in train], np.array([label for _, label, _ in train], float)
     n = [sum(y == 0), sum(y == 1)]
     holders = [Counter(b for r, label in zip(rows, y, strict=True) if label == k for b in r) for k in (0, 1)]
     ratio, evidence = {}, {}
     for b in set(holders[0]) | set(holders[1]):
-        if holders[0][b] + holders[1][b] >= toxicity.MIN_SUPPORT:
-            ratio[b] = np.log((holders[1][b] + 0.5) / (n[1] + 1)) - np.log((holders[0][b] + 0.5) / (n[0] + 1))
-            evidence[b] = abs(ratio[b]) / np.sqrt(1 / (holders[1][b] + 0.5) + 1 / (holders[0][b] + 0.5))
-    bins = sorted(sorted(ratio, key=lambda b: (-evidence[b], b))[: toxicity.MAX_FEATURES])
-    matrix = lambda rs: np.array([[np.log2(1 + r[b]) * ratio[b] for b in bins] + [1.0] for r in rs])
-    x, ridge = matrix(rows), np.diag([toxicity.RIDGE] * len(bins) + [0.0])
-    w = np.zeros(len(bins) + 1)
-    for _ in range(40):
-        p = 1 / (1 + np.exp(-x @ w))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) / len(y) + ridge + 1e-12 * np.eye(len(w)), x.T @ (p - y) / len(y) + ridge @ w)
-        w = w - step
-    return 1 / (1 + np.exp(-matrix([slow_bins(t) for t in texts]) @ w)), holders, ratio
+        ratio[b] = np.log((holders[1][b] + 0.5) / (n[1] + 1)) - np.log((holders[0][b] + 0.5) / (n[0] + 1))
+        evidence[b] = abs(ratio[b]) / np.sqrt(1 / (holders[1][b] + 0.5) + 1 / (holders[0][b] + 0.5))
+
+    def weights(rows, y, bins, ridge):
+        x, ridge, w = matrix(rows, bins), np.diag([ridge] * len(bins) + [0.0]), np.zeros(len(bins) + 1)
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-x @ w))
+            step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) / len(y) + ridge + 1e-12 * np.eye(len(w)), x.T @ (p - y) / len(y) + ridge @ w)
+            w = w - step * min(1, 5 / max(np.abs(step).max(), 1e-9))
+        return w
+
+    matrix = lambda rs, bins: np.array([[np.log2(1 + r[b]) * ratio[b] for b in bins] + [1.0] for r in rs])
+    # rows of a label in the order of their hashes are dealt into folds
+    place, seen = {}, Counter()
+    for i in sorted(range(len(train)), key=lambda i: hash_of(train[i][2])):
+        place[i] = seen[y[i]]
+        seen[y[i]] += 1
+    choices = []
+    for least in toxicity.EVIDENCE:
+        bins = sorted(b for b in ratio if evidence[b] >= least)
+        for ridge in toxicity.RIDGES:
+            loss = 0
+            for fold in range(toxicity.FOLDS):
+                taught, asked = [i for i in place if place[i] % 3 != fold], [i for i in place if place[i] % 3 == fold]
+                z = matrix([rows[i] for i in asked], bins) @ weights([rows[i] for i in taught], y[taught], bins, ridge)
+                loss += (np.logaddexp(0, z) - y[asked] * z).sum()
+            choices.append((loss, -len(choices), bins, ridge))
+    _, _, bins, ridge = min(choices, key=lambda c: (c[0], -c[1]))
+    return 1 / (1 + np.exp(-matrix([slow_bins(t) for t in texts], bins) @ weights(rows, y, bins, ridge))), holders, ratio
+
+
+def hash_of(doc_id):
+    """As the sample's order has it."""
+    n = xxhash.xxh64_intdigest(struct.pack("<q", doc_id), seed=42)
+    return n - (1 << 64) if n >> 63 else n
 
 
 def test_query_equals_brute_force(spark, tmp_path):
@@ -82,24 +107,24 @@ def test_query_equals_brute_force(spark, tmp_path):
     spark.createDataFrame([(d[0], 0, d[2]) for d in docs], "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
     got = sorted(queries.op9_toxicity(spark, f"file://{tmp_path}").collect())
     held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
-    train = [(t, y) for i, t, y in docs if not held(i) and t is not None and y is not None]
+    train = [(t, y, i) for i, t, y in docs if not held(i) and t is not None and y is not None]
     want, holders, ratio = slow_scores(train, [t for _, t, _ in docs])
     assert [(r.doc_id, r.held_out) for r in got] == [(i, held(i)) for i, _, _ in docs]
     assert np.allclose([r.score for r in got], want, atol=2e-3) and all(r.predicted == (r.score >= 0.7) for r in got)
-    rows = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(train)], "doc_id long, text string, label int")
+    rows = spark.createDataFrame([(i, t, y) for i, (t, y, _) in enumerate(train)], "doc_id long, text string, label int")
     counted = {(r.label, r.bin): r.n for r in toxicity.counts(rows).collect()}
-    assert counted == {(k, b): n for k in (0, 1) for b, n in holders[k].items()} | {(k, -1): sum(y == k for _, y in train) for k in (0, 1)}
-    bins, r, _ = toxicity.ratios(rows)
-    assert all(np.isclose(ratio[b], x) for b, x in zip(bins.tolist(), r, strict=True)) and len(bins) == min(len(ratio), toxicity.MAX_FEATURES)
+    assert counted == {(k, b): n for k in (0, 1) for b, n in holders[k].items()} | {(k, -1): sum(y == k for _, y, _ in train) for k in (0, 1)}
+    bins, r, evidence, _ = toxicity.ratios(rows)
+    assert all(np.isclose(ratio[b], x) for b, x in zip(bins.tolist(), r, strict=True)) and len(bins) > 10 and (evidence >= 3).all()
 
 
 def test_cap_keeps_the_rate_of_labels(spark, monkeypatch):
-    rows = [(i, f"alpha bravo {i % 7}", int(i % 10 == 0)) for i in range(200)]
+    rows = [(i, f"alpha {'bad' if i % 10 == 0 else 'good'} {i % 7}", int(i % 10 == 0)) for i in range(200)]
     seen = []
     monkeypatch.setattr(toxicity, "MAX_FIT_ROWS", 8)
-    monkeypatch.setattr(toxicity, "regress", lambda owner, column, value, y, weight, n: seen.append((y, weight)) or (np.zeros(n), 0.0))
+    monkeypatch.setattr(toxicity, "regress", lambda owner, column, value, y, weight, n, ridge: seen.append((y, weight)) or (np.zeros(n), 0.0))
     toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, label int"))
-    ((y, weight),) = seen
+    y, weight = seen[-1]  # those before are of folds
     assert len(y) == 16 and np.isclose(weight[y == 1].sum(), 20) and np.isclose(weight[y == 0].sum(), 180)
 
 

@@ -23,13 +23,13 @@ from .common import slices, struct_of, text_column, written
 
 ORDERS = (3, 4, 5, 6)
 BINS = 1 << 20
-#: Features kept: those in at least MIN_SUPPORT training documents and, of these, the MAX_FEATURES of strongest evidence.
-MIN_SUPPORT, MAX_FEATURES = 3, 1 << 10
-#: Rows of each label, lowest hash of the id first, that the regression is fitted on.
-MAX_FIT_ROWS = 6000
+#: What folds of the training rows choose from: the evidence (standard errors that a ratio is from none) from which a feature
+#: counts, and the ridge. Nothing fixes the number of features.
+EVIDENCE, RIDGES = (3.0, 5.0), (1e-3, 3e-4)
+#: Rows of each label, lowest hash of the id first, that the regression is fitted on, and of these, those that are dealt into folds.
+MAX_FIT_ROWS, FOLD_ROWS, FOLDS = 6000, 1000, 3
 THRESHOLD = 0.7
 SMOOTH = 0.5
-RIDGE = 1e-3
 #: The regression ends once no part of its gradient is larger, or after so many steps.
 TOLERANCE, MAX_STEPS = 1e-5, 5000
 SPLIT = re.compile(r"[\W_]+")
@@ -111,33 +111,33 @@ def counts(train: DataFrame) -> DataFrame:
     return train.select("label", "text").mapInArrow(run, "label int, bin int, n long").groupBy("label", "bin").agg(F.sum("n").alias("n"))
 
 
-def ratios(train: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The kept bins, sorted, and their log-count ratios, and the rows of each label; evidence is a ratio over its standard error."""
+def ratios(train: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bins of the least evidence or more, sorted, their log-count ratios and evidence (a ratio over its standard error), and the
+    rows of each label. BINS bounds what the driver gets."""
     of = lambda k: F.coalesce(F.sum(F.when(F.col("label") == k, F.col("n"))), F.lit(0))
     counted = written(counts(train).groupBy("bin").agg(of(0).alias("clean"), of(1).alias("toxic")), "toxicity-counts")
     total = counted.where("bin = -1").collect()
     if not total or not total[0].clean or not total[0].toxic:
-        return np.zeros(0, np.int64), np.zeros(0), np.zeros(2)
+        return np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.zeros(2)
     rate = lambda c: F.log((F.col(c) + SMOOTH) / (total[0][c] + 2 * SMOOTH))
     ratio = rate("toxic") - rate("clean")
     evidence = F.abs(ratio) / F.sqrt(1 / (F.col("toxic") + SMOOTH) + 1 / (F.col("clean") + SMOOTH))
-    found = counted.where((F.col("bin") >= 0) & (F.col("clean") + F.col("toxic") >= MIN_SUPPORT)).select("bin", ratio.alias("ratio"))
-    best = sorted((x.bin, x.ratio) for x in found.orderBy(F.desc(evidence), "bin").limit(MAX_FEATURES).collect())
-    return np.array([b for b, _ in best], np.int64), np.array([x for _, x in best]), np.array([total[0].clean, total[0].toxic], float)
+    found = counted.where(F.col("bin") >= 0).select("bin", ratio.alias("ratio"), evidence.alias("evidence")).where(F.col("evidence") >= min(EVIDENCE)).toPandas().sort_values("bin")
+    return found["bin"].to_numpy(np.int64), found["ratio"].to_numpy(), found["evidence"].to_numpy(), np.array([total[0].clean, total[0].toxic], float)
 
 
 def sample(train: DataFrame) -> DataFrame:
-    """label, text: of each label MAX_FIT_ROWS documents at most, lowest hash of the id first, and one row of each, that of the least text hash."""
+    """label, hash (of the id), text: of each label MAX_FIT_ROWS documents at most, lowest hash first, and one row of each, that of the least text hash."""
     ids = train.select("label", "doc_id").distinct()
     first = lambda k: ids.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT_ROWS)
     chosen = train.join(F.broadcast(first(0).union(first(1))), ["label", "doc_id"], "left_semi")  # 2 * MAX_FIT_ROWS ids at most
     least = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))
-    return chosen.groupBy("label", "doc_id").agg(least.alias("least")).select("label", "least.text")
+    return chosen.groupBy("label", "doc_id").agg(least.alias("least")).select("label", F.xxhash64("doc_id").alias("hash"), "least.text")
 
 
 def fit(train: DataFrame) -> Model:
     """train: doc_id, text, label 0 or 1. Where one of the labels is missing every score is about 0."""
-    bins, r, n_rows = ratios(train)
+    bins, r, evidence, n_rows = ratios(train)
     if not len(bins):
         return Model(bins, r, -50.0)
     wanted = np.zeros(BINS, bool)
@@ -150,32 +150,63 @@ def fit(train: DataFrame) -> Model:
                 owner, found, times = features(texts.to_pylist(), wanted)
                 cuts = pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)), pa.int32())
                 lists = {name: pa.ListArray.from_arrays(cuts, pa.array(v, pa.int32())) for name, v in (("bins", found), ("times", times))}
-                yield pa.RecordBatch.from_pydict({"label": batch.column("label").slice(at, len(texts)), **lists})
+                yield pa.RecordBatch.from_pydict({**{c: batch.column(c).slice(at, len(texts)) for c in ("label", "hash")}, **lists})
                 at += len(texts)
 
-    rows = sample(train).select("label", "text").mapInArrow(run, "label int, bins array<int>, times array<int>").toPandas()
-    y = rows["label"].to_numpy(float)
+    rows = sample(train).mapInArrow(run, "label int, hash long, bins array<int>, times array<int>").toPandas().sort_values(["label", "hash"]).reset_index(drop=True)
+    y, place = rows["label"].to_numpy(float), rows.groupby("label").cumcount().to_numpy()
     owner = np.repeat(np.arange(len(rows)), [len(x) for x in rows["bins"]])
     flat = lambda c: np.concatenate([*rows[c], np.zeros(0, np.int64)]).astype(np.int64)
     column, times = np.searchsorted(bins, flat("bins")), flat("times")
     found = np.bincount(rows["label"], minlength=2)
-    w, bias = regress(owner, column, r[column] * damped(times), y, (n_rows / np.maximum(found, 1))[rows["label"]], len(r))
-    return Model(bins, w * r, bias)
-
-
-def gradient(w: np.ndarray, bias: float, owner: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray, float]:
+    weight = (n_rows / np.maximum(found, 1))[rows["label"]]
+    value = r[column] * damped(times)
+    least, ridge = chosen(owner, column, value, y, weight, evidence, place)
+    w, bias = fitted(owner, column, value, y, weight, evidence >= least, ridge)
+    return Model(bins[evidence >= least], (w * r)[evidence >= least], bias)
+
+
+def fitted(owner: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, weight: np.ndarray, counts: np.ndarray, ridge: float) -> tuple[np.ndarray, float]:
+    """regress() with the columns that count; the others get 0."""
+    number, at = np.cumsum(counts) - 1, counts[column]
+    w = np.zeros(len(counts))
+    w[counts], bias = regress(owner[at], number[column[at]], value[at], y, weight, int(counts.sum()), ridge)
+    return w, bias
+
+
+def chosen(owner: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, weight: np.ndarray, evidence: np.ndarray, place: np.ndarray) -> tuple[float, float]:
+    """The evidence and ridge of least loss on rows of other folds. place: of a row among those of its label; it tells its fold. With too few
+    rows for folds, and of equal choices, the first."""
+    choices = [(e, ridge) for e in EVIDENCE for ridge in RIDGES]
+    dealt = np.where(place < FOLD_ROWS, place % FOLDS, -1)
+    if min(np.bincount(y.astype(int), minlength=2)) < FOLDS:
+        return choices[0]
+    losses = []
+    for least, ridge in choices:
+        loss = 0.0
+        for fold in range(FOLDS):
+            taught, asked = (dealt >= 0) & (dealt != fold), dealt == fold
+            number, at = np.cumsum(taught) - 1, taught[owner]
+            w, bias = fitted(number[owner[at]], column[at], value[at], y[taught], weight[taught], evidence >= least, ridge)
+            z = np.bincount(owner, value * w[column], len(y)) + bias
+            loss += float(weight[asked] @ (np.logaddexp(0, z) - y * z)[asked])
+        losses.append(loss)
+    return choices[int(np.argmin(losses))]
+
+
+def gradient(w: np.ndarray, bias: float, owner: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGES[0]) -> tuple[float, np.ndarray, float]:
     """The ridge logistic loss, its gradient by w and by the bias. weight sums to 1."""
     z = np.bincount(owner, value * w[column], len(y)) + bias
     miss = weight * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y)
-    return float(weight @ (np.logaddexp(0, z) - y * z) + RIDGE / 2 * (w @ w)), np.bincount(column, value * miss[owner], len(w)) + RIDGE * w, float(miss.sum())
+    return float(weight @ (np.logaddexp(0, z) - y * z) + ridge / 2 * (w @ w)), np.bincount(column, value * miss[owner], len(w)) + ridge * w, float(miss.sum())
 
 
-def regress(owner: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, weight: np.ndarray, n_columns: int) -> tuple[np.ndarray, float]:
+def regress(owner: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, weight: np.ndarray, n_columns: int, ridge: float = RIDGES[0]) -> tuple[np.ndarray, float]:
     """Ridge logistic regression by accelerated gradient steps. Steps are halved until they lessen the loss as a gradient
     step must, momentum starts anew where it points uphill, and it ends where the gradient is within TOLERANCE of 0.
     weight: the training rows that each row stands for."""
     weight = weight / weight.sum()
-    at = lambda w, b: gradient(w, b, owner, column, value, y, weight)
+    at = lambda w, b: gradient(w, b, owner, column, value, y, weight, ridge)
     w, bias = np.zeros(n_columns), float(np.log((weight @ y + 1e-9) / (weight @ (1 - y) + 1e-9)))
     v, vb, curve, pace = w, bias, 1.0, 1.0
     for _ in range(MAX_STEPS):
@@ -198,7 +229,8 @@ def regress(owner: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndar
 def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity") -> DataFrame:
     """df with a struct column: score (0 to 1), predicted. A column of that name is replaced.
 
-    Null and empty texts get the score of no feature."""
+    Null and empty texts get the score of no feature. Equal texts get equal scores; long texts are read whole; an empty df gives no rows,
+    and other columns keep their values."""
     wanted = np.zeros(BINS, bool)
     wanted[model.bins] = True
 
