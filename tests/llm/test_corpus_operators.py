@@ -337,6 +337,17 @@ def test_foreign_token_file(spark, tmp_path):
     assert [(r.ordinal, r.doc_id, r.n_tokens) for r in got] == [(0, None, 2), (1, None, 0), (2, None, 1)]
 
 
+@pytest.mark.parametrize("tail", [b"", b"\xff", b"A", b"\xff\x41", b"AA", b"\x00\x07\xff"])
+@pytest.mark.parametrize("block", [3, 64])
+def test_file_that_breaks_off(spark, tmp_path, tail, block):
+    """The byte that a line of the file would end with is not there: it makes no id and no document."""
+    raw = np.array([5, 6, 0xFF41, 7, 8], ">u2").tobytes() + tail
+    (tmp_path / "part-0").write_bytes(raw)
+    ids = np.frombuffer(raw, ">u2", len(raw) // 2).tolist()
+    want = [2] + ([ids[3:].index(0xFF41)] if 0xFF41 in ids[3:] else [])
+    assert [r.n_tokens for r in token_counts.scan(spark, f"file://{tmp_path}", head=0, block=block).orderBy("ordinal").collect()] == want
+
+
 def test_header():
     for x in (0, -1, 1 << 62, -(1 << 63), (1 << 63) - 1, None):
         assert token_counts.read_headers(np.frombuffer(token_counts.header(x), ">u2")) == [x]
@@ -361,6 +372,9 @@ def test_stages(spark, pipeline, odd_documents):
     for name, stage in pipeline.STAGES[:-1]:
         out = stage(spark, docs, labels)
         assert out.columns == docs.columns, name
+        given = {r.row: r.asDict() for r in docs.collect()}
+        for r in out.collect():
+            assert {c: v for c, v in r.asDict().items() if c not in ("text", "n_chars")} == {c: v for c, v in given[r.row].items() if c not in ("text", "n_chars")}
         assert stage(spark, docs.limit(0), labels).count() == 0
     assert pipeline.STAGES[-1][1](spark, docs, labels).count() > 0
 
@@ -372,7 +386,7 @@ def test_pipeline_end_to_end(spark, pipeline):
     lines = stages["line_dedup"](spark, kept, SF)
     before = [(r.doc_id, r.text) for r in kept.collect()]
     assert sorted((r.doc_id, r.text, r.n_chars) for r in lines.collect()) == sorted((d, t, len(t)) for d, _, _, t in slow_lines(before))
-    single = stages["simhash_dedup"](spark, docs, SF)
+    single = stages["near_copy_dedup"](spark, docs, SF)
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
     label = slow_label([t for _, t in rows])
     least: dict[int, int] = {}

@@ -50,7 +50,7 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     spark.createDataFrame([(d[0], 1, d[5]) for d in docs], "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
     got = corpus_pipeline.run(spark, f"file://{tmp_path}").collect()
 
-    train = [(t, y) for i, t, *_, y in docs if zlib.crc32(str(i).encode()) % 3 != 1 and t is not None and y is not None]
+    train = [(t, y, i) for i, t, *_, y in docs if zlib.crc32(str(i).encode()) % 3 != 1 and t is not None and y is not None]
     scores, _, _ = slow_scores(train, [d[1] for d in docs])
     assert np.abs(scores - 0.7).min() > 0.02  # none is so near that the last digits would tell
     kept = [(d[0], d[1]) for d, s in zip(docs, scores, strict=True) if s < 0.7]

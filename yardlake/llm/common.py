@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 import pyarrow as pa
@@ -32,30 +34,56 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or own_folder()
 
 
-_scratch: list[str] = []
+class Scratch:
+    """The scratch paths of one run, and of no other that the driver has."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def clean_up(self, spark: SparkSession, keep: DataFrame | None = None) -> None:
+        """Removes the run's paths, but for those that `keep` reads. Only for when no DataFrame that reads them is still to be run."""
+        used = [f.rpartition("/")[0] for f in keep.inputFiles()] if keep is not None else []
+        plain = lambda p: p.removeprefix("file:").lstrip("/")
+        kept = {plain(p) for p in used}
+        for path in self.paths:
+            if plain(path) not in kept:
+                remove(spark, path)
+        self.paths = [p for p in self.paths if plain(p) in kept]
+
+
+_run: ContextVar[Scratch | None] = ContextVar("scratch of the run", default=None)
+
+
+@contextmanager
+def scratch_of_run() -> Iterator[Scratch]:
+    """What scratch() makes within the block, in this thread, belongs to the run; what is left then belongs to the run around it."""
+    outer, own = _run.get(), Scratch()
+    token = _run.set(own)
+    try:
+        yield own
+    finally:
+        _run.reset(token)
+        if outer is not None:
+            outer.paths += own.paths
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """A path in the shared folder that no other run uses. It stays until clean_up()."""
+    """A path in the shared folder that no one else uses. It stays until the run that it belongs to, if any, cleans up."""
     path = f"{shared_folder(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    _scratch.append(path)
+    if (run := _run.get()) is not None:
+        run.paths.append(path)
     return path
 
 
-def scratch_mark() -> int:
-    return len(_scratch)
-
-
-def clean_up(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
-    """Removes the scratch paths made since a mark, but for those that `keep` reads. Only for when no DataFrame that
-    reads them is still to be run."""
-    used = [f.rpartition("/")[0] for f in keep.inputFiles()] if keep is not None else []
-    plain = lambda p: p.removeprefix("file:").lstrip("/")
-    kept = {plain(p) for p in used}
-    for path in _scratch[since:]:
-        if plain(path) not in kept:
-            remove(spark, path)
-    _scratch[since:] = [p for p in _scratch[since:] if plain(p) in kept]
+def own_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of df has them; case does not count."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
@@ -76,15 +104,15 @@ def crc_of_id(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
 
 
-def slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """The texts cut so that each piece has about SLICE_BYTES at most."""
-    each = max(1, int(len(texts) * SLICE_BYTES / max(texts.nbytes, 1)))
+def slices(texts: pa.Array, rows: int | None = None) -> Iterator[pa.Array]:
+    """The texts cut so that each piece has about SLICE_BYTES at most, and so many rows if given."""
+    each = max(1, min(int(len(texts) * SLICE_BYTES / max(texts.nbytes, 1)), rows or len(texts)))
     for at in range(0, len(texts), each):
         yield texts.slice(at, each)
 
 
-def text_column(returns: str, make: Callable[[], Callable[[list], pa.Array]]) -> Callable[[Column], Column]:
-    """A column function of texts. make() runs once a task and gives list of texts (None: null) -> results.
+def text_column(returns: str, make: Callable[[], Callable[[list], pa.Array]], rows: int | None = None) -> Callable[[Column], Column]:
+    """A column function of texts. make() runs once a task and gives list of texts (None: null) -> results; rows: texts of a list, at most.
 
     Marked as not deterministic only so that a filter on its result doesn't make Spark run it twice.
     """
@@ -92,7 +120,7 @@ def text_column(returns: str, make: Callable[[], Callable[[list], pa.Array]]) ->
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = make()
         for texts in batches:
-            parts = [work(part.to_pylist()) for part in slices(texts)]
+            parts = [work(part.to_pylist()) for part in slices(texts, rows)]
             yield pa.concat_arrays(parts) if parts else pa.nulls(0)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

@@ -24,6 +24,8 @@ SEED = 20
 UNKNOWN = "und"
 #: Trigram vectors that are held at once.
 BLOCK = 4096
+#: Texts that are bundled at once, and languages that can be learned (8 MB of prototypes).
+ROWS, MAX_LANGUAGES = 256, 512
 #: Bits of a code point within a trigram's code.
 WIDTH = 21
 
@@ -90,19 +92,20 @@ def bundles(owner: np.ndarray, codes: np.ndarray, n: int) -> np.ndarray:
 
 def train(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
     """Prototypes from the rows with a language. Each task sends DIMENSIONS sums per language it saw, whatever its
-    rows; the driver gets DIMENSIONS sums per language. Null texts and null languages teach nothing."""
+    rows; the driver gets DIMENSIONS sums per language. Null texts and null languages teach nothing. More than MAX_LANGUAGES
+    languages, as a column of something else may hold, are refused before any text is read."""
 
     def run(batches):
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            names = batch.column("lang").to_pylist()
-            numbers = {x: i for i, x in enumerate(dict.fromkeys(names))}
-            group = np.array([numbers[x] for x in names], np.int64)
             at = 0
-            for texts in slices(batch.column("text")):
-                owner, codes = trigrams(texts.to_pylist())
-                found = bundles(group[at : at + len(texts)][owner], codes, len(numbers))
+            for texts in slices(batch.column("text"), ROWS):
+                names = batch.column("lang").slice(at, len(texts)).to_pylist()
+                numbers = {x: i for i, x in enumerate(dict.fromkeys(names))}
+                group = np.array([numbers[x] for x in names], np.int64)
                 at += len(texts)
+                owner, codes = trigrams(texts.to_pylist())
+                found = bundles(group[owner], codes, len(numbers))
                 for x, i in numbers.items():
                     totals[x] = totals.get(x, 0) + found[i].astype(np.float64)
         for x, v in totals.items():
@@ -110,6 +113,8 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np
 
     ship(df.sparkSession)
     slim = df.select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text")).where("lang is not null and text is not null")
+    if df.select(lang).where(F.col(lang).isNotNull()).distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"column {lang} has more than {MAX_LANGUAGES} languages")
     sums = slim.mapInArrow(run, "lang string, i int, v double").groupBy("lang", "i").agg(F.sum("v").alias("v"))
     out: dict[str, np.ndarray] = {}
     for r in sums.collect():
@@ -121,7 +126,8 @@ def predict(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text"
     """df with a struct column: lang_pred, score. A column of that name is replaced.
 
     score is the cosine, at least 0. Null texts, texts without letters and, where nothing was learnt, all texts
-    get `und` and 0. Ties go to the first language by name.
+    get `und` and 0. Ties go to the first language by name. Equal texts get equal answers; long texts are read whole; an empty df
+    gives no rows, and other columns keep their values.
     """
     names = [*prototypes, UNKNOWN]
     matrix = np.array([v / max(np.linalg.norm(v), 1e-9) for v in prototypes.values()]).reshape(len(prototypes), DIMENSIONS)
@@ -138,4 +144,4 @@ def predict(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text"
 
         return work
 
-    return df.withColumn(into, text_column("lang_pred string, score double", make)(F.col(text)))
+    return df.withColumn(into, text_column("lang_pred string, score double", make, ROWS)(F.col(text)))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from yardlake.session import ship
 
-from .common import remove, scratch, written
+from .common import own_names, remove, scratch, written
 
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -44,17 +44,20 @@ class LineRuns:
         self.levels: list[list[str]] = []
         self.repeats: list[list[str]] = []
         self.made = 0
+        self.there: set[str] = set()
 
     def _write(self, run: DataFrame) -> str:
         """run: dealt by key, so that a task writes one bucket."""
         name = f"{self.name}_{self.made}"
         self.made += 1
+        self.there.add(name)
         run.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.folder}/{name}").format("parquet").saveAsTable(name)
         return name
 
     def _drop(self, name: str) -> None:
-        self.spark.sql(f"DROP TABLE {name}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         remove(self.spark, f"{self.folder}/{name}")
+        self.there.discard(name)
 
     @staticmethod
     def _names(levels: list[list[str]]) -> list[str]:
@@ -112,7 +115,8 @@ class LineRuns:
         return out
 
     def close(self) -> None:
-        for name in self._names(self.levels) + self._names(self.repeats):
+        """Takes away whatever there is, also after a failure."""
+        for name in sorted(self.there):
             self._drop(name)
         self.levels, self.repeats = [], []
 
@@ -132,11 +136,13 @@ def repeated(lines: DataFrame, batches: int = BATCHES) -> DataFrame:
     kept = scratch(spark, "lines")
     lines.withColumn("batch", F.pmod(F.xxhash64("doc"), F.lit(batches))).write.partitionBy("batch").parquet(kept)
     lines = spark.read.schema("doc long, r1 long, r2 long, pos int, h1 long, h2 long, batch int").parquet(kept)
-    for batch in range(batches):
-        runs.add(lines.where(F.col("batch") == batch).withColumnRenamed("doc", "doc_id"))
-    # written first, so that both sides of the join are plain shuffles and Spark splits the partition of a hot line
-    gone = written(runs.table().where(F.col("n_docs") >= MIN_DOCS).select(*KEY, "last_doc"), "lines-gone")
-    runs.close()
+    try:
+        for batch in range(batches):
+            runs.add(lines.where(F.col("batch") == batch).withColumnRenamed("doc", "doc_id"))
+        # written first, so that both sides of the join are plain shuffles and Spark splits the partition of a hot line
+        gone = written(runs.table().where(F.col("n_docs") >= MIN_DOCS).select(*KEY, "last_doc"), "lines-gone")
+    finally:
+        runs.close()
     return lines.join(gone, KEY).where("doc <> last_doc").select("doc", "r1", "r2", "pos")
 
 
@@ -155,7 +161,8 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", into:
 
     A null or empty text is one empty line. Rows of one doc_id count as one document, whatever they hold, and each loses
     its own lines of the same keys; a null doc_id counts as a document below all others. Lines of fewer than MIN_CHARS
-    code points stay.
+    code points stay. Ids are whole numbers, or text that Spark casts to them; an empty df gives no rows. Long texts are
+    split whole. Other columns keep their values, whatever their names.
     """
     low = -(1 << 63)
     doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(low))
@@ -164,14 +171,15 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", into:
     r1, r2 = F.xxhash64(whole), F.xxhash64(F.lit("second"), whole)
     lines = lines_of(df.select(doc.alias("doc"), r1.alias("r1"), r2.alias("r2"), whole.alias("text")))
     gone = repeated(lines).groupBy("doc", "r1", "r2").agg(F.collect_set("pos").alias("gone"))
-    side = gone.toDF("__doc", "__r1", "__r2", "__gone")
-    joined = df.join(side, (doc == F.col("__doc")) & (r1 == F.col("__r1")) & (r2 == F.col("__r2")), "left")
+    names = own_names(df, "doc", "r1", "r2", "gone")
+    side, (its_doc, its_r1, its_r2, its) = gone.toDF(*names), map(F.col, names)
+    joined = df.join(side, (doc == its_doc) & (r1 == its_r1) & (r2 == its_r2), "left")
     ship(df.sparkSession)
     # only texts that lose lines go to Python
-    cut = F.pandas_udf(without, "string")(F.when(F.col("__gone").isNotNull(), whole), F.col("__gone"))
+    cut = F.pandas_udf(without, "string")(F.when(its.isNotNull(), whole), its)
     made = F.struct(
         (F.length(whole) - F.length(F.replace(whole, F.lit("\n"))) + 1).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.size(its), F.lit(0)).cast("long").alias("n_dropped"),
         F.coalesce(cut, whole).alias("kept"),
     )
-    return joined.withColumn(into, made).drop("__doc", "__r1", "__r2", "__gone")
+    return joined.withColumn(into, made).drop(*names)

@@ -1,6 +1,6 @@
 """The training-data operators as queries over the given tables.
 
-What a query writes to the shared folder stays there, as its result still reads it; common.clean_up() takes it away.
+What a query writes to the shared folder stays there, as its result still reads it; within common.scratch_of_run() it can be cleaned up.
 """
 
 from __future__ import annotations

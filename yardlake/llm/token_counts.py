@@ -69,8 +69,10 @@ def write_flat(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folder
     return folder
 
 
-def byte_blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """file, start of its range, number within the range, bytes: the lines of a range put together again."""
+def byte_blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[int, int, int, bytes, bool]]:
+    """file, start of its range, number within the range, bytes, whether they end the range: the lines of a range put together again.
+
+    Each line gets its end back, and so does one that a file breaks off in: a range's last block may have a byte too many."""
     now, number, held, size = None, 0, [], 0
     for batch in batches:
         files, starts, lines = batch.column("file").to_numpy(), batch.column("start").to_numpy(), batch.column("line")
@@ -79,22 +81,21 @@ def byte_blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple
         for a, b in zip(cuts, cuts[1:], strict=False):
             if now != (here := (int(files[a]), int(starts[a]))):
                 if size:
-                    yield *now, number, b"".join(held)
+                    yield *now, number, b"".join(held), True
                 now, number, held, size = here, 0, [], 0
             held.append(CUT.join([*lines.slice(a, b - a).to_pylist(), b""]))
             size += len(held[-1])
-            if size >= block:
-                whole = b"".join(held)
-                for at in range(0, size - block + 1, block):
-                    yield *now, number, whole[at : at + block]
+            if size > block:  # something stays for the end of the range
+                whole, cut = b"".join(held), (size - 1) // block * block
+                for at in range(0, cut, block):
+                    yield *now, number, whole[at : at + block], False
                     number += 1
-                held = [whole[size - size % block :]]
-                size %= block
+                held, size = [whole[cut:]], size - cut
     if size:
-        yield *now, number, b"".join(held)
+        yield *now, number, b"".join(held), True
 
 
-SUMMARY = ["file long", "start long", "number int", "odd int", "bytes long", "first_byte int", "last_byte int", "n_ids long", "n_ends long", "first long", "last long", "head array<int>", "tail array<int>"]
+SUMMARY = ["file long", "start long", "number int", "odd int", "short int", "file_size long", "bytes long", "first_byte int", "last_byte int", "n_ids long", "n_ends long", "first long", "last long", "head array<int>", "tail array<int>"]
 #: Documents between two separators of one block.
 INNER = ["doc_ids array<long>", "tokens array<long>"]
 
@@ -102,7 +103,7 @@ INNER = ["doc_ids array<long>", "tokens array<long>"]
 def summary(raw: bytes, odd: int, head: int) -> dict:
     """The ids of a block from its first or second byte on: the first and last separator (-1: none), the ids that begin it
     and that follow the last separator, as far as a header goes, and the documents in between."""
-    ids = np.frombuffer(raw, ">u2", (len(raw) - odd) // 2, odd)
+    ids = np.frombuffer(raw, ">u2", (len(raw) - odd) // 2, odd) if len(raw) > odd else np.zeros(0, ">u2")
     ends = np.flatnonzero(ids == END_OF_DOC)
     first, last = (int(ends[0]), int(ends[-1])) if len(ends) else (-1, -1)
     sizes = np.diff(ends) - 1 - head
@@ -112,7 +113,7 @@ def summary(raw: bytes, odd: int, head: int) -> dict:
         for i, x in zip(whole.tolist(), read_headers(ids[ends[whole, None] + 1 + np.arange(head)]), strict=True):
             numbers[i] = x
     return {
-        "odd": odd, "bytes": len(raw), "first_byte": raw[0], "last_byte": raw[-1], "n_ids": len(ids), "n_ends": len(ends), "first": first, "last": last,
+        "odd": odd, "bytes": len(raw), "first_byte": raw[0] if raw else 0, "last_byte": raw[-1] if raw else 0, "n_ids": len(ids), "n_ends": len(ends), "first": first, "last": last,
         "head": ids[: min(head, first) if len(ends) else head].tolist(), "tail": ids[last + 1 :][:head].tolist() if len(ends) else [],
         "doc_ids": numbers, "tokens": np.maximum(sizes, 0).tolist(),
     }
@@ -141,6 +142,8 @@ class Scan:
         """number of the true reading, documents before the block, documents that it ends and others began."""
         odd, self.closed = self.bytes % 2, []
         b = readings[odd]
+        if not b.bytes:
+            return odd, self.documents, [], []
         if odd and (cut := self.half << 8 | b.first_byte) == END_OF_DOC:
             self.close()
         elif odd:
@@ -162,25 +165,39 @@ def scan(spark: SparkSession, folder: str, head: int = HEADER, block: int = BLOC
     """file (a hash of its path), ordinal, doc_id (null if head is 0), n_tokens of every document of the files, header not
     counted. head: 0 or HEADER.
 
-    An empty file has no documents; ids after the last separator belong to none; a document shorter than a header has no
-    id and no tokens. spark.sql.files.maxPartitionBytes bounds what a task reads.
+    An empty file has no documents; ids after the last separator, and a byte after the last id of a file that breaks off, belong to
+    none; a document shorter than a header has no id and no tokens. spark.sql.files.maxPartitionBytes bounds what a task reads.
     """
     ship(spark)
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}[t]) for n, t in (c.split() for c in SUMMARY + INNER)])
-        for file, start, number, raw in byte_blocks(batches, block):
-            rows = [{"file": file, "start": start, "number": number, **summary(raw, odd, head)} for odd in (0, 1)]
+        sizes: dict[int, int] = {}
+
+        def noted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sizes.update(zip(batch.column("file").to_pylist(), batch.column("file_size").to_pylist(), strict=True))
+                yield batch
+
+        for file, start, number, raw, last in byte_blocks(noted(batches), block):
+            place = {"file": file, "start": start, "number": number, "file_size": sizes[file]}
+            rows = [{**place, "short": short, **summary(raw[: len(raw) - short], odd, head)} for short in range(1 + last) for odd in (0, 1)]
             yield pa.RecordBatch.from_pylist(rows, kinds)
 
     def stitch(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
-        state, rows = Scan(head), list(blocks.sort_values(["start", "number", "odd"]).itertuples(index=False))
-        return pd.DataFrame([(*key, a.start, a.number, *state.block([a, b])) for a, b in zip(rows[::2], rows[1::2], strict=True)], columns=["file", "start", "number", "odd", "before", "ended", "ended_tokens"])
+        whole = blocks[blocks["short"] == 0]
+        missing = int(whole.loc[whole["odd"] == 0, "bytes"].sum() - whole["file_size"].iloc[0])  # 1 where the file breaks off
+        whole = whole.sort_values(["start", "number", "odd"])
+        if missing:
+            end = whole.iloc[-1]
+            whole = pd.concat([whole.iloc[:-2], blocks[(blocks["start"] == end["start"]) & (blocks["number"] == end["number"]) & (blocks["short"] == 1)].sort_values("odd")])
+        state, rows = Scan(head), list(whole.itertuples(index=False))
+        return pd.DataFrame([(*key, a.start, a.number, a.short, *state.block([a, b])) for a, b in zip(rows[::2], rows[1::2], strict=True)], columns=["file", "start", "number", "short", "odd", "before", "ended", "ended_tokens"])
 
     bytes_of = spark.read.option("pathGlobFilter", "part-*").option("lineSep", CUT.decode()).text(folder)
-    lines = bytes_of.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line"))
+    lines = bytes_of.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_size").alias("file_size"), F.col("value").cast("binary").alias("line"))
     found = written(lines.mapInArrow(summaries, ", ".join(SUMMARY + INNER)), "token-blocks")
-    told = found.drop("doc_ids", "tokens").groupBy("file").applyInPandas(stitch, "file long, start long, number int, odd int, before long, ended array<long>, ended_tokens array<long>")
-    both = found.select("file", "start", "number", "odd", "doc_ids", "tokens").join(told, ["file", "start", "number", "odd"])
+    told = found.drop("doc_ids", "tokens").groupBy("file").applyInPandas(stitch, "file long, start long, number int, short int, odd int, before long, ended array<long>, ended_tokens array<long>")
+    both = found.select("file", "start", "number", "short", "odd", "doc_ids", "tokens").join(told, ["file", "start", "number", "short", "odd"])
     each = both.select("file", "before", F.posexplode(F.arrays_zip(F.concat("ended", "doc_ids").alias("doc_id"), F.concat("ended_tokens", "tokens").alias("n_tokens"))).alias("at", "d"))
     return each.select("file", (F.col("before") + F.col("at")).alias("ordinal"), "d.doc_id", "d.n_tokens")
