@@ -77,7 +77,7 @@ def slow_scores(train, texts):
         seen[y[i]] += 1
     choices = []
     for least in toxicity.EVIDENCE:
-        bins = sorted(b for b in ratio if evidence[b] >= least)
+        bins = sorted(b for b in ratio if evidence[b] >= least and abs(ratio[b]) >= toxicity.LEAST_RATIO)
         for ridge in toxicity.RIDGES:
             loss = 0
             for fold in range(toxicity.FOLDS):

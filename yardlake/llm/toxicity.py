@@ -24,8 +24,10 @@ from .common import slices, struct_of, text_column, written
 ORDERS = (3, 4, 5, 6)
 BINS = 1 << 20
 #: What folds of the training rows choose from: the evidence (standard errors that a ratio is from none) from which a feature
-#: counts, and the ridge. Nothing fixes the number of features.
+#: counts, and the ridge. A feature must at least double or halve the odds (LEAST_RATIO): in large corpora whatever two labels differ in has
+#: evidence, as documents repeat each other. Nothing fixes the number of features.
 EVIDENCE, RIDGES = (3.0, 5.0), (1e-3, 3e-4)
+LEAST_RATIO = float(np.log(2))
 #: Rows of each label, lowest hash of the id first, that the regression is fitted on, and of these, those that are dealt into folds.
 MAX_FIT_ROWS, FOLD_ROWS, FOLDS = 6000, 1000, 3
 THRESHOLD = 0.7
@@ -112,7 +114,7 @@ def counts(train: DataFrame) -> DataFrame:
 
 
 def ratios(train: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The bins of the least evidence or more, sorted, their log-count ratios and evidence (a ratio over its standard error), and the
+    """The bins of the least evidence and ratio or more, sorted, their log-count ratios and evidence (a ratio over its standard error), and the
     rows of each label. BINS bounds what the driver gets."""
     of = lambda k: F.coalesce(F.sum(F.when(F.col("label") == k, F.col("n"))), F.lit(0))
     counted = written(counts(train).groupBy("bin").agg(of(0).alias("clean"), of(1).alias("toxic")), "toxicity-counts")
@@ -122,7 +124,7 @@ def ratios(train: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     rate = lambda c: F.log((F.col(c) + SMOOTH) / (total[0][c] + 2 * SMOOTH))
     ratio = rate("toxic") - rate("clean")
     evidence = F.abs(ratio) / F.sqrt(1 / (F.col("toxic") + SMOOTH) + 1 / (F.col("clean") + SMOOTH))
-    found = counted.where(F.col("bin") >= 0).select("bin", ratio.alias("ratio"), evidence.alias("evidence")).where(F.col("evidence") >= min(EVIDENCE)).toPandas().sort_values("bin")
+    found = counted.where(F.col("bin") >= 0).select("bin", ratio.alias("ratio"), evidence.alias("evidence")).where((F.col("evidence") >= min(EVIDENCE)) & (F.abs("ratio") >= LEAST_RATIO)).toPandas().sort_values("bin")
     return found["bin"].to_numpy(np.int64), found["ratio"].to_numpy(), found["evidence"].to_numpy(), np.array([total[0].clean, total[0].toxic], float)
 
 
