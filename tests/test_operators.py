@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from yardlake.operators import cycles, kpi, upsert
-from yardlake.streaming.gold import pairs
+from rules import pairs
 
 T0 = datetime(2024, 1, 1)
 GATE = "container_no_norm string, facility string, event_time_parsed timestamp, event_type_norm string, truck string"

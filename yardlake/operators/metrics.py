@@ -34,13 +34,23 @@ def inventory_by_dwell(cycles: DataFrame, as_of: Column) -> DataFrame:
     return totals.withColumn("metric_type", F.lit("INVENTORY_BY_DWELL"))
 
 
-def backlog_type() -> Column:
-    """The first case that holds; null: no work is waiting."""
-    severity, stage, cleaning = (F.col(c) for c in ("last_inspection_severity", "last_repair_stage", "last_cleaning_type"))
+def inventory_of_entries(entries: DataFrame, as_of: Column) -> DataFrame:
+    """inventory_by_dwell() from the counts of open cycles: facility, gate_in_time, n."""
+    hours = F.col("current_dwell_hours")
+    rows = entries.where(F.col("gate_in_time") <= as_of).withColumn("current_dwell_hours", dwell_hours(F.col("gate_in_time"), as_of))
+    by = rows.withColumn("dwell_bucket", dwell_class(hours)).groupBy("facility", "dwell_bucket")
+    totals = by.agg(F.sum("n").alias("container_count"), F.max(hours).alias("max_dwell_hours"), F.min(hours).alias("min_dwell_hours"))
+    return totals.withColumn("metric_type", F.lit("INVENTORY_BY_DWELL"))
+
+
+def backlog_type(row: str | None = None) -> Column:
+    """The first case that holds; null: no work is waiting. row: a struct that has the columns of a status."""
+    of = lambda c: F.col(row)[c] if row else F.col(c)
+    severity, stage, cleaning = (of(c) for c in ("last_inspection_severity", "last_repair_stage", "last_cleaning_type"))
     return (
         F.when(severity.isNotNull() & stage.isNull(), "WAITING_REPAIR")
         .when(stage.isNotNull() & cleaning.isNull(), "WAITING_CLEANING")
-        .when(F.col("event_type_norm").isin(IN_TYPES) & severity.isNull(), "WAITING_INSPECTION")
+        .when(of("event_type_norm").isin(IN_TYPES) & severity.isNull(), "WAITING_INSPECTION")
     )
 
 

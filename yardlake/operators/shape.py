@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from yardlake.functions import clean
 from yardlake.schemas import TOPIC_FIELDS, TOPIC_OF_TYPE
-from yardlake.sources.tables import ROW
+from yardlake.sources.tables import FILE, ROW
 
 #: Kinds of staging files: prefix of made ids, words in a file's name that tell the kind, in the order they are published.
 KINDS = {
@@ -44,7 +44,8 @@ def _row(df: DataFrame) -> Column:
 
 
 def _made_id(df: DataFrame, prefix: str, own: str | None = None) -> Column:
-    made = F.concat_ws("_", F.lit(prefix), _row(df))
+    """Rows are numbered within their file, so the file is part of the id."""
+    made = F.concat_ws("_", F.lit(prefix), *([F.col(FILE)] if FILE in df.columns else []), _row(df))
     return F.coalesce(_field(df, own), made) if own else made
 
 

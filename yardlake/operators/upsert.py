@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yardlake.operators import status
 from yardlake.operators.cycles import dwell_hours
-from yardlake.operators.status import ATTRIBUTES
 
 
 def _same(target: DataFrame, source: DataFrame, keys: list[str]):
@@ -41,17 +41,7 @@ def close_cycles(target: DataFrame, matched: DataFrame) -> DataFrame:
 
 
 def newest_status(target: DataFrame, source: DataFrame) -> DataFrame:
-    """The newer row of a container wins. Attributes that the winner doesn't know are taken from the other row, so an
-    older event may still tell one, but never replaces a newer value."""
-    key = "container_no_norm"
-    plain = ["event_time_parsed", "event_type_norm", "facility"]
-    t, s = target.alias("t"), source.alias("s")
-    both = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    wins = F.coalesce(F.col("s.event_time_parsed") > F.col("t.event_time_parsed"), F.col(f"t.{key}").isNull())
-    pick = lambda c: F.when(wins, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
-    other = lambda c: F.when(wins, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}"))
-    return both.select(
-        F.coalesce(f"t.{key}", f"s.{key}").alias(key),
-        *[pick(c).alias(c) for c in plain],
-        *[F.coalesce(pick(a), other(a)).alias(a) for a in ATTRIBUTES],
-    )
+    """The newest event of a container wins, and of each attribute the newest event that tells it, whichever of them has the container's
+    newest event. Both sides are states (status.state()), which keep the order of what told each value; so batches may come in any order,
+    interleave and hold equal times. status.visible() shows the rows."""
+    return status.merged(target, source)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from yardlake.functions import clean
@@ -38,16 +38,20 @@ def csv_scan(spark, sf):
     return rows.withColumns({"event_id": F.col("event_id").cast("long"), "part": F.col("part").cast("int")}).select(*SHOWN, "part", ROW)
 
 
-@query(f"""SELECT container_no_raw AS key, 'GATE_' || row_number AS event_id, event_type, row_number::VARCHAR AS source_row FROM ({file_rows("gate")})
+@query(f"""SELECT container_no_raw AS key, row_number::VARCHAR AS event_id, event_type, row_number::VARCHAR AS source_row FROM ({file_rows("gate")})
   WHERE row_number < 40 AND event_type IN ('GATE_IN', 'GATEIN', 'GATE_OUT', 'GATEOUT')""")
 def limit_per_file(spark, sf):
     sent = shape.all_envelopes({"gate": csv_files(spark, sf, "gate", [c for c in SHOWN if c != "event_id"])}, limit=40)
-    return sent.select("key", *[F.get_json_object("value", f"$.{c}").alias(c) for c in ("event_id", "event_type", "source_row")])
+    told = {c: F.get_json_object("value", f"$.{c}") for c in ("event_id", "event_type", "source_row")}
+    return sent.select("key", F.regexp_extract(told["event_id"], r"^GATE_[0-9a-f]{8}_(\d+)$", 1).alias("event_id"), *[told[c].alias(c) for c in ("event_type", "source_row")])
 
 
-@query(f"SELECT 'YM_' || row_number AS event_id, container_no_raw, event_time FROM ({file_rows('yard_move')})")
+@query(f"SELECT container_no_raw, event_time, row_number, 1::BIGINT AS rows_of_id FROM ({file_rows('yard_move')})")
 def made_ids(spark, sf):
-    return shape.yard_move(csv_files(spark, sf, "yard_move", ["container_no_raw", "move_time"])).select("event_id", "container_no_raw", "event_time")
+    """Every row of every file has an id of its own."""
+    made = shape.yard_move(csv_files(spark, sf, "yard_move", ["container_no_raw", "move_time"]))
+    rows = F.count(F.lit(1)).over(Window.partitionBy("event_id")).alias("rows_of_id")
+    return made.select("container_no_raw", "event_time", F.substring_index("event_id", "_", -1).cast("long").alias("row_number"), rows)
 
 
 @query("""SELECT container_no_raw AS key, 'raw.gate' AS topic, 'GATE_' || event_id AS event_id, '2024-02-01T00:00:00.000000' AS ingest_time
@@ -118,8 +122,7 @@ def registered_table(spark, sf):
     table = sinks.Snapshots(spark, f"{scratch(spark)}/backlog", "facility string, backlog_type string, backlog_count long")
     rows = metrics.backlog(given.current(spark, sf))
     for run, part in enumerate((rows.limit(0), rows)):
-        table.write(part, run)
-        sinks.register(spark, "yardlake_queries", "gold_backlog", f"{table.folder}/v={table.current()}")
+        table.write(part, run, ("yardlake_queries", "gold_backlog"))
     return spark.table("yardlake_queries.gold_backlog")
 
 
@@ -187,9 +190,87 @@ def stream_metrics(spark, sf):
     root = ingested(spark, sf, list(TOPICS))
     gold.start_cycles(service.silver_table(spark, root, "gate"), f"{root}/gold/cycles", f"{root}/checkpoints/cycles", ingest.ONCE).awaitTermination()
     gold.start_status(service.silver_events(spark, root), f"{root}/gold/status", f"{root}/checkpoints/status", ingest.ONCE).awaitTermination()
+    for start in (gold.start_inventory, gold.start_backlog):
+        start(spark, root, ingest.ONCE).awaitTermination()
     for when in (at("2024-01-20 00:00:00"), as_of()):
         gold.refresh_metrics(spark, root, gold.next_refresh(spark, root), when)
     inventory = sinks.Snapshots(spark, f"{root}/gold/inventory", gold.INVENTORY).read()
     backlog = sinks.Snapshots(spark, f"{root}/gold/backlog", gold.BACKLOG).read()
     long = lambda df, name, kind, n: df.select(F.lit(name).alias("metric"), "facility", F.col(kind).alias("kind"), F.col(n).alias("n"))
     return long(inventory, "inventory", "dwell_bucket", "container_count").unionByName(long(backlog, "backlog", "backlog_type", "backlog_count"))
+
+
+MIDDLE = "2024-01-16 00:00:00"
+
+
+def cycles_in_two_runs(spark: SparkSession, sf: str) -> str:
+    """The root of a lake whose cycles come from the events before MIDDLE and, in a later run, from the others."""
+    root = scratch(spark)
+    rows = given.clean_events(spark, sf, "gate").select(*cycles.KEY, "event_time_parsed", "event_type_norm", "truck")
+    for batch_id, part in enumerate((rows.where(F.col("event_time_parsed") < at(MIDDLE)), rows.where(F.col("event_time_parsed") >= at(MIDDLE)))):
+        sinks.append_batch(part, f"{root}/in", batch_id)
+        gold.start_cycles(table_stream(spark, f"{root}/in", rows.schema, ALL_FILES), f"{root}/gold/cycles", f"{root}/checkpoints/cycles", ingest.ONCE).awaitTermination()
+    return root
+
+
+#: What the first of the two runs knows of a cycle.
+EARLY = f"gate_in_time < TIMESTAMP '{MIDDLE}'"
+CLOSED_EARLY = f"coalesce(gate_out_time < TIMESTAMP '{MIDDLE}', false)"
+
+
+@query(f"""SELECT cycle_id, CASE WHEN {EARLY} THEN 'update' ELSE 'insert' END AS change, CASE WHEN {EARLY} THEN 'OPEN' END AS was_status, cycle_status, gate_out_time, gate_out_truck, dwell_time_hours
+  FROM cycles WHERE NOT {EARLY} OR (gate_out_time IS NOT NULL AND NOT {CLOSED_EARLY})""")
+def changes_since(spark, sf):
+    """What the second run changed, from the feed alone."""
+    feed = gold.cycle_table(spark, f"{cycles_in_two_runs(spark, sf)}/gold/cycles").feed
+    first = feed.read().where("now.gate_in_time < timestamp'" + MIDDLE + "' and change = 'insert'").agg(F.max("version")).first()[0]
+    net = feed.since(-1 if first is None else first)
+    return net.select("cycle_id", "change", F.col("was.cycle_status").alias("was_status"), *[F.col(f"now.{c}").alias(c) for c in ("cycle_status", "gate_out_time", "gate_out_truck", "dwell_time_hours")])
+
+
+@query(f"""SELECT cycle_id, n_changes, CASE WHEN {EARLY} AND NOT {CLOSED_EARLY} THEN 'OPEN' WHEN {EARLY} THEN 'CLOSED' END AS status_before
+  FROM (SELECT *, CASE WHEN {EARLY} AND NOT {CLOSED_EARLY} AND gate_out_time IS NOT NULL THEN 2 ELSE 1 END::BIGINT AS n_changes FROM cycles)""")
+def changes_streamed(spark, sf):
+    """A reader that starts late and stops between the runs sees each change once; the table as of the version between them."""
+    root = scratch(spark)
+    lake = cycles_in_two_runs(spark, sf)
+    feed = gold.cycle_table(spark, f"{lake}/gold/cycles").feed
+    for _ in range(2):  # the second time nothing is new
+        write = lambda df, i: sinks.append_batch(df.select("cycle_id", "version"), f"{root}/seen", i) and None
+        feed.stream(files_per_trigger=1).writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    seen = sinks.read_appended(spark, f"{root}/seen", "cycle_id string, version long").groupBy("cycle_id").agg(F.count(F.lit(1)).alias("n_changes"))
+    first = feed.read().where("now.gate_in_time < timestamp'" + MIDDLE + "' and change = 'insert'").agg(F.max("version")).first()[0]
+    before = feed.as_of(-1 if first is None else first).select("cycle_id", F.col("cycle_status").alias("status_before"))
+    return seen.join(before, "cycle_id", "left")
+
+
+LATER_INVENTORY = "SELECT facility, CASE WHEN h <= 120 THEN 'SHORT_0_5D' WHEN h <= 288 THEN 'MEDIUM_6_12D' WHEN h <= 480 THEN 'LONG_13_20D' ELSE 'CRITICAL_GT20D' END AS dwell_bucket, count(*)::BIGINT AS container_count, max(h) AS max_dwell_hours, min(h) AS min_dwell_hours FROM (SELECT facility, gate_in_time, {hours} AS h FROM cycles WHERE cycle_status = 'OPEN' AND gate_in_time <= {at}) GROUP BY 1, 2"
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS at, * FROM ({LATER_INVENTORY.format(hours=sql.hours(when), at=when)})" for name, when in (("end", sql.AS_OF), ("later", sql.LATER), ("during", "TIMESTAMP '2024-01-25 12:00:00'"))))
+def stream_inventory_incremental(spark, sf):
+    """Inventory at three times from one count of open entries, which a streaming aggregation keeps by adding what opens and
+    taking away what closes."""
+    root, out = cycles_in_two_runs(spark, sf), None
+    gold.start_inventory(spark, root, ingest.ONCE).awaitTermination()
+    for name, when in (("end", as_of()), ("later", at("2024-03-01 00:00:00")), ("during", at("2024-01-25 12:00:00"))):
+        part = gold.inventory_now(spark, root, when).drop("metric_type").withColumn("at", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("SELECT 'first' AS run, 0::BIGINT AS lost, count(*)::BIGINT AS n FROM gate UNION ALL SELECT 'second', 0, 2 * count(*)::BIGINT FROM gate")
+def new_checkpoint(spark, sf):
+    """A query that starts anew, without its checkpoint, appends what it reads; a replay of it does not. By id nothing is lost or made up."""
+    root, out = scratch(spark), None
+    rows = given.clean_events(spark, sf, "gate").select("event_id")
+    sinks.append_batch(rows, f"{root}/in", 0)
+    for name in ("first", "second"):
+        checkpoint = f"{root}/checkpoint-{name}"
+        write = lambda df, i, c=checkpoint: [sinks.append_batch(df, f"{root}/out", i, sinks.query_of(spark, c)) for _ in range(2)] and None
+        table_stream(spark, f"{root}/in", rows.schema, ALL_FILES).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        now = sinks.read_appended(spark, f"{root}/out", rows.schema)
+        lost = rows.join(now, "event_id", "left_anti").agg(F.lit(name).alias("run"), F.count(F.lit(1)).alias("lost"))
+        part = lost.withColumn("n", F.lit(now.count()))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -72,17 +72,24 @@ def widened(known: T.StructType | None, new: T.StructType) -> T.StructType:
         return plain(new)
     types = {f.name: f.dataType for f in known}
     for f in new:
-        if types.get(f.name, f.dataType) != f.dataType:
+        if types.get(f.name, f.dataType).simpleString() != f.dataType.simpleString():  # nulls may be in any column
             raise ValueError(f"column {f.name} was {types[f.name].simpleString()} and now is {f.dataType.simpleString()}")
     return plain([*known, *(f for f in new if f.name not in types)])
 
 
-def append_batch(df: DataFrame, folder: str, batch_id: int) -> bool:
+def query_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that a checkpoint belongs to. Its batches are numbered from 0, and so are those of the next checkpoint,
+    whose query has another id."""
+    return json.loads(Files(spark, checkpoint).get(f"{checkpoint}/metadata"))["id"]
+
+
+def append_batch(df: DataFrame, folder: str, batch_id: int, query: str = "") -> bool:
     """Rows of one batch, once: the batch is written aside and renamed into the table, so a reader sees all of it or
     nothing, and a batch that is there already is not written again. New columns are added to the table's. False: it was
-    there. (On stores without an atomic rename of folders, a reader must wait for the batch's _SUCCESS file.)"""
-    spark = df.sparkSession
-    files, place, aside = Files(spark, folder), f"{folder}/batch_id={batch_id}", f"{folder}/_new-{batch_id}"
+    there. query: see query_of(); a batch is known by it and its number. (On stores without an atomic rename of folders, a reader
+    must wait for the batch's _SUCCESS file.)"""
+    spark, name = df.sparkSession, f"{query}-{batch_id}" if query else f"{batch_id}"
+    files, place, aside = Files(spark, folder), f"{folder}/batch_id={name}", f"{folder}/_new-{name}"
     if files.exists(place):
         return False
     known = columns_of(spark, folder)
@@ -113,19 +120,22 @@ class Merged:
         self.files = Files(spark, folder)
 
     def runs(self) -> dict:
-        """The last batch, the runs of each level, and runs that the last batch has replaced, which readers may still use."""
+        """The last batch of each query, how many batches there were, the runs of each level, and runs that the last batch has
+        replaced, which readers may still use."""
         at = f"{self.folder}/_runs.json"
-        return json.loads(self.files.get(at)) if self.files.exists(at) else {"batch": -1, "levels": [], "old": []}
+        return json.loads(self.files.get(at)) if self.files.exists(at) else {"done": {}, "made": 0, "levels": [], "old": []}
 
     def _rows(self, names: list[str]) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*[f"{self.folder}/{n}" for n in names])
 
-    def add(self, batch: DataFrame, batch_id: int) -> bool:
-        """Adds a batch, once. What is not named in the list of runs is not part of the table, so a failure leaves it as it was."""
+    def add(self, batch: DataFrame, batch_id: int, query: str = "") -> bool:
+        """Adds a batch, once; query: see query_of(). What is not named in the list of runs is not part of the table, so a failure
+        leaves it as it was."""
         now = self.runs()
-        if batch_id <= now["batch"]:
+        if batch_id <= now["done"].get(query, -1):
             return False
-        levels, replaced, name, level = now["levels"], [], f"run-{batch_id}-0", 0
+        number = now["made"]
+        levels, replaced, name, level = now["levels"], [], f"run-{number}-0", 0
         self.rule(batch).write.mode("overwrite").parquet(f"{self.folder}/{name}")
         while True:
             if len(levels) <= level:
@@ -135,11 +145,13 @@ class Merged:
                 break
             full, levels[level] = levels[level], []
             replaced += full
-            level, name = level + 1, f"run-{batch_id}-{level + 1}"
+            level, name = level + 1, f"run-{number}-{level + 1}"
             self.rule(self._rows(full)).write.mode("overwrite").parquet(f"{self.folder}/{name}")
-        self.files.put(f"{self.folder}/_runs.json", json.dumps({"batch": batch_id, "levels": levels, "old": replaced}))
+        # first what the list names, so that a failure in between leaves nothing that no list names
         for n in now["old"]:
             self.files.delete(f"{self.folder}/{n}")
+        done = now["done"] | {query: batch_id}
+        self.files.put(f"{self.folder}/_runs.json", json.dumps({"done": done, "made": number + 1, "levels": levels, "old": replaced}))
         return True
 
     def read(self) -> DataFrame:
@@ -167,10 +179,17 @@ class Snapshots:
         fit = [] if now is None else [v for v in self.versions() if v <= now and (below is None or v < below)]
         return self.spark.read.schema(self.schema).parquet(f"{self.folder}/v={fit[-1]}") if fit else self.spark.createDataFrame([], self.schema)
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        """The table as of this batch; older versions but KEEP go."""
+    @property
+    def place(self) -> str:
+        return f"{self.folder}/v={self.current()}"
+
+    def write(self, df: DataFrame, batch_id: int, name: tuple[str, str] | None = None) -> None:
+        """The table as of this batch; older versions but KEEP go. name: schema and table under which it is registered; it is pointed to the
+        new version before old ones go."""
         df.select([f.name for f in self.read(-1).schema]).write.mode("overwrite").parquet(f"{self.folder}/v={batch_id}")
         self.files.put(f"{self.folder}/_current", str(batch_id))
+        if name:
+            register(self.spark, *name, self.place)
         for old in [v for v in self.versions() if v <= batch_id][:-KEEP]:
             self.files.delete(f"{self.folder}/v={old}")
 
@@ -188,11 +207,17 @@ def ensure_table(spark: SparkSession, folder: str, schema) -> Snapshots:
 
 
 def register(spark: SparkSession, schema: str, name: str, path: str) -> None:
-    """An external table over a Parquet folder; known names are pointed to the new place."""
+    """An external table over a Parquet folder. A known name is pointed to the new place in one step, so that readers find the one or the
+    other; where the columns have changed, the table is made anew."""
+    full = f"{schema}.{name}"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    spark.sql(f"DROP TABLE IF EXISTS {schema}.{name}")
-    spark.sql(f"CREATE TABLE {schema}.{name} USING parquet LOCATION '{path}'")
-    spark.catalog.refreshTable(f"{schema}.{name}")
+    if spark.catalog.tableExists(full):
+        if spark.table(full).schema.simpleString() == spark.read.parquet(path).schema.simpleString():
+            spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+        else:
+            spark.sql(f"DROP TABLE {full}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{path}'")
+    spark.catalog.refreshTable(full)
 
 
 def publish(envelopes: DataFrame, folder: str, files: int | None = None) -> None:

@@ -12,10 +12,12 @@ from yardlake.sources.sinks import columns_of, widened
 
 #: The column of staging_csv() that numbers a file's rows.
 ROW = "row_number"
+#: The one that tells its files apart: eight hexadecimal digits of its path's MD5.
+FILE = "file_id"
 
 
 def staging_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """CSV files with a header, all text, and the number of each row in its file (ROW, from 0). Without `columns` the header
+    """CSV files with a header, all text, and the number of each row in its file (ROW, from 0; FILE tells the file). Without `columns` the header
     is read for them, never the types."""
     reader = spark.read.option("header", True)
     if columns is not None:
@@ -32,7 +34,7 @@ def numbered(files: DataFrame) -> DataFrame:
     ranges = rows.groupBy(*place).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
     before = F.sum("__n").over(Window.partitionBy(place[0]).orderBy(place[1]).rowsBetween(Window.unboundedPreceding, -1))
     ranges = ranges.select(*place, (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__shift"))
-    return rows.join(ranges, place).select(*files.columns, (F.col("__id") + F.col("__shift")).alias(ROW))
+    return rows.join(ranges, place).select(*files.columns, (F.col("__id") + F.col("__shift")).alias(ROW), F.substring(F.md5(place[0]), 1, 8).alias(FILE))
 
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int = 3000) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from yardlake.operators import bronze, silver
 from yardlake.schemas import TOPICS, payload
-from yardlake.sources.sinks import append_batch
+from yardlake.sources.sinks import append_batch, query_of
 from yardlake.sources.tables import table_stream
 
 #: Triggers of the service.
@@ -31,14 +31,18 @@ def start_bronze(envelopes: DataFrame, topic: str, root: str, trigger: dict = IN
     """One query for both tables: the batch is parsed once and split. more: payload fields beside the known ones, which
     become columns of the table from then on, and of silver."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = bronze.parsed(batch, topic, more).persist()
-        at = F.current_timestamp()
-        append_batch(bronze.valid(rows, at), f"{root}/bronze/{topic}", batch_id)
-        append_batch(bronze.dead_letters(rows, at), f"{root}/dlq/{topic}", batch_id)
+    checkpoint = f"{root}/checkpoints/bronze/{topic}"
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        query, at = query_of(rows.sparkSession, checkpoint), F.current_timestamp()
+        rows = rows.persist()
+        append_batch(bronze.valid(rows, at), f"{root}/bronze/{topic}", batch_id, query)
+        append_batch(bronze.dead_letters(rows, at), f"{root}/dlq/{topic}", batch_id, query)
         rows.unpersist()
 
-    return envelopes.where(F.col("topic") == topic).writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoints/bronze/{topic}").trigger(**trigger).start()
+    rows = bronze.parsed(envelopes.where(F.col("topic") == topic), topic, more)
+    rows = rows.observe(f"bronze_{topic}", F.count_if(bronze.is_valid()).alias("rows"), F.count_if(~bronze.is_valid()).alias("dead_letters"))
+    return rows.writeStream.queryName(f"bronze {topic}").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def silver_stream(spark: SparkSession, kind: str, root: str, id_of: str = "business") -> DataFrame:
@@ -53,7 +57,9 @@ def start_silver(spark: SparkSession, kind: str, root: str, trigger: dict = INGE
     """Rows are counted on the way by observe(), not by a job of their own."""
     rows = silver_stream(spark, kind, root, id_of).observe(f"silver_{kind}", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("container_no_norm").isNull()).alias("null_container"))
 
+    checkpoint = f"{root}/checkpoints/silver/{kind}"
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch, f"{root}/silver/{kind}", batch_id)
+        append_batch(batch, f"{root}/silver/{kind}", batch_id, query_of(batch.sparkSession, checkpoint))
 
-    return rows.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", f"{root}/checkpoints/silver/{kind}").trigger(**trigger).start()
+    return rows.writeStream.queryName(f"silver {kind}").foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -40,6 +40,8 @@ def start_all(spark: SparkSession, envelopes, root: str, trigger: dict | None =
     when = trigger or gold.GOLD_TRIGGER
     start("cycles", gold.start_cycles, silver_table(spark, root, "gate"), f"{root}/gold/cycles", f"{root}/checkpoints/cycles", when)
     start("status", gold.start_status, silver_events(spark, root), f"{root}/gold/status", f"{root}/checkpoints/status", when)
+    start("inventory", gold.start_inventory, spark, root, trigger or gold.METRICS_TRIGGER)
+    start("backlog", gold.start_backlog, spark, root, trigger or gold.METRICS_TRIGGER)
     return queries
 
 
@@ -50,6 +52,8 @@ def catch_up(spark: SparkSession, envelopes, root: str, id_of: str = "business")
         ingest.start_silver(spark, kind, root, ingest.ONCE, id_of).awaitTermination()
     gold.start_cycles(silver_table(spark, root, "gate"), f"{root}/gold/cycles", f"{root}/checkpoints/cycles", ingest.ONCE).awaitTermination()
     gold.start_status(silver_events(spark, root), f"{root}/gold/status", f"{root}/checkpoints/status", ingest.ONCE).awaitTermination()
+    gold.start_inventory(spark, root, ingest.ONCE).awaitTermination()
+    gold.start_backlog(spark, root, ingest.ONCE).awaitTermination()
 
 
 def run(spark: SparkSession, envelopes, root: str, refresh_seconds: int = 60) -> None:
