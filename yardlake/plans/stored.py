@@ -10,11 +10,11 @@ from yardlake.operators import cycles, kpi, metrics, shape, silver, upsert
 from yardlake.plans import batch, given, sql
 from yardlake.plans.given import as_of, at
 from yardlake.plans.queries import SHOWN, query, staging
-from yardlake.plans.streamed import ALL_FILES, ingested, scratch
+from yardlake.plans.streamed import ALL_FILES, envelopes, ingested, scratch
 from yardlake.schemas import GATE_TYPES, TOPICS, TYPES_OF_KIND
 from yardlake.sources import sinks
-from yardlake.sources.tables import ROW, between, staging_csv, table_stream
-from yardlake.streaming import gold, ingest, service
+from yardlake.sources.tables import ROW, between, envelope_stream, staging_csv, table_stream
+from yardlake.streaming import gold, ingest, progress, service
 
 # Staging files: four of a kind, rows in the order of their ids
 
@@ -274,3 +274,54 @@ def new_checkpoint(spark, sf):
         part = lost.withColumn("n", F.lit(now.count()))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+LATE = "event_id % 10 = 0 AND event_time_parsed <= (SELECT max(event_time_parsed) FROM gate WHERE event_id % 10 <> 0) - INTERVAL 7 DAY"
+
+
+@query(f"""SELECT 'deduplicated' AS name, 'rows_in' AS metric, count(*)::BIGINT AS n FROM raw WHERE topic = 'raw.gate' UNION ALL SELECT 'deduplicated', 'rows', count(*)::BIGINT FROM gate WHERE NOT coalesce({LATE}, false)
+  UNION ALL SELECT 'deduplicated', 'dropped_late', count(*)::BIGINT FROM gate WHERE {LATE}
+  UNION ALL SELECT 'bronze raw.gate', 'rows_in', count(*)::BIGINT FROM raw WHERE topic = 'raw.gate' UNION ALL SELECT 'bronze raw.gate', 'rows', count(*) FILTER (container_no_raw IS NOT NULL)::BIGINT FROM raw WHERE topic = 'raw.gate'
+  UNION ALL SELECT 'bronze raw.gate', 'dead_letters', count(*) FILTER (container_no_raw IS NULL)::BIGINT FROM raw WHERE topic = 'raw.gate' UNION ALL SELECT 'bronze raw.gate', 'dropped_late', 0""")
+def stream_tallies(spark, sf):
+    """What the batches of two streams observed, read from the table that their listener wrote."""
+    root, topic = scratch(spark), TOPICS["gate"]
+    rows = given.bronze(spark, sf, "gate")
+    with progress.progress_table(spark, f"{root}/progress"):
+        for batch_id, part in enumerate((rows.where("event_id % 10 <> 0"), rows.where("event_id % 10 = 0"))):
+            sinks.append_batch(part, f"{root}/in", batch_id)
+            stream = silver.deduplicated(silver.silver(table_stream(spark, f"{root}/in", rows.schema, ALL_FILES), "gate")).observe("kept", F.count(F.lit(1)).alias("rows"))
+            write = lambda df, i: sinks.append_batch(df.select("event_id"), f"{root}/out", i) and None
+            stream.writeStream.queryName("deduplicated").foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        sinks.publish(envelopes(spark, sf, "gate"), f"{root}/topics/{topic}")
+        ingest.start_bronze(envelope_stream(spark, f"{root}/topics/{topic}", ALL_FILES), topic, root, ingest.ONCE).awaitTermination()
+    return progress.tallies(progress.read_progress(spark, f"{root}/progress"))
+
+
+PERIODS = {"week": "date_trunc('week', operational_date)", "month": "date_trunc('month', operational_date)"}
+
+
+@query(" UNION ALL ".join(f"""SELECT '{p}' AS kind, facility, period, count(*)::BIGINT AS cycles_completed, true AS median_ok, true AS p95_ok
+  FROM (SELECT facility, date_trunc('{p}', gate_out_time)::TIMESTAMP AS period FROM cycles WHERE cycle_status = 'CLOSED') GROUP BY 2, 3""" for p in PERIODS))
+def dwell_by_sketch(spark, sf):
+    """Weeks and months from the stored sketches of days; a quantile is right if its rank among all cycles of the period is within the error of
+    a sketch, or that of one cycle."""
+    folder, out = f"{scratch(spark)}/sketches", None
+    made = given.gate_cycles(spark, sf)
+    sinks.append_batch(kpi.dwell_sketches(made), folder, 0)
+    closed = made.where("cycle_status = 'CLOSED'").select("facility", F.to_date("gate_out_time").alias("operational_date"), "dwell_time_hours")
+    for kind, text in PERIODS.items():
+        period = F.expr(text).cast("timestamp")
+        merged = kpi.merged_dwell(sinks.read_appended(spark, folder), period, "facility")
+        all_of = closed.withColumn("period", period).join(merged, ["facility", "period"])
+
+        def right(c: str, q: float):
+            # ranks that the value takes: from the share below it to the share up to it
+            low, high = F.avg((F.col("dwell_time_hours") < F.col(c)).cast("double")), F.avg((F.col("dwell_time_hours") <= F.col(c)).cast("double"))
+            slack = F.lit(kpi.SKETCH_ERROR) + 1 / F.count(F.lit(1))
+            return (low <= F.lit(q) + slack) & (high >= F.lit(q) - slack)
+
+        told = all_of.groupBy("facility", "period").agg(F.count(F.lit(1)).alias("n"), F.max("cycles_completed").alias("cycles_completed"), right("median_dwell_hours", 0.5).alias("median_ok"), right("p95_dwell_hours", 0.95).alias("p95_ok"))
+        part = told.where("n = cycles_completed").select(F.lit(kind).alias("kind"), "facility", "period", "cycles_completed", "median_ok", "p95_ok")
+        out = part if out is None else out.unionByName(part)
+    return out
