@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from yardlake.functions import clean
-from yardlake.operators import cycles, kpi, metrics, shape, silver, upsert
+from yardlake.operators import bronze, cycles, health, kpi, metrics, shape, silver, upsert
 from yardlake.plans import batch, given, sql
 from yardlake.plans.given import as_of, at
 from yardlake.plans.queries import SHOWN, query, staging
 from yardlake.plans.streamed import ALL_FILES, envelopes, ingested, scratch
 from yardlake.schemas import GATE_TYPES, TOPICS, TYPES_OF_KIND
 from yardlake.sources import sinks
-from yardlake.sources.tables import ROW, between, envelope_stream, staging_csv, table_stream
+from yardlake.sources.envelopes import offset_stream
+from yardlake.sources.tables import ROW, between, envelope_stream, on_days, staging_csv, table_stream
 from yardlake.streaming import gold, ingest, progress, service
 
 # Staging files: four of a kind, rows in the order of their ids
@@ -128,9 +129,40 @@ def registered_table(spark, sf):
 
 @query(f"SELECT event_id, event_time_parsed FROM gate WHERE event_time_parsed BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND {sql.AS_OF} - INTERVAL 10 DAY")
 def silver_between(spark, sf):
+    return between(silver_by_day(spark, sf), "event_time_parsed", at("2024-01-10 00:00:00"), at("2024-01-21 00:00:00")).drop(sinks.DAY)
+
+
+def silver_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Gate events in three batches, each of which has events of all days, laid out by day."""
     folder = f"{scratch(spark)}/silver"
-    sinks.append_batch(given.clean_events(spark, sf, "gate").select("event_id", "event_time_parsed"), folder, 0)
-    return between(sinks.read_appended(spark, folder), "event_time_parsed", at("2024-01-10 00:00:00"), at("2024-01-21 00:00:00"))
+    rows = given.clean_events(spark, sf, "gate").select("event_id", "event_time_parsed")
+    for batch_id in range(3):
+        sinks.append_batch(rows.where(F.col("event_id") % 3 == batch_id), folder, batch_id, day_of="event_time_parsed")
+    return sinks.read_days(spark, folder)
+
+
+@query("""SELECT event_id, event_time_parsed FROM gate JOIN (SELECT CAST(event_time_parsed AS DATE) AS day, count(*) AS n FROM yard GROUP BY 1 HAVING n % 4 = 1) d ON CAST(event_time_parsed AS DATE) = d.day""")
+def silver_on_days(spark, sf):
+    """Gate events of the days that another table picks: only their folders are opened."""
+    moves = f"{scratch(spark)}/days"
+    counted = given.clean_events(spark, sf, "yard_move").groupBy(F.to_date("event_time_parsed").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    sinks.append_batch(counted, moves, 0)
+    return on_days(silver_by_day(spark, sf), sinks.read_appended(spark, moves).where("n % 4 = 1"), "day").drop(sinks.DAY)
+
+
+@query("""SELECT 'silver' AS layer, 'silver_gate' AS table_name, count(*)::BIGINT AS n, max(event_time_parsed) AS latest FROM gate
+  UNION ALL SELECT 'gold', 'gold_cycles', count(*)::BIGINT, max(gate_in_time) FROM cycles""")
+def stored_layer_health(spark, sf):
+    """Health of stored tables, told by their files' footers."""
+    root = scratch(spark)
+    gate = given.clean_events(spark, sf, "gate")
+    made = {("silver", "silver_gate"): (gate, "event_time_parsed"), ("gold", "gold_cycles"): (cycles.cycles(gate), "gate_in_time")}
+    stored = {}
+    for (layer, name), (df, time) in made.items():
+        folder = f"{root}/{name}"
+        df.withColumn("micros", F.unix_micros(time)).write.parquet(folder)
+        stored[layer, name] = (folder, "micros")
+    return health.stored_health(spark, stored)
 
 
 @query("""SELECT 'gold_kpi_shift' AS table_name, count(*)::BIGINT AS n, sum(value)::BIGINT AS total FROM shift_kpi UNION ALL SELECT 'gold_kpi_daily', count(*)::BIGINT, sum(value)::BIGINT FROM daily
@@ -325,3 +357,57 @@ def dwell_by_sketch(spark, sf):
         part = told.where("n = cycles_completed").select(F.lit(kind).alias("kind"), "facility", "period", "cycles_completed", "median_ok", "p95_ok")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@query("""SELECT operational_date, kpi_type, sum(value)::BIGINT AS value, operational_date = DATE '2024-01-20' AS rewritten FROM (
+  SELECT operational_date, kpi_type, CASE WHEN operational_date = DATE '2024-01-20' THEN value + 1 ELSE value END AS value FROM shift_kpi) GROUP BY 1, 2""", dates=True)
+def upsert_touched_days(spark, sf):
+    """Shift figures, again with one day's values changed: that day's files are new, the others' are those of before."""
+    key = ["facility", "operational_date", "shift_id", "kpi_type"]
+    rows = kpi.shift_kpis(given.clean_events(spark, sf, "gate"), given.clean_events(spark, sf, "yard_move").withColumn("location", F.lit(None).cast("string")), as_of())
+    table = sinks.Dated(spark, f"{scratch(spark)}/shift", rows.schema, "operational_date")
+    files = lambda: table.days().select(table.own, F.col("_metadata.file_name").alias("file"))
+    later = rows.withColumn("value", F.when(F.col("operational_date") == F.lit("2024-01-20").cast("date"), F.col("value") + 1).otherwise(F.col("value")))
+    table.upsert(rows, lambda t, s: upsert.replace(t, s, key))
+    noted = f"{scratch(spark)}/noted"
+    sinks.append_batch(files().distinct().toDF(table.own, "before"), noted, 0)
+    before = sinks.read_appended(spark, noted)
+    table.upsert(later, lambda t, s: upsert.replace(t, s, key))
+    told = files().distinct().join(before, table.own, "left").groupBy(table.own).agg(F.bool_or(~F.col("file").eqNullSafe(F.col("before"))).alias("rewritten"))
+    figures = table.days().groupBy(table.own, "kpi_type").agg(F.sum("value").alias("value"))
+    return figures.join(told, table.own).withColumnRenamed(table.own, "operational_date")
+
+
+@query("""SELECT CASE WHEN n < 700 THEN n // 500 ELSE 2 + (n - 700) // 500 END AS run, count(*)::BIGINT AS n, min(kafka_offset) AS first_offset, max(kafka_offset) AS last_offset FROM (
+  SELECT kafka_offset, row_number() OVER (ORDER BY kafka_offset) - 1 AS n FROM raw WHERE topic = 'raw.gate' AND kafka_partition = 0) GROUP BY 1""")
+def stream_by_offsets(spark, sf):
+    """Envelopes of one partition, 500 records a trigger: first those that are there, then, by a query that starts again, those that came since.
+    A trigger begins where the one before ended."""
+    root = scratch(spark)
+    rows = given.raw(spark, sf, "gate").where("topic = 'raw.gate' and kafka_partition = 0")
+    place = F.row_number().over(Window.orderBy("kafka_offset")) - 1  # one partition of a topic is a sequence
+    sent = rows.select(F.col("container_no_raw").alias("key"), F.col("kafka_offset").cast("string").alias("value"), "topic", F.col("kafka_partition").alias("partition"), place.cast("long").alias("offset"), at("2024-06-01 00:00:00").alias("timestamp"))
+    for part in (sent.where("offset < 700"), sent.where("offset >= 700")):
+        sinks.publish(part, f"{root}/topic")
+        write = lambda df, i: sinks.append_batch(df.select(F.col("value").cast("long").alias("v"), F.lit(i).cast("long").alias("run")), f"{root}/out", i) and None
+        stream = offset_stream(spark, f"{root}/topic", f"{root}/checkpoint", 500)
+        running = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint").trigger(processingTime="0 seconds").start()
+        running.processAllAvailable()
+        running.stop()
+    got = sinks.read_appended(spark, f"{root}/out", "v long, run long")
+    return got.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("first_offset"), F.max("v").alias("last_offset"))
+
+
+@query(f"""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'S' || event_id END AS seal, CASE WHEN event_id % 4 = 1 THEN (event_id * 2)::VARCHAR END AS weight, event_id % 4 < 2 AS has_more
+  FROM raw WHERE topic = 'raw.gate' AND container_no_raw IS NOT NULL""")
+def unknown_fields(spark, sf):
+    """Payload fields that no schema names, kept beside the others and read back from the bronze table: one as text, one from within a record."""
+    root, topic = scratch(spark), TOPICS["gate"]
+    rows = given.raw(spark, sf, "gate").where("topic = 'raw.gate'")
+    more = F.when(F.col("event_id") % 4 == 1, F.struct((F.col("event_id") * 2).alias("gross")))
+    value = F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), "event_type", "container_no_raw", F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("S"), "event_id")).alias("seal"), more.alias("load")))
+    sent = rows.select(F.col("container_no_raw").alias("key"), value.alias("value"), "topic", F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"), at("2024-06-01 00:00:00").alias("timestamp"))
+    sinks.publish(sent, f"{root}/topics/{topic}")
+    ingest.start_bronze(envelope_stream(spark, f"{root}/topics/{topic}", ALL_FILES), topic, root, ingest.ONCE, keep_unknown=True).awaitTermination()
+    table = bronze.promoted(sinks.read_appended(spark, f"{root}/bronze/{topic}"), {"seal": ("$.seal", "string"), "weight": ("$.load.gross", "long")})
+    return table.select(F.col("event_id").cast("long").alias("event_id"), "seal", F.col("weight").cast("string").alias("weight"), F.col(bronze.UNKNOWN).isNotNull().alias("has_more"))

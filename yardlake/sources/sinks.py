@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEEP = 3
@@ -83,10 +86,15 @@ def query_of(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(Files(spark, checkpoint).get(f"{checkpoint}/metadata"))["id"]
 
 
-def append_batch(df: DataFrame, folder: str, batch_id: int, query: str = "") -> bool:
+#: The folder level by which a table that is laid out by date is pruned.
+DAY = "event_day"
+
+
+def append_batch(df: DataFrame, folder: str, batch_id: int, query: str = "", day_of: str | None = None) -> bool:
     """Rows of one batch, once: the batch is written aside and renamed into the table, so a reader sees all of it or
     nothing, and a batch that is there already is not written again. New columns are added to the table's. False: it was
-    there. query: see query_of(); a batch is known by it and its number. (On stores without an atomic rename of folders, a reader
+    there. query: see query_of(); a batch is known by it and its number. day_of: a column of times, by whose dates the batch is laid out
+    in folders (read_days() reads them). (On stores without an atomic rename of folders, a reader
     must wait for the batch's _SUCCESS file.)"""
     spark, name = df.sparkSession, f"{query}-{batch_id}" if query else f"{batch_id}"
     files, place, aside = Files(spark, folder), f"{folder}/batch_id={name}", f"{folder}/_new-{name}"
@@ -95,7 +103,12 @@ def append_batch(df: DataFrame, folder: str, batch_id: int, query: str = "") ->
     known = columns_of(spark, folder)
     if (now := widened(known, df.schema)) != known:
         files.put(f"{folder}/{SCHEMA}", now.json())
-    df.write.mode("overwrite").parquet(aside)
+    if day_of:
+        # a day's rows of a batch meet in one task, so that a batch has a file a day and not one for each task and day
+        dealt = df.withColumn(DAY, F.to_date(day_of)).repartition(DAY)
+        dealt.sortWithinPartitions(day_of).write.mode("overwrite").partitionBy(DAY).parquet(aside)
+    else:
+        df.write.mode("overwrite").parquet(aside)
     files.move(aside, place)
     return True
 
@@ -105,7 +118,14 @@ def read_appended(spark: SparkSession, folder: str, schema=None) -> DataFrame:
     known = columns_of(spark, folder)
     if known is None or not any(n.startswith("batch_id=") for n in Files(spark, folder).names(folder)):
         return spark.createDataFrame([], schema or known or T.StructType())
-    return spark.read.schema(known).parquet(f"{folder}/batch_id=*")
+    return spark.read.schema(known).option("basePath", folder).parquet(folder).select(*known.names)
+
+
+def read_days(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows of a table that is laid out by date, with DAY. A bound on DAY, or a join with a filtered set of days, opens those days' folders
+    only."""
+    fields = T.StructType([*columns_of(spark, folder).fields, T.StructField(DAY, T.DateType())])
+    return spark.read.schema(fields).option("basePath", folder).parquet(folder).select(*fields.names)
 
 
 class Merged:
@@ -198,6 +218,50 @@ class Snapshots:
         self.write(rule(self.read(below=batch_id), source), batch_id)
 
 
+class Dated:
+    """A keyed table in one folder a day, of which an upsert rewrites only those that it changes: dynamic partition overwrite.
+
+    date: a column of the rows that is part of the key. A day's folder is replaced when the job commits; readers of several days may see
+    some of them before and some after."""
+
+    def __init__(self, spark: SparkSession, folder: str, schema: T.StructType, date: str):
+        self.spark, self.folder, self.schema, self.date = spark, folder, schema, date
+        self.files = Files(spark, folder)
+        self.own = f"{date}_part"
+
+    @property
+    def place(self) -> str:
+        return self.folder
+
+    def read(self) -> DataFrame:
+        return self.days().drop(self.own)
+
+    def days(self) -> DataFrame:
+        """With the day that a row lies under, which Spark prunes folders by."""
+        fields = T.StructType([*self.schema.fields, T.StructField(self.own, T.DateType())])
+        if not any(n.startswith(f"{self.own}=") for n in self.files.names(self.folder)):
+            return self.spark.createDataFrame([], fields)
+        return self.spark.read.schema(fields).parquet(self.folder)
+
+    def upsert(self, source: DataFrame, rule: Callable[[DataFrame, DataFrame], DataFrame], ignore: tuple[str, ...] = ()) -> None:
+        """rule: one of operators.upsert, target and source of the days that change to their next rows. A day is changed if a row of source is not in it as it
+        is, columns to `ignore` (as the time of computing) aside; a source that changes nothing writes nothing. Repeating it changes nothing."""
+        values = [c for c in self.schema.names if c not in ignore]
+        source = source.select(*self.schema.names).persist()
+        day = F.to_date(self.date).alias(self.own)
+        bounds = source.agg(F.min(F.to_date(self.date)), F.max(F.to_date(self.date))).first()
+        if bounds[0] is not None:
+            there = self.days().where(F.col(self.own).between(*map(F.lit, bounds)))
+            same = [source[c].eqNullSafe(there[c]) for c in values]
+            changed = source.join(there, reduce(and_, same), "left_anti").select(day).distinct().persist()
+            target = there.join(changed, self.own, "left_semi").drop(self.own)
+            now = rule(target, source.withColumn(self.own, F.to_date(self.date)).join(changed, self.own, "left_semi").drop(self.own))
+            made = now.select(*self.schema.names, day).repartition(self.own)
+            made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.own).parquet(self.folder)
+            changed.unpersist()
+        source.unpersist()
+
+
 def ensure_table(spark: SparkSession, folder: str, schema) -> Snapshots:
     """The table, made empty if it isn't there."""
     table = Snapshots(spark, folder, schema)

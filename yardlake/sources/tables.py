@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yardlake.schemas import ENVELOPE
-from yardlake.sources.sinks import columns_of, widened
+from yardlake.sources.sinks import DAY, columns_of, widened
 
 
 #: The column of staging_csv() that numbers a file's rows.
@@ -53,9 +53,18 @@ def table_stream(spark: SparkSession, folder: str, schema, files_per_trigger: in
     """Rows appended to a table that sinks.append_batch writes: the columns of `schema`, and those that the table has besides."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     schema = widened(schema, columns_of(spark, folder) or schema)
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{folder}/batch_id=*")
+    # what the folders are named by must be named too; of a table that is not laid out by date the day is null
+    named = T.StructType([*schema.fields, T.StructField("batch_id", T.StringType()), T.StructField(DAY, T.DateType())])
+    return spark.readStream.schema(named).option("maxFilesPerTrigger", files_per_trigger).parquet(folder).select(*schema.names)
 
 
 def between(df: DataFrame, time: str, start: Column, end: Column) -> DataFrame:
-    """Rows in [start, end]; on a plain column Spark pushes it down to the files' row groups."""
-    return df.where(F.col(time).between(start, end))
+    """Rows in [start, end]; on a plain column Spark pushes it down to the files' row groups. Of a table that is laid out by date the other days'
+    folders are not even listed."""
+    rows = df.where(F.col(time).between(start, end))
+    return rows.where(F.col(DAY).between(F.to_date(start), F.to_date(end))) if DAY in df.columns else rows
+
+
+def on_days(df: DataFrame, days: DataFrame, day: str) -> DataFrame:
+    """Rows of the days that `days` holds; its filter on the days is what Spark prunes df's folders by when it runs."""
+    return df.join(days.select(F.col(day).alias(DAY)).distinct(), DAY, "left_semi")

@@ -27,9 +27,9 @@ def bronze_schema(topic: str) -> str:
     return f"kafka_key string, kafka_topic string, kafka_partition int, kafka_offset long, kafka_timestamp timestamp, bronze_ingest_time timestamp, {fields}"
 
 
-def start_bronze(envelopes: DataFrame, topic: str, root: str, trigger: dict = INGEST_TRIGGER, more: tuple[str, ...] = ()) -> StreamingQuery:
+def start_bronze(envelopes: DataFrame, topic: str, root: str, trigger: dict = INGEST_TRIGGER, more: tuple[str, ...] = (), keep_unknown: bool = False) -> StreamingQuery:
     """One query for both tables: the batch is parsed once and split. more: payload fields beside the known ones, which
-    become columns of the table from then on, and of silver."""
+    become columns of the table from then on, and of silver; keep_unknown: all others stay in one column (bronze.promoted() reads them)."""
 
     checkpoint = f"{root}/checkpoints/bronze/{topic}"
 
@@ -40,7 +40,7 @@ def start_bronze(envelopes: DataFrame, topic: str, root: str, trigger: dict = IN
         append_batch(bronze.dead_letters(rows, at), f"{root}/dlq/{topic}", batch_id, query)
         rows.unpersist()
 
-    rows = bronze.parsed(envelopes.where(F.col("topic") == topic), topic, more)
+    rows = bronze.parsed(envelopes.where(F.col("topic") == topic), topic, more, keep_unknown)
     rows = rows.observe(f"bronze_{topic}", F.count_if(bronze.is_valid()).alias("rows"), F.count_if(~bronze.is_valid()).alias("dead_letters"))
     return rows.writeStream.queryName(f"bronze {topic}").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -60,6 +60,6 @@ def start_silver(spark: SparkSession, kind: str, root: str, trigger: dict = INGE
     checkpoint = f"{root}/checkpoints/silver/{kind}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch, f"{root}/silver/{kind}", batch_id, query_of(batch.sparkSession, checkpoint))
+        append_batch(batch, f"{root}/silver/{kind}", batch_id, query_of(batch.sparkSession, checkpoint), day_of=silver.TIME)
 
     return rows.writeStream.queryName(f"silver {kind}").foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger).start()
