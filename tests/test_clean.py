@@ -1,5 +1,6 @@
 """Single values, on the documented examples and the edges."""
 
+import re
 from datetime import date, datetime
 
 import pytest
@@ -75,7 +76,8 @@ def test_file_kinds_and_csv(spark, tmp_path):
     path = tmp_path / "stg_cleaning_events.csv"
     path.write_text("event_type,event_time,Date In,container_no_raw,facility,source_row\nWASH, ,2024-01-05,C1,CT02-x,7\nCLEAN,2024-01-06,,C2,,8\n")
     got = shape.cleaning(staging_csv(spark, str(path))).orderBy("event_id").collect()
-    assert [(r.event_id, r.event_type, r.event_time, r.facility) for r in got] == [("CLEAN_0", "CLEANING", "2024-01-05", "CT02"), ("CLEAN_1", "CLEAN", "2024-01-06", "UNKNOWN")]
+    assert re.fullmatch("CLEAN_[0-9a-f]{8}_0", got[0].event_id)  # which file, which row
+    assert [(r.event_id.replace(got[0].event_id[5:-1], "_"), r.event_type, r.event_time, r.facility) for r in got] == [("CLEAN_0", "CLEANING", "2024-01-05", "CT02"), ("CLEAN_1", "CLEAN", "2024-01-06", "UNKNOWN")]
     sent = shape.envelope(shape.cleaning(staging_csv(spark, str(path))))
     assert {r.topic for r in sent.collect()} == {"raw.cleaning"}
 

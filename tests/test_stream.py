@@ -10,7 +10,7 @@ from yardlake.plans import given
 from yardlake.schemas import TOPICS, payload
 from yardlake.sources.sinks import Merged, Snapshots, append_batch, columns_of, ensure_table, read_appended, register
 from yardlake.sources.tables import between, envelope_stream, numbered, table_stream
-from yardlake.streaming import gold, ingest, service
+from yardlake.streaming import gold, ingest, progress, service
 
 SF = "/root/testdata/sf0.001"
 KINDS = ["gate", "yard_move", "inspection", "cleaning", "mnr"]
@@ -175,19 +175,20 @@ def test_service_runs_until_a_query_ends(spark, tmp_path):
     done = []
 
     def work():
-        service.run(spark, lambda t: envelope_stream(spark, f"file://{tmp_path}/src/{t}"), root, refresh_seconds=2)
+        service.run(spark, lambda t: envelope_stream(spark, f"file://{tmp_path}/src/{t}"), root, refresh_seconds=2, trigger={"processingTime": "2 seconds"})
         done.append(True)
 
     thread = threading.Thread(target=work, daemon=True)
     thread.start()
     table = Snapshots(spark, f"{root}/gold/backlog", gold.BACKLOG)
-    end = time.time() + 240
+    end = time.time() + 400
     while time.time() < end and thread.is_alive() and not ((table.current() or 0) > 0 and table.read().count() and gold.read_cycles(spark, f"{root}/gold/cycles").count()):
         time.sleep(2)
     assert table.read().count() > 0 and gold.read_cycles(spark, f"{root}/gold/cycles").count() > 0
     next(iter(spark.streams.active)).stop()
     thread.join(120)
     assert done and not spark.streams.active
+    assert progress.read_progress(spark, f"{root}/progress").where("rows_in > 0").select("name").distinct().count() >= 10
     assert gold.next_refresh(spark, root) == max(Snapshots(spark, f"{root}/gold/{t}", "facility string").current() for t in ("inventory", "backlog")) + 1
 
 

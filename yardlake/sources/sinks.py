@@ -59,6 +59,11 @@ class Files:
         return text
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    files = Files(spark, folder)
+    files.fs.mkdirs(files.path(folder))
+
+
 SCHEMA = "_columns.json"
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yardlake.schemas import ENVELOPE
-from yardlake.sources.sinks import DAY, columns_of, widened
+from yardlake.sources.sinks import DAY, columns_of, make_folder, widened
 
 
 #: The column of staging_csv() that numbers a file's rows.
@@ -53,6 +53,7 @@ def table_stream(spark: SparkSession, folder: str, schema, files_per_trigger: in
     """Rows appended to a table that sinks.append_batch writes: the columns of `schema`, and those that the table has besides."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     schema = widened(schema, columns_of(spark, folder) or schema)
+    make_folder(spark, folder)  # a stream may start before the table's first batch
     # what the folders are named by must be named too; of a table that is not laid out by date the day is null
     named = T.StructType([*schema.fields, T.StructField("batch_id", T.StringType()), T.StructField(DAY, T.DateType())])
     return spark.readStream.schema(named).option("maxFilesPerTrigger", files_per_trigger).parquet(folder).select(*schema.names)

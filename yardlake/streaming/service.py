@@ -9,6 +9,7 @@ from yardlake.operators import silver, status
 from yardlake.schemas import TOPICS
 from yardlake.sources.tables import table_stream
 from yardlake.streaming import gold, ingest
+from yardlake.streaming.progress import progress_table
 
 
 def silver_schema(kind: str):
@@ -56,15 +57,16 @@ def catch_up(spark: SparkSession, envelopes, root: str, id_of: str = "business")
     gold.start_backlog(spark, root, ingest.ONCE).awaitTermination()
 
 
-def run(spark: SparkSession, envelopes, root: str, refresh_seconds: int = 60) -> None:
-    """Until a query ends: metrics are refreshed on the clock, the only place where it is read. If one fails, its error is
+def run(spark: SparkSession, envelopes, root: str, refresh_seconds: int = 60, trigger: dict | None = None) -> None:
+    """Until a query ends; trigger: of all queries, each has its own by default. The listener's table is under progress; metrics are refreshed on the clock, the only place where it is read. If one fails, its error is
     raised and the others are stopped."""
-    queries = start_all(spark, envelopes, root)
-    try:
-        while all(q.isActive for q in queries):
-            spark.streams.resetTerminated()  # queries that had ended before don't end the wait
-            if not spark.streams.awaitAnyTermination(refresh_seconds):
-                gold.refresh_metrics(spark, root, gold.next_refresh(spark, root), F.current_timestamp())
-    finally:
-        for q in queries:
-            q.stop()
+    with progress_table(spark, f"{root}/progress"):
+        queries = start_all(spark, envelopes, root, trigger)
+        try:
+            while all(q.isActive for q in queries):
+                spark.streams.resetTerminated()  # queries that had ended before don't end the wait
+                if not spark.streams.awaitAnyTermination(refresh_seconds):
+                    gold.refresh_metrics(spark, root, gold.next_refresh(spark, root), F.current_timestamp())
+        finally:
+            for q in queries:
+                q.stop()
