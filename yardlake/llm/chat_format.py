@@ -29,7 +29,8 @@ def unescaped(text: Column) -> Column:
 
 
 def conversations(df: DataFrame) -> DataFrame:
-    """conv_id, formatted, replies: array of (start, end) of the text of each assistant turn, in order, from 0.
+    """conv_id, alone, formatted, replies: array of (start, end) of the text of each assistant turn, in order, from 0. alone: null, but for
+    rows without a conv_id, which it tells apart.
 
     Rows go by turn, ties by role and text, null turns first. Null texts and roles are empty. A row without a conv_id is a
     conversation of its own, so that such rows are never gathered. Repeated rows stay. Other columns are ignored.
@@ -40,8 +41,8 @@ def conversations(df: DataFrame) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     rows = df.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("turn"))
-    turns = rows.where("conv_id is not null").groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
-    turns = turns.unionByName(rows.where("conv_id is null").select("conv_id", F.array("turn").alias("turns")))
+    rows = rows.withColumn("alone", F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()))
+    turns = rows.groupBy("conv_id", "alone").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
     parts = F.transform(
         "turns",
         lambda t: F.struct(
@@ -58,15 +59,16 @@ def conversations(df: DataFrame) -> DataFrame:
         reply = F.struct(first.alias("start"), (first + F.length(p["body"])).alias("end"))
         return F.struct((state["at"] + size(p)).alias("at"), F.when(p["target"], F.concat(state["replies"], F.array(reply))).otherwise(state["replies"]).alias("replies"))
 
-    return turns.select("conv_id", parts.alias("parts")).select(
+    return turns.select("conv_id", "alone", parts.alias("parts")).select(
         "conv_id",
+        "alone",
         F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit(CLOSE))), "").alias("formatted"),
         F.aggregate("parts", start, step, lambda s: s["replies"]).alias("replies"),
     )
 
 
 def expand(df: DataFrame) -> DataFrame:
-    """conv_id, example (from 0), formatted, end, loss_start, loss_end: one row per assistant turn; the example's text
+    """conv_id, alone, example (from 0), formatted, end, loss_start, loss_end: one row per assistant turn; the example's text
     is the first `end` characters of formatted. Turns that no reply follows come as one last example with an empty
     mask, so that no turn is lost; a conversation without replies has only that."""
     whole = F.length("formatted")
@@ -76,9 +78,9 @@ def expand(df: DataFrame) -> DataFrame:
     examples = F.when(done < whole, F.concat(closed, open_end)).otherwise(closed)
     return (
         conversations(df)
-        .select("conv_id", "formatted", examples.alias("examples"))
-        .select("conv_id", "formatted", F.posexplode("examples").alias("example", "e"))
-        .select("conv_id", "example", "formatted", "e.end", "e.loss_start", "e.loss_end")
+        .select("conv_id", "alone", "formatted", examples.alias("examples"))
+        .select("conv_id", "alone", "formatted", F.posexplode("examples").alias("example", "e"))
+        .select("conv_id", "alone", "example", "formatted", "e.end", "e.loss_start", "e.loss_end")
     )
 
 
@@ -88,8 +90,8 @@ def part(text: str | Column, start: Column | str, end: Column | str) -> Column:
 
 
 def texts(examples: DataFrame) -> DataFrame:
-    """conv_id, example, text, loss_start, loss_end: the examples' own strings."""
-    return examples.select("conv_id", "example", part("formatted", F.lit(0), "end").alias("text"), "loss_start", "loss_end")
+    """conv_id, alone, example, text, loss_start, loss_end: the examples' own strings."""
+    return examples.select("conv_id", "alone", "example", part("formatted", F.lit(0), "end").alias("text"), "loss_start", "loss_end")
 
 
 def read_turns(text: Column) -> Column:

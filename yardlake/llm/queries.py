@@ -84,16 +84,14 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"))
     examples = chat_format.texts(chat_format.expand(given.unionByName(extra)))
     read = examples.select(
-        "conv_id", "example", F.length("text").alias("chars"),
+        "conv_id", "alone", "example", F.length("text").alias("chars"),
         chat_format.unescaped(chat_format.part("text", "loss_start", "loss_end")).alias("reply"),
         "text",
     )
     last = F.max_by("text", "example").alias("text")
     replies = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "reply"))), lambda x: x["reply"]), "").alias("replies")
-    by_conv = read.where("conv_id is not null").groupBy("conv_id").agg(last, replies, F.sum("chars").cast("long").alias("formatted_chars"))
-    # a turn without a conv_id is a conversation, and its only example, on its own
-    alone = read.where("conv_id is null").select("conv_id", "text", F.col("reply").alias("replies"), F.col("chars").cast("long").alias("formatted_chars"))
-    by_conv = by_conv.unionByName(alone)
+    # grouped as its turns are, so that nothing moves again
+    by_conv = read.groupBy("conv_id", "alone").agg(last, replies, F.sum("chars").cast("long").alias("formatted_chars"))
     turns = by_conv.withColumn("turns", chat_format.read_turns(F.col("text")))
     spelled = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return turns.select(
