@@ -286,6 +286,8 @@ def register(spark: SparkSession, schema: str, name: str, path: str) -> None:
         else:
             spark.sql(f"DROP TABLE {full}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(full)):
+        spark.catalog.recoverPartitions(full)  # the catalog keeps a list of them, and new ones may have come
     spark.catalog.refreshTable(full)
 
 
