@@ -81,6 +81,25 @@ def test_daily_inventory_counts_the_out_day(spark):
     assert [r.inventory_eod for r in got] == [0, 0, 2, 2, 2, 1]
 
 
+def test_daily_figures_read_cycles_once_each(spark, tmp_path):
+    """Facilities without a closed cycle, or with none in the calendar, have all their days; the plan reads the cycles once for each of the two figures."""
+    rows = [("A", "CT01", 0, 2), ("B", "CT01", 1, 2), ("C", "CT02", 1, None), ("D", "CT03", 9, None), ("E", "CT04", -99, -90), ("F", None, 0, 1)]
+    made = [(c, f, T0 + timedelta(days=i), None if o is None else T0 + timedelta(days=o), "OPEN" if o is None else "CLOSED", None if o is None else 24.0 * (o - i)) for c, f, i, o in rows]
+    spark.createDataFrame(made, "container_no_norm string, facility string, gate_in_time timestamp, gate_out_time timestamp, cycle_status string, dwell_time_hours double").write.parquet(f"file://{tmp_path}/cycles")
+    daily = kpi.daily_kpis(spark.read.parquet(f"file://{tmp_path}/cycles"), F.lit("2024-01-05 00:00:00").cast("timestamp"), 4)
+    got = {}
+    for r in daily.orderBy("day_ts").collect():
+        got.setdefault((r.kpi_type, r.facility), []).append(r.value)
+    days = [(T0 + timedelta(days=d)).date() for d in range(5)]
+    assert days[-1].isoformat() == "2024-01-05"
+    none = [0] * 5
+    assert got == {
+        **{("DAILY_THROUGHPUT", f): none for f in ("CT02", "CT03", "CT04")}, ("DAILY_THROUGHPUT", "CT01"): [0, 0, 2, 0, 0],
+        **{("DAILY_INVENTORY_EOD", f): none for f in ("CT03", "CT04")}, ("DAILY_INVENTORY_EOD", "CT01"): [1, 2, 2, 0, 0], ("DAILY_INVENTORY_EOD", "CT02"): [0, 1, 1, 1, 1],
+    }
+    assert daily._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 2
+
+
 def test_batch_run_is_repeatable(spark, tmp_path):
     from yardlake.plans import batch, given
 

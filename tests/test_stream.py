@@ -154,6 +154,40 @@ def test_new_payload_field_reaches_silver(spark, tmp_path):
     assert sorted((r.container_no_norm, r.seal) for r in got.collect()) == [("TCNU0", None), ("TCNU1", "S1")]
 
 
+def test_new_columns_reach_a_running_silver_query(spark, tmp_path):
+    """It ends without having done the batch that brings them, and the one that goes on in its place has them of that batch too."""
+    import time
+
+    topic, root, trigger = "raw.gate", f"file://{tmp_path}/lake", {"processingTime": "500 milliseconds"}
+    value = '{"event_type":"GATE_IN","container_no_raw":"TCNU%d","facility":"CT01","event_time":"2024-01-05 10:00:00","seal":"S%d"}'
+
+    def publish(run, more):
+        rows = spark.createDataFrame([("K", value % (run, run), topic, 0, run)], "key string, value string, topic string, partition int, offset long").withColumn("timestamp", F.current_timestamp())
+        rows.coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/src")
+        ingest.start_bronze(envelope_stream(spark, f"file://{tmp_path}/src"), topic, root, ingest.ONCE, more).awaitTermination()
+
+    def wait(until):
+        end = time.time() + 120
+        while not until() and time.time() < end:
+            time.sleep(0.5)
+        assert until()
+
+    publish(0, ())
+    query = ingest.start_silver(spark, "gate", root, trigger)
+    try:
+        wait(lambda: read_appended(spark, f"{root}/silver/gate", "k int").count() == 1)
+        assert service.with_new_columns(spark, query, root, trigger) is query
+        publish(1, ("seal",))
+        wait(lambda: not query.isActive)
+        assert "seal" in str(query.exception()) and read_appended(spark, f"{root}/silver/gate").count() == 1
+        query = service.with_new_columns(spark, query, root, trigger)
+        wait(lambda: read_appended(spark, f"{root}/silver/gate").count() == 2)
+    finally:
+        query.stop()
+    got = read_appended(spark, f"{root}/silver/gate")
+    assert sorted((r.container_no_norm, r.seal) for r in got.collect()) == [("TCNU0", None), ("TCNU1", "S1")]
+
+
 def test_republished_events_count_once(spark, tmp_path):
     topic, root = "raw.gate", f"file://{tmp_path}/lake"
     value = '{"event_type":"GATE_IN","container_no_raw":"TCNU1","facility":"CT01","event_time":"2024-01-05 10:00:00"}'

@@ -36,8 +36,13 @@ def shift_kpis(gate: DataFrame, yard: DataFrame, as_of: Column, days: int = 30)
 
 def throughput(cycles: DataFrame) -> DataFrame:
     """Closed cycles by facility and day of gate-out, with dwell figures in hours."""
+    return by_day_out(cycles.where("cycle_status = 'CLOSED' and gate_out_time is not null"))
+
+
+def by_day_out(cycles: DataFrame) -> DataFrame:
+    """The same; cycles that are not closed have no day."""
     hours = F.col("dwell_time_hours").cast("double")
-    rows = cycles.where("cycle_status = 'CLOSED' and gate_out_time is not null").withColumn("operational_date", F.to_date("gate_out_time"))
+    rows = cycles.withColumn("operational_date", F.when(F.col("cycle_status") == "CLOSED", F.to_date("gate_out_time")))
     return rows.groupBy("facility", "operational_date").agg(
         F.count(F.lit(1)).alias("cycles_completed"), F.sum(hours).alias("dwell_hours_sum"), F.avg(hours).alias("avg_dwell_hours"),
         F.min(hours).alias("min_dwell_hours"), F.max(hours).alias("max_dwell_hours"),
@@ -73,9 +78,22 @@ def dense_days(cycles: DataFrame, as_of: Column, days: int) -> DataFrame:
     return facilities.select("facility", F.explode(F.sequence(F.date_sub(today, days), today)).alias("operational_date"))
 
 
+def densely(daily: DataFrame, as_of: Column, days: int) -> DataFrame:
+    """The dense days with the figures of daily, null where it has none. daily: facility, operational_date, figures, a row a day at most; days that are
+    null or not in the calendar only tell that there is the facility. Its days are one map of days + 1 entries at most, in which the calendar
+    looks them up: facilities and figures come from one pass over what daily is made of."""
+    today = F.to_date(as_of)
+    start, key = F.date_sub(today, days), ["facility", "operational_date"]
+    figures = [c for c in daily.columns if c not in key]
+    entry = F.when(F.col("operational_date").between(start, today), F.struct("operational_date", F.struct(*figures)))
+    told = daily.where("facility is not null").groupBy("facility").agg(F.map_from_entries(F.collect_list(entry)).alias("told"))
+    own = lambda day: F.struct(day.alias("operational_date"), F.try_element_at("told", day).alias("own"))
+    return told.select("facility", F.inline(F.transform(F.sequence(start, today), own))).select(*key, "own.*")
+
+
 def rolling(cycles: DataFrame, as_of: Column, days: int = 365) -> DataFrame:
     """The dense days with throughput and its trailing figures: 7-day mean throughput, 30-day mean dwell in days."""
-    dense = dense_days(cycles, as_of, days).join(throughput(cycles), ["facility", "operational_date"], "left").na.fill({"cycles_completed": 0, "dwell_hours_sum": 0.0})
+    dense = densely(by_day_out(cycles), as_of, days).na.fill({"cycles_completed": 0, "dwell_hours_sum": 0.0})
     by = Window.partitionBy("facility").orderBy("operational_date")
     week, month = by.rowsBetween(-6, 0), by.rowsBetween(-29, 0)
     done = F.sum("cycles_completed").over(month)
@@ -93,16 +111,18 @@ def daily_inventory(cycles: DataFrame, as_of: Column, days: int = 365) -> DataFr
     """
     today = F.to_date(as_of)
     first, last = F.greatest(F.to_date("gate_in_time"), F.date_sub(today, days)), F.least(F.coalesce(F.to_date("gate_out_time"), today), today)
-    stays = cycles.select("container_no_norm", "facility", first.alias("a"), last.alias("b")).where("a <= b")
+    stays = cycles.select("container_no_norm", "facility", first.alias("a"), F.when(first <= last, last).alias("b"))
     by = Window.partitionBy("container_no_norm", "facility").orderBy("a", "b")  # as cycles are dealt already
     before = F.max("b").over(by.rowsBetween(Window.unboundedPreceding, -1))
     # what a stay adds to those before it: the days past their last one
-    added = stays.withColumn("a", F.greatest("a", F.date_add(before, 1))).where("a <= b")
+    added = stays.withColumn("a", F.greatest("a", F.date_add(before, 1)))
     step = lambda day, n: F.struct(day.alias("operational_date"), F.lit(n).alias("step"))
-    steps = added.select("facility", F.inline(F.array(step(F.col("a"), 1), step(F.date_add("b", 1), -1))))
+    both = F.when(F.col("a") <= F.col("b"), F.array(step(F.col("a"), 1), step(F.date_add("b", 1), -1)))
+    # a stay that adds nothing still tells of its facility
+    steps = added.select("facility", F.inline(F.coalesce(both, F.array(step(F.lit(None).cast("date"), 0)))))
     change = steps.groupBy("facility", "operational_date").agg(F.sum("step").alias("step"))
-    dense = dense_days(cycles, as_of, days).join(change, ["facility", "operational_date"], "left")
     running = F.sum(F.coalesce("step", F.lit(0))).over(Window.partitionBy("facility").orderBy("operational_date").rowsBetween(Window.unboundedPreceding, 0))
+    dense = densely(change, as_of, days)
     return dense.select("facility", "operational_date", running.alias("inventory_eod"))
 
 

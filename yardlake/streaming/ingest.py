@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from yardlake.operators import bronze, silver
 from yardlake.schemas import TOPICS, payload
-from yardlake.sources.sinks import append_batch, query_of
+from yardlake.sources.sinks import append_batch, columns_of, query_of
 from yardlake.sources.tables import table_stream
 
 #: Triggers of the service.
@@ -53,13 +53,23 @@ def silver_stream(spark: SparkSession, kind: str, root: str, id_of: str = "busin
     return silver.deduplicated(silver.silver(rows, kind, id_of, latest=F.col("bronze_ingest_time") + F.expr(AHEAD)))
 
 
+class NewColumns(Exception):
+    """Ends a silver query whose bronze table has columns that it does not read. Its batch is not done: the query that is started next from
+    the checkpoint reads it again, with them."""
+
+
 def start_silver(spark: SparkSession, kind: str, root: str, trigger: dict = INGEST_TRIGGER, id_of: str = "business") -> StreamingQuery:
-    """Rows are counted on the way by observe(), not by a job of their own."""
+    """Rows are counted on the way by observe(), not by a job of their own. Ends with NewColumns when bronze gets some: a table's columns are
+    known before the batch that brings them is there."""
+    source = f"{root}/bronze/{TOPICS[kind]}"
     rows = silver_stream(spark, kind, root, id_of).observe(f"silver_{kind}", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("container_no_norm").isNull()).alias("null_container"))
 
     checkpoint = f"{root}/checkpoints/silver/{kind}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        now = columns_of(batch.sparkSession, source)
+        if new := [c for c in (now.names if now else []) if c not in batch.columns]:
+            raise NewColumns(f"{source}: {', '.join(new)}")
         append_batch(batch, f"{root}/silver/{kind}", batch_id, query_of(batch.sparkSession, checkpoint), day_of=silver.TIME)
 
     return rows.writeStream.queryName(f"silver {kind}").foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from yardlake.operators import silver, status
 from yardlake.schemas import TOPICS
@@ -27,8 +29,9 @@ def silver_events(spark: SparkSession, root: str) -> DataFrame:
     return status.all_events({k: silver_table(spark, root, k) for k in TOPICS})
 
 
-def start_all(spark: SparkSession, envelopes, root: str, trigger: dict | None = None) -> list:
-    """envelopes: function of a topic that gives its stream. Each query runs in a scheduler pool of its own name."""
+def start_all(spark: SparkSession, envelopes, root: str, trigger: dict | None = None, more: dict[str, tuple[str, ...]] | None = None) -> list:
+    """envelopes: function of a topic that gives its stream; more: payload fields of a kind that become columns (see start_bronze()). Each query runs in a
+    scheduler pool of its own name."""
     queries = []
 
     def start(pool: str, f, *args) -> None:
@@ -36,7 +39,7 @@ def start_all(spark: SparkSession, envelopes, root: str, trigger: dict | None =
         queries.append(f(*args))
 
     for kind, topic in TOPICS.items():
-        start(f"bronze-{kind}", ingest.start_bronze, envelopes(topic), topic, root, trigger or ingest.INGEST_TRIGGER)
+        start(f"bronze-{kind}", ingest.start_bronze, envelopes(topic), topic, root, trigger or ingest.INGEST_TRIGGER, (more or {}).get(kind, ()))
         start(f"silver-{kind}", ingest.start_silver, spark, kind, root, trigger or ingest.INGEST_TRIGGER)
     when = trigger or gold.GOLD_TRIGGER
     start("cycles", gold.start_cycles, silver_table(spark, root, "gate"), f"{root}/gold/cycles", f"{root}/checkpoints/cycles", when)
@@ -57,16 +60,36 @@ def catch_up(spark: SparkSession, envelopes, root: str, id_of: str = "business")
     gold.start_backlog(spark, root, ingest.ONCE).awaitTermination()
 
 
-def run(spark: SparkSession, envelopes, root: str, refresh_seconds: int = 60, trigger: dict | None = None) -> None:
-    """Until a query ends; trigger: of all queries, each has its own by default. The listener's table is under progress; metrics are refreshed on the clock, the only place where it is read. If one fails, its error is
-    raised and the others are stopped."""
+def with_new_columns(spark: SparkSession, query: StreamingQuery, root: str, trigger: dict | None = None) -> StreamingQuery:
+    """The query; if it is one of silver and has ended as bronze has new columns, the one that goes on in its place and reads them."""
+    error = query.exception()
+    if error is None or ingest.NewColumns.__name__ not in str(error):
+        return query
+    kind = query.name.removeprefix("silver ")
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"silver-{kind}")
+    return ingest.start_silver(spark, kind, root, trigger or ingest.INGEST_TRIGGER)
+
+
+def run(spark: SparkSession, envelopes, root: str, refresh_seconds: int = 60, trigger: dict | None = None, more: dict[str, tuple[str, ...]] | None = None) -> None:
+    """Until a query ends; trigger: of all queries, each has its own by default; more: see start_all(). The listener's table is under progress; metrics are
+    refreshed on the clock, the only place where it is read. If one fails, its error is raised and the others are stopped; silver queries
+    that end as there are new columns go on with them."""
     with progress_table(spark, f"{root}/progress"):
-        queries = start_all(spark, envelopes, root, trigger)
+        queries = start_all(spark, envelopes, root, trigger, more)
         try:
-            while all(q.isActive for q in queries):
+            while True:
+                queries = [with_new_columns(spark, q, root, trigger) for q in queries]
+                if not all(q.isActive for q in queries):
+                    break
                 spark.streams.resetTerminated()  # queries that had ended before don't end the wait
-                if not spark.streams.awaitAnyTermination(refresh_seconds):
+                try:
+                    ended = spark.streams.awaitAnyTermination(refresh_seconds)
+                except StreamingQueryException:
+                    ended = True  # whose it is, and whether it is one to go on after, the next round tells
+                if not ended:
                     gold.refresh_metrics(spark, root, gold.next_refresh(spark, root), F.current_timestamp())
+            for error in filter(None, (q.exception() for q in queries)):
+                raise error
         finally:
             for q in queries:
                 q.stop()
