@@ -141,3 +141,18 @@ def test_a_worker_that_forgets_gives_the_same(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(["the cat", "the dog", "cat the", None, "a cat  "] * 8)], "doc_id long, text string")
     one, many = (sorted(map(tuple, alignment.align_documents(df.repartition(n)).collect())) for n in (1, 7))
     assert one == many
+
+
+def test_shares_of_splits(spark, monkeypatch):
+    """However many shares the runs are dealt over, sums are the same; a share is worth its copy of the totals, or there are as many as cores ask for."""
+    texts = [(i, f"the cat {i % 7} and a dog {i % 5}") for i in range(60)]
+    df = spark.createDataFrame(texts, "key long, text string").repartition(5)
+    runs = alignment.spill(df, alignment.aligner, "key").where("radix is not null")
+    totals = alignment.counted(runs)
+    one, many = (sorted(map(tuple, alignment.contributions(runs, totals, n).collect())) for n in (1, 9))
+    assert one == many and one
+    sizes = {df: sum(len(r.frame) for r in df.select("frame").collect()) for df in (runs, totals)}
+    monkeypatch.setattr(alignment, "RADIX", 1 << 10)
+    assert alignment.shares(runs, totals) == 1
+    monkeypatch.setattr(alignment, "SHARE", 1)
+    assert alignment.shares(runs, totals) == -(-sizes[runs] // sizes[totals])

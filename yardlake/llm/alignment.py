@@ -10,9 +10,9 @@ spill counting:
 2. `counted`: a k-way heap merge over the runs of a radix adds up the documents of each pair, within one input split; the
    sums, dealt by first id and sorted (side-major order), are merged once more, which yields the totals and, as the pairs of
    a first id are neighbours, its maximum. They are stored as sorted blocks, each of one radix.
-3. `contributions`: each split's runs of a radix stream past the blocks of that radix, and give every document its sums.
+3. `contributions`: the runs of a radix, in shares, stream past the blocks of that radix, and give every document its sums.
 
-A record crosses the network once, compressed, in step 3. What is held at a time is one slice, the pairs of one radix of one
+A record crosses the network once, compressed, in step 3, and the totals once a share, which has more bytes of runs than they have. What is held at a time is one slice, the pairs of one radix of one
 split (a split has about spark.sql.files.maxPartitionBytes), and the totals of one radix. A first id, frequent as it may be, has
 one record a pair and split after the first merge, so no key is hot.
 """
@@ -44,8 +44,8 @@ A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 RADIX = 8
 #: Units that a worker remembers, some 100 MB, and characters of a text that are aligned at once.
 MEMO, PART = 400_000, 1 << 21
-#: Pairs in a stored block of totals.
-BLOCK = 1 << 16
+#: Pairs in a stored block of totals; bytes of runs that are worth a copy of the totals.
+BLOCK, SHARE = 1 << 16, 1 << 26
 #: A pair is a << ID_BITS | b, its record in a slice that << ROW_BITS | row.
 ID_BITS, ROW_BITS = 20, 20
 SPACE = "▁"
@@ -388,20 +388,27 @@ class Blocks:
         yield from (self.take(r) for r in range(RADIX) if self.held[r])
 
 
-def contributions(runs: DataFrame, totals: DataFrame) -> DataFrame:
-    """runs: task, slice, radix, frame; totals as counted() gives them. Gives task, slice, row, n_best, count_sum, a row per radix."""
-    # the highest number of a split: one value
-    last = runs.agg(F.max("task")).first()[0]
+def shares(runs: DataFrame, totals: DataFrame) -> int:
+    """Groups of splits, each of which gets a copy of all totals: as many as hold at least as many bytes of runs as the totals have, and SHARE; so the
+    copies are never more than the runs, but for those that the cluster's cores ask for."""
+    size = lambda df: df.agg(F.coalesce(F.sum(F.octet_length("frame").cast("long")), F.lit(0))).first()[0]  # noqa: E731  one value
+    return max(1, -(-size(runs) // max(size(totals), SHARE)), -(-runs.sparkSession.sparkContext.defaultParallelism // RADIX))
+
+
+def contributions(runs: DataFrame, totals: DataFrame, groups: int | None = None) -> DataFrame:
+    """runs: task, slice, radix, frame; totals as counted() gives them; groups: see shares(). Gives task, slice, row, n_best, count_sum, a row per radix."""
+    groups = groups or shares(runs, totals)
     none = F.lit(None).cast("int")
-    tasks = F.explode(F.sequence(F.lit(0), F.lit(last))) if last is not None else F.lit(0)
-    both = totals.select(tasks.alias("task"), none.alias("slice"), "radix", "frame").unionByName(runs.select("task", "slice", "radix", "frame"))
+    copies = totals.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("share"), none.alias("task"), none.alias("slice"), "radix", "frame")
+    share = F.pmod(F.xxhash64("task", "slice"), F.lit(groups)).cast("int").alias("share")
+    both = copies.unionByName(runs.select(share, "task", "slice", "radix", "frame"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (x for b in batches for x in zip(*(b.column(c).to_pylist() for c in ("task", "slice", "radix", "frame")), strict=True))
-        for (task, _), group in itertools.groupby(rows, key=lambda x: (x[0], x[2])):
+        rows = (x for b in batches for x in zip(*(b.column(c).to_pylist() for c in ("share", "radix", "task", "slice", "frame")), strict=True))
+        for _, group in itertools.groupby(rows, key=lambda x: x[:2]):
             blocks, table = [], None
-            for _, number, _, frame in group:
-                if number is None:
+            for _, _, task, number, frame in group:
+                if task is None:
                     blocks.append(unpacked(frame, 3))
                     continue
                 if table is None:
@@ -418,7 +425,9 @@ def contributions(runs: DataFrame, totals: DataFrame) -> DataFrame:
                 has = np.unique(row)
                 yield pa.RecordBatch.from_pydict({"task": np.full(len(has), task, np.int32), "slice": np.full(len(has), number, np.int32), "row": has.astype(np.int32), "n_best": n_best[has], "count_sum": total[has]})
 
-    dealt = both.repartition("task", "radix").sortWithinPartitions("task", "radix", F.col("slice").asc_nulls_first())
+    # a partition for each share and radix; the totals come first in it
+    dealt = both.repartitionById(groups * RADIX, F.col("share") * RADIX + F.col("radix"))
+    dealt = dealt.sortWithinPartitions("share", "radix", F.col("task").asc_nulls_first(), "slice")
     return dealt.mapInArrow(run, "task int, slice int, row int, n_best long, count_sum long")
 
 
