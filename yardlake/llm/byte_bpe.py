@@ -134,7 +134,8 @@ def coder(file: str | None = None, pattern: str | None = None) -> Coder:
 def with_ids(df: DataFrame, text: str = "text", into: str = "bpe", file: str | None = None) -> DataFrame:
     """df with a struct column: n_tokens, ids (little-endian 32-bit), decoded (ids put back into bytes).
 
-    A null text is empty and has no ids. A column of that name is replaced.
+    A null text is empty and has no ids. A column of that name is replaced, others keep their values. Equal texts get equal ids; long texts are
+    encoded whole, their long words with a heap; an empty df gives no rows.
     """
 
     def make():

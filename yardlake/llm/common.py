@@ -93,6 +93,15 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def at_most(marks: DataFrame, rows: int, doc_id: str = "doc_id") -> DataFrame:
+    """marks, a row per document, to be broadcast: all of them if they are no more than `rows`, else about so many, whose ids have the lowest
+    hashes, so that no text is shuffled for them. Labels keep their shares, and a run that is repeated takes the same."""
+    n, scale = marks.count(), 1 << 40
+    if n > rows:
+        marks = marks.where(F.pmod(F.xxhash64(F.lit("labels"), doc_id), F.lit(scale)) < rows * scale // n)
+    return F.broadcast(marks)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)

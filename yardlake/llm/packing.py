@@ -79,7 +79,9 @@ def best_fit(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.
 
 
 def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, tokenizer_file: str | None = None) -> DataFrame:
-    """PIECE rows: every document's ids and END_ID cut at multiples of the window. A null text is empty."""
+    """PIECE rows: every document's ids and END_ID cut at multiples of the window. A null text is empty, and an empty one is END_ID alone. Long texts
+    are cut whole, repeated rows are documents of their own, and an empty df gives no rows. Ids are whole numbers, or text that Spark casts to them; other columns are left
+    out, whatever their names."""
 
     def make():
         encode = encoder(tokenizer_file).encode
@@ -102,7 +104,8 @@ def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", window: in
 
 def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
     """PIECE rows with sequence_id and offset. Ties in length go by doc_id, then start, so a task can be run again;
-    sequence ids are unique, not dense. Pieces of one document and equal pieces are dealt over all shards."""
+    sequence ids are unique, not dense. Pieces of one document and equal pieces are dealt over all shards. Without pieces
+    there are no rows."""
     ship(cut.sparkSession)
     cut = written(cut, "pieces")
     shards = max(1, math.ceil(cut.count() / SHARD))

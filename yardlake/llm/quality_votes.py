@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from yardlake.session import ship
 
-from .common import slices, struct_of, text_column, written
+from .common import at_most, slices, struct_of, text_column, written
 
 #: Hashed words, and hashed n-grams of classes, of these lengths; two more terms are repetitions.
 WORDS, GRAMS, ORDERS = 1 << 12, 1 << 12, (2, 3, 4)
@@ -250,11 +250,11 @@ def score(df: DataFrame, model: Model, text: str = "text", into: str = "quality"
 
 def training_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, label, written to the shared folder. A document with several label rows is good if all of them
-    say so; null labels, ids and texts teach nothing."""
+    say so; null labels, ids and texts teach nothing. Of more than MAX_LABELS documents about so many are taken."""
     marks = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
     rows = documents.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return written(rows.join(F.broadcast(marks) if marks.count() <= MAX_BROADCAST_LABELS else marks, "doc_id"), "quality-train")
+    return written(rows.join(at_most(marks, MAX_LABELS), "doc_id"), "quality-train")
 
 
-#: Label rows up to which they are broadcast (24 bytes each); beyond, the join shuffles.
-MAX_BROADCAST_LABELS = 1_000_000
+#: Labelled documents that are learned from, at most (24 bytes each, broadcast); of more, those of the lowest hashes.
+MAX_LABELS = 1_000_000

@@ -148,7 +148,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", b
     """doc_id, fingerprint (long), component_id, one row per row of df.
 
     component_id is the smallest doc_id of the group, by links of at most DISTANCE bits from text to text. Texts without
-    words, null ones too, have fingerprint 0. A null doc_id is never a component's id unless all its ids are null. blocks:
+    words, null ones too, have fingerprint 0. A null doc_id is never a component's id unless all its ids are null. Ids are whole numbers, or text that Spark casts to them;
+    long texts are read whole; repeated rows are of one component; an empty df gives no rows; other columns are left out. blocks:
     8 for more than some 10 million fingerprints (70 keys of 32 bits instead of 35 of 27).
     """
     prints = written(with_fingerprint(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "fingerprint"), "simhash-prints")

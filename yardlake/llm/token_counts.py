@@ -61,7 +61,9 @@ def documents_bytes(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa
 
 
 def write_flat(df: DataFrame, doc_id: str = "doc_id", text: str = "text", folder: str | None = None) -> str:
-    """Token files of all rows, written by Spark's text writer to a folder it reaches; null texts are empty."""
+    """Token files of all rows, written by Spark's text writer to a folder it reaches; null texts are empty, null ids stay null. Ids are
+    whole numbers, or text that Spark casts to them. Repeated rows are documents of their own, long texts are written whole, and an empty df gives no
+    documents."""
     ship(df.sparkSession)
     folder = folder or scratch(df.sparkSession, "tokens")
     made = F.arrow_udf(documents_bytes, "binary")(F.col(doc_id).cast("long"), F.col(text).cast("string"))

@@ -2,8 +2,8 @@
 
 A feature is a hashed character n-gram of a lower-cased word (with its edges marked). Its value in a text is the log
 ratio of its smoothed rates in toxic and in other training documents, times the logarithm of how often the text has it; a
-logistic regression on these values gives the score. Counts for the ratios cover all training rows; only the
-regression itself sees a bounded sample (MAX_FIT_ROWS per label), whose rows weigh so that each label counts as in
+logistic regression on these values gives the score. Counts for the ratios cover all training rows (of MAX_LABELS documents at most); only the
+regression itself sees a smaller sample (MAX_FIT_ROWS per label), whose rows weigh so that each label counts as in
 all training rows.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from yardlake.session import ship
 
-from .common import slices, struct_of, text_column, written
+from .common import at_most, slices, struct_of, text_column, written
 
 ORDERS = (3, 4, 5, 6)
 BINS = 1 << 20
@@ -246,15 +246,14 @@ def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity
     return df.withColumn(into, text_column("score double, predicted int", make)(F.col(text)))
 
 
-#: Label rows up to which they are broadcast (24 bytes each); beyond, the join shuffles.
-MAX_BROADCAST_LABELS = 1_000_000
+#: Labelled documents that are learned from, at most (24 bytes each, broadcast); of more, those of the lowest hashes.
+MAX_LABELS = 1_000_000
 
 
 def training_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, label, written to the shared folder. A document with several label rows is toxic if any of them
-    says so; null labels, ids and texts teach nothing."""
+    says so; null labels, ids and texts teach nothing. Of more than MAX_LABELS documents about so many are taken."""
     marks = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    if marks.count() <= MAX_BROADCAST_LABELS:
-        marks = F.broadcast(marks)
+    marks = at_most(marks, MAX_LABELS)
     rows = documents.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text")).join(marks, "doc_id")
     return written(rows, "toxicity-train")
