@@ -5,16 +5,22 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
+from types import ModuleType
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 #: UTC so that hashes of timestamps and dates do not depend on the machine; AQE sizes and splits shuffles.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: ROCKSDB,
     "spark.scheduler.mode": "FAIR",
 }
 
@@ -46,3 +52,21 @@ def ship(spark: SparkSession) -> None:
     if app not in _shipped:
         spark.sparkContext.addPyFile(package_zip())
         _shipped.add(app)
+
+
+def sent_whole(module: ModuleType) -> None:
+    """What a module defines goes to Python processes as it is, not as a name to import: Spark starts the one in which a stateful stream asks the
+    driver for its state without the files that ship() adds."""
+    cloudpickle.register_pickle_by_value(module)
+
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams that start within the block keep their state in RocksDB, as transformWithState needs, whatever the session has; it is then
+    as before. A stream copies the session's settings as it starts, and its checkpoint keeps this one."""
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before)

@@ -12,11 +12,14 @@ from yardlake.functions import clean
 from yardlake.operators import cycles, metrics, status
 from yardlake.operators.silver import WATERMARK
 from yardlake.schemas import IN_TYPES, OUT_TYPES
-from yardlake.session import ship
+from yardlake.session import rocksdb, sent_whole, ship
 from yardlake.sources.changes import ChangeFeed, steps
 from yardlake.sources.sinks import Merged, Snapshots, query_of
+from yardlake.streaming import processors
 from yardlake.streaming.processors import KeepStatus, MatchCycles
 
+sent_whole(processors)
+
 GOLD_TRIGGER, METRICS_TRIGGER = {"processingTime": "30 seconds"}, {"processingTime": "1 minute"}
 CYCLE_ROW = "container_no_norm string, facility string, gate_in_time timestamp, gate_out_time timestamp, gate_in_truck string, gate_out_truck string, cycle_id string, cycle_status string, dwell_time_hours double"
 STATUS_ROW = "container_no_norm string, event_time_parsed timestamp, event_type_norm string, facility string, " + ", ".join(f"{a} string" for a in status.ATTRIBUTES)
@@ -58,7 +61,8 @@ def keep(changes: DataFrame, table, gold: str, checkpoint: str, trigger: dict) -
     def write(batch: DataFrame, batch_id: int) -> None:
         table(batch.sparkSession, gold).add(batch, batch_id, query_of(batch.sparkSession, checkpoint))
 
-    return changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    with rocksdb(changes.sparkSession):
+        return changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def start_cycles(gate: DataFrame, gold: str, checkpoint: str, trigger: dict = GOLD_TRIGGER, watermark: str = WATERMARK) -> StreamingQuery:
