@@ -1,4 +1,4 @@
-"""Stateful streams in a session that the library did not make, where the package is not installed on Spark's Python processes."""
+"""Stateful streams and a source in Python in a session that the library did not make, where the package is not installed on Spark's Python processes."""
 
 import os
 import subprocess
@@ -28,7 +28,7 @@ def test_stateful_streams_in_a_plain_session(tmp_path):
 
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    names = ["stream_metrics", "stream_cycles", "stream_status", "changes_since", "changes_streamed", "stream_inventory_incremental"]
+    names = ["stream_metrics", "stream_cycles", "stream_status", "changes_since", "changes_streamed", "stream_inventory_incremental", "stream_by_offsets"]
     done = subprocess.run([sys.executable, "-c", CODE.format(root=root, sf=SF), *names], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert "went well" in done.stdout, done.stderr[-1500:]
     for name in names:

@@ -220,3 +220,15 @@ def test_late_rows_are_counted(spark, tmp_path):
     counts = {r.metric: r.n for r in progress.tallies(progress.read_progress(spark, f"{root}/p")).collect()}
     assert counts["dropped_late"] == 3 and counts["rows_in"] == 7
     assert ingest.ONCE == {"availableNow": True} and sinks.KEEP == 3
+
+
+def test_a_file_of_a_topic_holds_few_offsets(spark, tmp_path):
+    """So that a trigger opens what it takes and not all that there is."""
+    import pyarrow.parquet as pq
+
+    rows = spark.range(1000).selectExpr("'k' AS key", "cast(id AS string) AS value", "'raw.gate' AS topic", "cast(id % 2 AS int) AS partition", "id AS offset", "timestamp'2024-06-01' AS timestamp")
+    sinks.publish(rows.repartition(3), f"file://{tmp_path}/topic", records=100)
+    found = [pq.read_table(f, partitioning=None).to_pandas() for f in (tmp_path / "topic").glob("*.parquet")]
+    assert sum(map(len, found)) == 1000 and max(map(len, found)) <= 100
+    spans = sorted((f["partition"].min(), f["offset"].min(), f["partition"].max(), f["offset"].max()) for f in found)
+    assert all((a[2], a[3]) < (b[0], b[1]) for a, b in zip(spans, spans[1:], strict=False) if a[0] == a[2])

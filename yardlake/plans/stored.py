@@ -378,6 +378,10 @@ def upsert_touched_days(spark, sf):
     return figures.join(told, table.own).withColumnRenamed(table.own, "operational_date")
 
 
+#: Of a file of a topic that is read by offsets.
+FILE_RECORDS = 10_000
+
+
 @query("""SELECT CASE WHEN n < 700 THEN n // 500 ELSE 2 + (n - 700) // 500 END AS run, count(*)::BIGINT AS n, min(kafka_offset) AS first_offset, max(kafka_offset) AS last_offset FROM (
   SELECT kafka_offset, row_number() OVER (ORDER BY kafka_offset) - 1 AS n FROM raw WHERE topic = 'raw.gate' AND kafka_partition = 0) GROUP BY 1""")
 def stream_by_offsets(spark, sf):
@@ -385,10 +389,13 @@ def stream_by_offsets(spark, sf):
     A trigger begins where the one before ended."""
     root = scratch(spark)
     rows = given.raw(spark, sf, "gate").where("topic = 'raw.gate' and kafka_partition = 0")
-    place = F.row_number().over(Window.orderBy("kafka_offset")) - 1  # one partition of a topic is a sequence
+    rows = rows.withColumn("block", F.shiftright("kafka_offset", 16))  # one partition of a topic is a sequence, numbered by blocks
+    before = F.sum("n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.join(rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")).select("block", F.coalesce(before, F.lit(0)).alias("before")), "block")
+    place = F.col("before") + F.row_number().over(Window.partitionBy("block").orderBy("kafka_offset")) - 1
     sent = rows.select(F.col("container_no_raw").alias("key"), F.col("kafka_offset").cast("string").alias("value"), "topic", F.col("kafka_partition").alias("partition"), place.cast("long").alias("offset"), at("2024-06-01 00:00:00").alias("timestamp"))
     for part in (sent.where("offset < 700"), sent.where("offset >= 700")):
-        sinks.publish(part, f"{root}/topic")
+        sinks.publish(part, f"{root}/topic", records=FILE_RECORDS)
         write = lambda df, i: sinks.append_batch(df.select(F.col("value").cast("long").alias("v"), F.lit(i).cast("long").alias("run")), f"{root}/out", i) and None
         stream = offset_stream(spark, f"{root}/topic", f"{root}/checkpoint", 500)
         running = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint").trigger(processingTime="0 seconds").start()

@@ -55,8 +55,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def sent_whole(module: ModuleType) -> None:
-    """What a module defines goes to Python processes as it is, not as a name to import: Spark starts the one in which a stateful stream asks the
-    driver for its state without the files that ship() adds."""
+    """What a module defines goes to Python processes as it is, not as a name to import: Spark starts those in which it sets up
+    stateful streams and sources on the driver without the files that ship() adds."""
     cloudpickle.register_pickle_by_value(module)
 
 

@@ -10,6 +10,7 @@ Spark asks a Python source for its next end without saying where the query is, s
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,9 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from yardlake.schemas import ENVELOPE
-from yardlake.session import ship
+from yardlake.session import sent_whole, ship
 
 NAME = "envelopes"
+sent_whole(sys.modules[__name__])
 
 
 @dataclass
@@ -71,6 +73,7 @@ class EnvelopeReader(DataSourceStreamReader):
     def held(self) -> list[Held]:
         """From the footers, each of which is read once."""
         system, files = self.files()
+        there = set(files)
         for file in files:
             if file not in self.known:
                 with system.open_input_file(file) as f:
@@ -79,7 +82,7 @@ class EnvelopeReader(DataSourceStreamReader):
                 groups = [footer.row_group(g) for g in range(footer.num_row_groups)]
                 bounds = lambda g, c: (s.min, s.max) if (s := g.column(names[c]).statistics) is not None and s.has_min_max else (-(1 << 62), 1 << 62)
                 self.known[file] = [Held(file, bounds(g, "partition"), bounds(g, "offset")) for g in groups if g.num_rows]
-        self.known = {f: h for f, h in self.known.items() if f in set(files)}
+        self.known = {f: h for f, h in self.known.items() if f in there}
         return [h for f in files for h in self.known[f]]
 
     def ends(self) -> dict[int, int]:

@@ -291,9 +291,13 @@ def register(spark: SparkSession, schema: str, name: str, path: str) -> None:
     spark.catalog.refreshTable(full)
 
 
-def publish(envelopes: DataFrame, folder: str, files: int | None = None) -> None:
-    """Envelopes with partition, offset and timestamp, as envelope_stream reads them."""
-    (envelopes.coalesce(files) if files else envelopes).write.mode("append").parquet(folder)
+def publish(envelopes: DataFrame, folder: str, files: int | None = None, records: int | None = None) -> None:
+    """Envelopes with partition, offset and timestamp, as envelope_stream reads them. records: in the order of their offsets, so many a file at
+    most, so that a trigger of offset_stream reads what it takes and not all that there is."""
+    if records:
+        envelopes = envelopes.repartitionByRange("partition", "offset").sortWithinPartitions("partition", "offset")
+    rows = envelopes.coalesce(files) if files else envelopes
+    rows.write.mode("append").option("maxRecordsPerFile", records or 0).parquet(folder)
 
 
 def publish_kafka(envelopes: DataFrame, servers: str) -> None:
