@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from yardlake.llm import near_copies
+from yardlake.llm import near_copies, simhash
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 import corpus_pipeline  # noqa: E402
@@ -111,3 +111,16 @@ def test_bitmaps_never_rule_out_a_near_pair():
             b = np.concatenate([a[: n - rnd.integers(0, n // 5 + 1)], rnd.integers(0, 1 << 63, rnd.integers(0, n // 5 + 1)).astype(np.uint64)])
             apart = len(set(a.tolist()) ^ set(b.tolist()))
             assert np.bitwise_count((near_copies.bitmap(a) ^ near_copies.bitmap(b)).view(np.uint64)).sum() <= apart
+
+
+def test_operator_5_is_a_step(spark, monkeypatch):
+    """Without any MinHash band its fingerprints still find what they link; the exact overlap decides on it, also on equal fingerprints."""
+    monkeypatch.setattr(near_copies, "keyed", lambda prints, keyed=near_copies.keyed: keyed(prints.where("false")))
+    own = lambda seed: copies(seed, 1, 1, 0, 40)[0]
+    base = copies(21, 1, 1, 0, 400)[0]
+    loop = "round and round and on it goes " * 80
+    texts = [base, f"{base} more", own(22), loop + own(23), loop + own(24), None, " "]
+    prints = [simhash.fingerprint(t) for t in texts]
+    assert (prints[0] ^ prints[1]).bit_count() <= simhash.DISTANCE and (prints[3] ^ prints[4]).bit_count() <= simhash.DISTANCE
+    rows = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], KINDS)
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, rows, "").collect()) == [0, 2, 3, 4, 5]

@@ -1,10 +1,11 @@
-"""Near-copies by word shingles: MinHash bands find candidates, exact overlap decides.
+"""Near-copies by word shingles: SimHash blocks (operator 5) and MinHash bands find candidates, exact overlap decides.
 
 Two texts are near-copies if their sets of SHINGLE-word shingles have a Jaccard similarity of 4/5 or more. A text's set
 gives BANDS keys of ROWS minima each; a pair at 0.8 shares none of them with probability (1 - 0.8^6)^32, 6 in 100,000.
 Whatever shares a key is a candidate, and its similarity is counted on the full sets. Texts of equal words are one class
-from the start. This is the pipeline's form of near-duplicates: SimHash fingerprints of such pairs differ in up to some 17
-of 64 bits, for which no key of agreeing blocks is left that would tell texts apart (see the README).
+from the start. Operator 5 comes first: classes that its fingerprints link are compared, and those that are near get one label. The
+bands then look for links between labels only: fingerprints of near-copies differ in up to some 17 of 64 bits, for which no key of
+agreeing blocks is left that would tell texts apart (see the README).
 
 A pair of sets of sizes a and b that is near shares 4/9 (a + b) shingles or more. So a text that shares too few of its
 shingles with anything else is near to nothing, and is left out before any pair is made: of a group of loose copies, those
@@ -20,6 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import own_names, struct_of, text_column, written
 from .components import components
 from .simhash import WORD
@@ -77,8 +79,9 @@ def lists(parts: list[np.ndarray]) -> pa.Array:
 def make_prints():
     def work(texts: list) -> pa.Array:
         found = [shingles(x) for x in texts]
+        prints = np.array([simhash.fingerprint(x) for x in texts], np.uint64).view(np.int64)
         return struct_of(
-            cls=np.array([c for c, _ in found], np.uint64).view(np.int64), n=np.array([len(s) for _, s in found], np.int32), bands=lists([bands(s) for _, s in found])
+            cls=np.array([c for c, _ in found], np.uint64).view(np.int64), n=np.array([len(s) for _, s in found], np.int32), fp=prints, bands=lists([bands(s) for _, s in found])
         )
 
     return work
@@ -109,16 +112,38 @@ def mixed(members: DataFrame) -> DataFrame:
     return written(members.join(keys.where("lo <> hi").select("key", "m"), "key"), "near-members")
 
 
+def near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of pairs a, b of classes those whose sets overlap enough."""
+    side = lambda c: sets.select(F.col("cls").alias(c), F.col("set").alias(f"set_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    # shared / (a + b - shared) >= 4 / 5
+    found = both.where(9 * F.size(F.array_intersect("set_a", "set_b")) >= 4 * (F.size("set_a") + F.size("set_b")))
+    return written(found.select("a", "b"), "near-links")
+
+
+def simhash_pairs(classes: DataFrame) -> DataFrame:
+    """Candidates a, b by operator 5. classes: cls, n, fp. Classes of one fingerprint make a pair with the least of them, and
+    the least ones of two fingerprints that operator 5 links make one, so pairs are no more than classes and links."""
+    known = classes.where("n > 0").select("cls", "n", "fp")
+    least = written(known.groupBy("fp").agg(F.min(F.struct("cls", "n")).alias("head")).select("fp", "head.*"), "near-fingerprints")
+    side = lambda c, fp: least.select(F.col("fp").alias(fp), F.col("cls").alias(c), F.col("n").alias(f"n_{c}"))
+    equal = known.toDF("b", "n_b", "fp").join(side("a", "fp"), "fp").where("a <> b")
+    linked = simhash.links(least.select("fp")).toDF("fp_a", "fp_b").join(side("a", "fp_a"), "fp_a").join(side("b", "fp_b"), "fp_b")
+    both = equal.select("a", "n_a", "b", "n_b").union(linked.select("a", "n_a", "b", "n_b"))
+    able = both.where("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
+    return written(able.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-candidates")
+
+
 def near_pairs(members: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
     """Links a, b between heads and members of their key, by bitmaps first and then by the sets."""
     differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"head_{c}"))) for c in BITMAP), F.lit(0))
     able = members.join(heads, "key").where("label <> head_label and 5 * least(n, head_n) >= 4 * greatest(n, head_n)").where(9 * differ <= F.col("n") + F.col("head_n"))
-    pairs = able.select(F.least("cls", "head_cls").alias("a"), F.greatest("cls", "head_cls").alias("b")).distinct()
-    side = lambda c: sets.select(F.col("cls").alias(c), F.col("set").alias(f"set_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    # shared / (a + b - shared) >= 4 / 5
-    near = both.where(9 * F.size(F.array_intersect("set_a", "set_b")) >= 4 * (F.size("set_a") + F.size("set_b")))
-    return written(near.select("a", "b"), "near-links")
+    return near(able.select(F.least("cls", "head_cls").alias("a"), F.greatest("cls", "head_cls").alias("b")).distinct(), sets)
+
+
+def named(df: DataFrame, labels: DataFrame, c: str, into: str) -> DataFrame:
+    """df with the label of class c, which is c itself where it is linked to none."""
+    return df.join(labels.toDF(c, "__label"), c, "left").withColumn(into, F.coalesce("__label", c)).drop("__label")
 
 
 def chosen(members: DataFrame, slot: Column) -> DataFrame:
@@ -129,9 +154,10 @@ def chosen(members: DataFrame, slot: Column) -> DataFrame:
     return written(heads.select("key", *[F.col(f"head.{c}").alias(f"head_{c}") for c in carried]), "near-heads")
 
 
-def links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """members: key, cls, label (its cls), m, CARRIED (n: size of its set, apart: the part of it that no other has); sets: cls,
-    set. Gives links a, b whose components are those of all near-copies that share a key.
+def links(members: DataFrame, sets: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """members: key, cls, label (of its component by known, else its cls), m, CARRIED (n: size of its set, apart: the part of it that no other
+    has); sets: cls, set; known: links that are found already. Gives links a, b whose components, with the known ones, are those of all
+    near-copies that share a key.
 
     Keys of SMALL members or fewer are compared in full, that is, each member is a head. Of others the member that shares
     most of its shingles is the head, and all others are compared with it. What is then of its component needs no pairs
@@ -144,10 +170,9 @@ def links(members: DataFrame, sets: DataFrame) -> DataFrame:
     found = near_pairs(members, heads, sets)
     if members.where(~small).isEmpty():
         return found
-    label = components(found)
-    named = lambda df, c, into: df.join(label.toDF(c, "__label"), c, "left").withColumn(into, F.coalesce("__label", c)).drop("__label")
-    first = named(heads.select("key", "head_cls"), "head_cls", "first_label").drop("head_cls")
-    rest = named(members.where(~small).drop("label", "m"), "cls", "label").join(first, "key")
+    label = components(found if known is None else found.union(known))
+    first = named(heads.select("key", "head_cls"), label, "head_cls", "first_label").drop("head_cls")
+    rest = named(members.where(~small).drop("label", "m"), label, "cls", "label").join(first, "key")
     rest = written(rest.withColumn("free", F.col("label") != F.col("first_label")).drop("first_label"), "near-rest")
     k = 0
     while True:
@@ -189,14 +214,17 @@ def one_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     (row,) = own_names(df, "row")
     rows = written(df.withColumn(row, F.monotonically_increasing_id()), "near-rows")
     slim = rows.select(F.col(row).alias("row"), F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    prints = text_column("struct<cls long, n int, bands array<long>>", make_prints)(F.col("text"))
+    prints = text_column("struct<cls long, n int, fp long, bands array<long>>", make_prints)(F.col("text"))
     first = F.struct(F.col("id").isNull().alias("none"), "id", F.xxhash64("text").alias("h"), "row")
     prints = written(slim.select(first.alias("first"), prints.alias("p")).select("first", "p.*"), "near-prints")
-    classes = written(prints.groupBy("cls").agg(F.min("first").alias("first")), "near-classes")
-    members = keyed(prints)
-    holders = classes.join(members.select("cls").distinct(), "cls", "left_semi").select("cls", "first.row")
+    classes = written(prints.groupBy("cls").agg(F.min("first").alias("first"), F.min("n").alias("n"), F.min("fp").alias("fp")), "near-classes")
+    members, pairs = keyed(prints), simhash_pairs(classes)
+    compared = members.select("cls").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    holders = classes.join(compared, "cls", "left_semi").select("cls", "first.row")
     sets = written(slim.join(holders, "row").select("cls", text_column(SET, make_sets)(F.col("text")).alias("s")).select("cls", "s.*"), "near-sets")
-    labels = components(links(able_members(members, sets), sets))
+    known = near(pairs, sets)
+    members = named(members.drop("label"), components(known), "cls", "label")
+    labels = components(known.union(links(able_members(members, sets), sets, known)))
     labelled = classes.join(labels, F.col("cls") == F.col("node"), "left").select("first", F.coalesce("label", "cls").alias("label"))
     keep = labelled.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
     return rows.join(keep, row, "left_semi").drop(row)
