@@ -17,6 +17,11 @@ from yardlake.session import ship
 
 #: Text bytes that a Python worker handles at once, unless one row alone has more.
 SLICE_BYTES = 1 << 20
+#: Tasks that write a table of ids and labels, for each core of the cluster, at most.
+TASKS_PER_CORE = 4
+#: Of writes to the shared folder, where it is a local one or mounted: no checksum file beside each file. Without Hadoop's native library a process
+#: (chmod) is started for each file and folder that is made, and while it starts it counts as one more of the JVM's size. Other stores are not touched.
+RAW = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,10 +91,13 @@ def own_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """df written to the shared folder and read again: cuts the lineage, outlives executors."""
+def written(df: DataFrame, what: str, narrow: bool = False) -> DataFrame:
+    """df written to the shared folder and read again: cuts the lineage, outlives executors. narrow: rows of ids and labels, which go to
+    TASKS_PER_CORE files a core at most, however many partitions the shuffle before has."""
     spark, path = df.sparkSession, scratch(df.sparkSession, what)
-    df.write.parquet(path)
+    if narrow:
+        df = df.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    df.write.options(**RAW).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -113,15 +121,16 @@ def crc_of_id(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
 
 
-def slices(texts: pa.Array, rows: int | None = None) -> Iterator[pa.Array]:
-    """The texts cut so that each piece has about SLICE_BYTES at most, and so many rows if given."""
-    each = max(1, min(int(len(texts) * SLICE_BYTES / max(texts.nbytes, 1)), rows or len(texts)))
+def slices(texts: pa.Array, rows: int | None = None, size: int | None = None) -> Iterator[pa.Array]:
+    """The texts cut so that each piece has about `size` bytes (SLICE_BYTES) at most, and so many rows if given."""
+    each = max(1, min(int(len(texts) * (size or SLICE_BYTES) / max(texts.nbytes, 1)), rows or len(texts)))
     for at in range(0, len(texts), each):
         yield texts.slice(at, each)
 
 
-def text_column(returns: str, make: Callable[[], Callable[[list], pa.Array]], rows: int | None = None) -> Callable[[Column], Column]:
-    """A column function of texts. make() runs once a task and gives list of texts (None: null) -> results; rows: texts of a list, at most.
+def text_column(returns: str, make: Callable[[], Callable[[list], pa.Array]], rows: int | None = None, size: int | None = None) -> Callable[[Column], Column]:
+    """A column function of texts. make() runs once a task and gives list of texts (None: null) -> results; rows: texts of a list, at most;
+    size: their bytes, if fewer than SLICE_BYTES.
 
     Marked as not deterministic only so that a filter on its result doesn't make Spark run it twice.
     """
@@ -129,7 +138,7 @@ def text_column(returns: str, make: Callable[[], Callable[[list], pa.Array]], ro
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = make()
         for texts in batches:
-            parts = [work(part.to_pylist()) for part in slices(texts, rows)]
+            parts = [work(part.to_pylist()) for part in slices(texts, rows, size)]
             yield pa.concat_arrays(parts) if parts else pa.nulls(0)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

@@ -17,18 +17,18 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = links.columns
     links = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
-    links = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    links = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links", narrow=True)
     rounds = []
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
         rank = lambda c: F.struct(F.xxhash64(F.lit(len(rounds)), c).alias("h"), F.col(c).alias("node"))  # noqa: E731, B023
         least = both.groupBy(F.col("a").alias("node")).agg(F.min(rank("b")).alias("m"))
-        taken = written(least.select("node", F.least(F.col("m"), rank("node"))["node"].alias("label")), "components")
+        taken = written(least.select("node", F.least(F.col("m"), rank("node"))["node"].alias("label")), "components", narrow=True)
         rounds.append(taken)
         for end in ("a", "b"):
             links = links.join(taken.select(F.col("node").alias(end), F.col("label").alias(f"{end}2")), end)
         links = links.select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).where("a <> b").distinct()
-        links = written(links, "links")
+        links = written(links, "links", narrow=True)
     if not rounds:
         return links.select(F.col("a").alias("node"), F.col("b").alias("label"))
     out = rounds[0]

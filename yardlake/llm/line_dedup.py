@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from yardlake.session import ship
 
-from .common import own_names, remove, scratch, written
+from .common import RAW, own_names, remove, scratch, written
 
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -51,7 +51,7 @@ class LineRuns:
         name = f"{self.name}_{self.made}"
         self.made += 1
         self.there.add(name)
-        run.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.folder}/{name}").format("parquet").saveAsTable(name)
+        run.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).options(**RAW).option("path", f"{self.folder}/{name}").format("parquet").saveAsTable(name)
         return name
 
     def _drop(self, name: str) -> None:
@@ -134,7 +134,7 @@ def repeated(lines: DataFrame, batches: int = BATCHES) -> DataFrame:
     spark = lines.sparkSession
     runs = LineRuns(spark)
     kept = scratch(spark, "lines")
-    lines.withColumn("batch", F.pmod(F.xxhash64("doc"), F.lit(batches))).write.partitionBy("batch").parquet(kept)
+    lines.withColumn("batch", F.pmod(F.xxhash64("doc"), F.lit(batches))).write.partitionBy("batch").options(**RAW).parquet(kept)
     lines = spark.read.schema("doc long, r1 long, r2 long, pos int, h1 long, h2 long, batch int").parquet(kept)
     try:
         for batch in range(batches):

@@ -118,20 +118,20 @@ def near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     # shared / (a + b - shared) >= 4 / 5
     found = both.where(9 * F.size(F.array_intersect("set_a", "set_b")) >= 4 * (F.size("set_a") + F.size("set_b")))
-    return written(found.select("a", "b"), "near-links")
+    return written(found.select("a", "b"), "near-links", narrow=True)
 
 
 def simhash_pairs(classes: DataFrame) -> DataFrame:
     """Candidates a, b by operator 5. classes: cls, n, fp. Classes of one fingerprint make a pair with the least of them, and
     the least ones of two fingerprints that operator 5 links make one, so pairs are no more than classes and links."""
     known = classes.where("n > 0").select("cls", "n", "fp")
-    least = written(known.groupBy("fp").agg(F.min(F.struct("cls", "n")).alias("head")).select("fp", "head.*"), "near-fingerprints")
+    least = written(known.groupBy("fp").agg(F.min(F.struct("cls", "n")).alias("head")).select("fp", "head.*"), "near-fingerprints", narrow=True)
     side = lambda c, fp: least.select(F.col("fp").alias(fp), F.col("cls").alias(c), F.col("n").alias(f"n_{c}"))
     equal = known.toDF("b", "n_b", "fp").join(side("a", "fp"), "fp").where("a <> b")
     linked = simhash.links(least.select("fp")).toDF("fp_a", "fp_b").join(side("a", "fp_a"), "fp_a").join(side("b", "fp_b"), "fp_b")
     both = equal.select("a", "n_a", "b", "n_b").union(linked.select("a", "n_a", "b", "n_b"))
     able = both.where("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
-    return written(able.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-candidates")
+    return written(able.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-candidates", narrow=True)
 
 
 def near_pairs(members: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def chosen(members: DataFrame, slot: Column) -> DataFrame:
     all keys, so that the same few classes head many of them."""
     carried = ["cls", "label", *[c for c in CARRIED if c != "apart"]]
     heads = members.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("apart", F.xxhash64("cls").alias("h"), *carried)).alias("head"))
-    return written(heads.select("key", *[F.col(f"head.{c}").alias(f"head_{c}") for c in carried]), "near-heads")
+    return written(heads.select("key", *[F.col(f"head.{c}").alias(f"head_{c}") for c in carried]), "near-heads", narrow=True)
 
 
 def links(members: DataFrame, sets: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -198,7 +198,7 @@ def able_members(members: DataFrame, sets: DataFrame) -> DataFrame:
     key asks least.
     """
     holders = sets.select("cls", F.explode("set").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.min("cls").alias("cls"))
-    own = written(holders.where("held = 1").groupBy("cls").agg(F.count(F.lit(1)).alias("own")), "near-own")
+    own = written(holders.where("held = 1").groupBy("cls").agg(F.count(F.lit(1)).alias("own")), "near-own", narrow=True)
     counted = members.join(own, "cls", "left").withColumn("own", F.coalesce("own", F.lit(0)))
     least = counted.groupBy("key").agg(F.min("n").alias("least"))
     able = counted.join(least, "key").where("9 * (n - own) >= 4 * (n + least)")
@@ -217,7 +217,7 @@ def one_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     prints = text_column("struct<cls long, n int, fp long, bands array<long>>", make_prints)(F.col("text"))
     first = F.struct(F.col("id").isNull().alias("none"), "id", F.xxhash64("text").alias("h"), "row")
     prints = written(slim.select(first.alias("first"), prints.alias("p")).select("first", "p.*"), "near-prints")
-    classes = written(prints.groupBy("cls").agg(F.min("first").alias("first"), F.min("n").alias("n"), F.min("fp").alias("fp")), "near-classes")
+    classes = written(prints.groupBy("cls").agg(F.min("first").alias("first"), F.min("n").alias("n"), F.min("fp").alias("fp")), "near-classes", narrow=True)
     members, pairs = keyed(prints), simhash_pairs(classes)
     compared = members.select("cls").union(pairs.select("a")).union(pairs.select("b")).distinct()
     holders = classes.join(compared, "cls", "left_semi").select("cls", "first.row")

@@ -23,6 +23,8 @@ from .common import at_most, slices, struct_of, text_column, written
 
 ORDERS = (3, 4, 5, 6)
 BINS = 1 << 20
+#: Text bytes whose n-grams a worker holds at once; they take some 120 times as much.
+FEATURE_BYTES = 1 << 18
 #: What folds of the training rows choose from: the evidence (standard errors that a ratio is from none) from which a feature
 #: counts, and the ridge. A feature must at least double or halve the odds (LEAST_RATIO): in large corpora whatever two labels differ in has
 #: evidence, as documents repeat each other. Nothing fixes the number of features.
@@ -98,7 +100,7 @@ def counts(train: DataFrame) -> DataFrame:
         for batch in batches:
             labels = np.array(batch.column("label").to_pylist(), np.int64)
             at = 0
-            for texts in slices(batch.column("text")):
+            for texts in slices(batch.column("text"), size=FEATURE_BYTES):
                 owner, bins, _ = features(texts.to_pylist())
                 part = labels[at : at + len(texts)]
                 at += len(texts)
@@ -148,7 +150,7 @@ def fit(train: DataFrame) -> Model:
     def run(batches):
         for batch in batches:
             at = 0
-            for texts in slices(batch.column("text")):
+            for texts in slices(batch.column("text"), size=FEATURE_BYTES):
                 owner, found, times = features(texts.to_pylist(), wanted)
                 cuts = pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)), pa.int32())
                 lists = {name: pa.ListArray.from_arrays(cuts, pa.array(v, pa.int32())) for name, v in (("bins", found), ("times", times))}
@@ -243,7 +245,7 @@ def score(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity
 
         return work
 
-    return df.withColumn(into, text_column("score double, predicted int", make)(F.col(text)))
+    return df.withColumn(into, text_column("score double, predicted int", make, size=FEATURE_BYTES)(F.col(text)))
 
 
 #: Labelled documents that are learned from, at most (24 bytes each, broadcast); of more, those of the lowest hashes.
