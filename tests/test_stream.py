@@ -1,7 +1,10 @@
 """Streams give what the batch operators give, however the events fall into batches."""
 
+import os
 from datetime import datetime, timedelta
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -282,3 +285,38 @@ def test_late_rows_and_future_dates(spark, tmp_path):
     ingest.start_silver(spark, "gate", root, ingest.ONCE).awaitTermination()
     got = read_appended(spark, f"{root}/silver/gate", service.silver_schema("gate"))
     assert [r.kafka_offset for r in got.orderBy("kafka_offset").collect()] == [1, 3]
+
+
+def equal_to_sql(spark, name, folder, files):
+    """Whether a query over events in these files, (event_id, ts, user_id, event_type) each, gives the rows of its SQL."""
+    from test_queries import rows_of
+
+    from yardlake.plans import queries, streamed  # noqa: F401
+
+    os.makedirs(folder / "events.parquet")
+    for i, rows in enumerate(files):
+        pd.DataFrame(rows, columns=["event_id", "ts", "user_id", "event_type"]).astype({"ts": "datetime64[us]"}).to_parquet(folder / "events.parquet" / f"{i}.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{folder}/events.parquet/*.parquet')")
+    got, want = queries.QUERIES[name](spark, str(folder)).toPandas(), con.execute(queries.ORACLE_SQL[name]).df()
+    return len(want) > 0 and rows_of(got) == rows_of(want)
+
+
+def test_ties_are_those_of_the_sql(spark, tmp_path):
+    """Events of one container, time and type: where a record lay in the topic is part of the ids that say which counts."""
+    kinds = ["view", "click", "error"]
+    assert equal_to_sql(spark, "stream_status", tmp_path, [[(i, datetime(2024, 1, 5, 12), i // 20, kinds[i % 3]) for i in range(600)]])
+
+
+def test_no_event_of_many_files_is_late(spark, tmp_path):
+    """A query over whole tables reads all of bronze in one batch, however many files it has."""
+    day = lambda part: datetime(2024, 1, 30) - timedelta(days=8 + part // 10 if part % 10 else 0)
+    files = [[(2 * part + i, day(part) + timedelta(minutes=i), part, kind) for i, kind in enumerate(("signup", "purchase"))] for part in range(210)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:  # a task, and so a file of bronze, for each file
+            spark.conf.set(k, "64k")
+        assert equal_to_sql(spark, "stream_cycles", tmp_path, files)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

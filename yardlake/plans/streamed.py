@@ -34,14 +34,15 @@ def envelopes(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     )
 
 
-def ingested(spark: SparkSession, sf_dir: str, kinds, id_of: str = "business") -> str:
-    """The root of a lake that holds bronze and silver of these kinds, each made by its streams."""
+def ingested(spark: SparkSession, sf_dir: str, kinds, id_of: str = "replay") -> str:
+    """The root of a lake that holds bronze and silver of these kinds, each made by its streams. Ids are those of the SQL: each record counts, and
+    events of one time and type are told apart by where they lay in the topic."""
     root = scratch(spark)
     for kind in kinds:
         topic = TOPICS[kind]
         publish(envelopes(spark, sf_dir, kind), f"{root}/topics/{topic}")
         ingest.start_bronze(envelope_stream(spark, f"{root}/topics/{topic}", ALL_FILES), topic, root, ingest.ONCE).awaitTermination()
-        ingest.start_silver(spark, kind, root, ingest.ONCE, id_of).awaitTermination()
+        ingest.start_silver(spark, kind, root, ingest.ONCE, id_of, ALL_FILES).awaitTermination()
     return root
 
 
@@ -55,7 +56,7 @@ KEYED = " AND container_no_raw IS NOT NULL"
 
 @query(silver_sql("gate", "event_type_norm").replace("SELECT event_id,", "SELECT CAST(event_id AS VARCHAR) AS event_id,") + KEYED)
 def stream_silver_gate(spark, sf):
-    return silver_of(spark, ingested(spark, sf, ["gate"], "replay"), "gate").select(*SILVER, "event_type_norm")
+    return silver_of(spark, ingested(spark, sf, ["gate"]), "gate").select(*SILVER, "event_type_norm")
 
 
 @query("SELECT * FROM cycles")

@@ -45,11 +45,11 @@ def start_bronze(envelopes: DataFrame, topic: str, root: str, trigger: dict = IN
     return rows.writeStream.queryName(f"bronze {topic}").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def silver_stream(spark: SparkSession, kind: str, root: str, id_of: str = "business") -> DataFrame:
+def silver_stream(spark: SparkSession, kind: str, root: str, id_of: str = "business", files_per_trigger: int = 100) -> DataFrame:
     """Accepted, deduplicated events of the bronze table as a stream. By default an event that a feed publishes again counts
     once; id_of `replay` removes re-reads of a record only."""
     topic = TOPICS[kind]
-    rows = table_stream(spark, f"{root}/bronze/{topic}", bronze_schema(topic))
+    rows = table_stream(spark, f"{root}/bronze/{topic}", bronze_schema(topic), files_per_trigger)
     return silver.deduplicated(silver.silver(rows, kind, id_of, latest=F.col("bronze_ingest_time") + F.expr(AHEAD)))
 
 
@@ -58,11 +58,11 @@ class NewColumns(Exception):
     the checkpoint reads it again, with them."""
 
 
-def start_silver(spark: SparkSession, kind: str, root: str, trigger: dict = INGEST_TRIGGER, id_of: str = "business") -> StreamingQuery:
+def start_silver(spark: SparkSession, kind: str, root: str, trigger: dict = INGEST_TRIGGER, id_of: str = "business", files_per_trigger: int = 100) -> StreamingQuery:
     """Rows are counted on the way by observe(), not by a job of their own. Ends with NewColumns when bronze gets some: a table's columns are
     known before the batch that brings them is there."""
     source = f"{root}/bronze/{TOPICS[kind]}"
-    rows = silver_stream(spark, kind, root, id_of).observe(f"silver_{kind}", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("container_no_norm").isNull()).alias("null_container"))
+    rows = silver_stream(spark, kind, root, id_of, files_per_trigger).observe(f"silver_{kind}", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("container_no_norm").isNull()).alias("null_container"))
 
     checkpoint = f"{root}/checkpoints/silver/{kind}"
 
