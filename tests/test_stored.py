@@ -1,6 +1,7 @@
 """Layout by day, touched days, footers, offsets, unknown fields, sketches and tallies: what the plans and files say."""
 
 import json
+import os
 import random
 from datetime import date, datetime, timedelta
 
@@ -232,3 +233,36 @@ def test_a_file_of_a_topic_holds_few_offsets(spark, tmp_path):
     assert sum(map(len, found)) == 1000 and max(map(len, found)) <= 100
     spans = sorted((f["partition"].min(), f["offset"].min(), f["partition"].max(), f["offset"].max()) for f in found)
     assert all((a[2], a[3]) < (b[0], b[1]) for a, b in zip(spans, spans[1:], strict=False) if a[0] == a[2])
+
+
+def test_a_trigger_lists_the_topic_once(spark, tmp_path):
+    """Also a query that starts with a batch that was planned before finds its files."""
+    for part in range(3):
+        publish(envelopes(spark, *[(0, o) for o in range(10 * part, 10 * part + 10)]), f"file://{tmp_path}/topic", 1)
+    listed = []
+
+    class Reader(EnvelopeReader):
+        def files(self):
+            listed.append(1)
+            return super().files()
+
+    options = {"path": f"file://{tmp_path}/topic", "checkpoint": f"file://{tmp_path}/cp", "records": "15"}
+    reader = Reader(options)
+    start, end = reader.initialOffset(), reader.latestOffset()
+    assert [(p.start, p.end, len(p.files)) for p in reader.partitions(start, end)] == [(0, 15, 2)] and len(listed) == 1
+    assert [(p.start, p.end, len(p.files)) for p in Reader(options).partitions(start, end)] == [(0, 15, 2)]
+
+
+def test_small_batches(spark, tmp_path):
+    """Written by the tasks, once, over what a failed attempt left; columns that come later are the table's; a batch without rows is there too."""
+    root, seen = f"file://{tmp_path}/t", {}
+    os.makedirs(tmp_path / "t" / "_new-0")
+    (tmp_path / "t" / "_new-0" / "part-00009.parquet").write_text("left by a failure")
+    rows = spark.range(20).select("id", F.timestamp_seconds("id").alias("t")).repartition(3)
+    assert sinks.append_batch(rows, root, 0, small=True, seen=seen) and not sinks.append_batch(rows, root, 0, small=True, seen=seen)
+    assert sinks.append_batch(rows.where("id < 0"), root, 1, small=True, seen=seen)
+    assert sinks.append_batch(rows.withColumn("more", F.lit("x")), root, 2, small=True, seen=seen)
+    got = sinks.read_appended(spark, root)
+    assert got.columns == ["id", "t", "more"] and got.count() == 40
+    assert sorted(got.where("more is null").drop("more").collect()) == sorted(rows.collect())
+    assert sorted(f.name for f in (tmp_path / "t").iterdir() if f.name.startswith("batch_id")) == ["batch_id=0", "batch_id=1", "batch_id=2"]

@@ -12,6 +12,7 @@ from yardlake.plans.given import as_of, at
 from yardlake.plans.queries import SHOWN, query, staging
 from yardlake.plans.streamed import ALL_FILES, envelopes, ingested, scratch
 from yardlake.schemas import GATE_TYPES, TOPICS, TYPES_OF_KIND
+from yardlake.session import lone_checkpoints
 from yardlake.sources import sinks
 from yardlake.sources.envelopes import offset_stream
 from yardlake.sources.tables import ROW, between, envelope_stream, on_days, staging_csv, table_stream
@@ -392,17 +393,22 @@ def stream_by_offsets(spark, sf):
     rows = rows.withColumn("block", F.shiftright("kafka_offset", 16))  # one partition of a topic is a sequence, numbered by blocks
     before = F.sum("n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.join(rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")).select("block", F.coalesce(before, F.lit(0)).alias("before")), "block")
+    seen = {}
     place = F.col("before") + F.row_number().over(Window.partitionBy("block").orderBy("kafka_offset")) - 1
     sent = rows.select(F.col("container_no_raw").alias("key"), F.col("kafka_offset").cast("string").alias("value"), "topic", F.col("kafka_partition").alias("partition"), place.cast("long").alias("offset"), at("2024-06-01 00:00:00").alias("timestamp"))
+    sinks.append_batch(sent, f"{root}/sent", 0)  # read twice for each of two parts
+    sent = sinks.read_appended(spark, f"{root}/sent")
     for part in (sent.where("offset < 700"), sent.where("offset >= 700")):
         sinks.publish(part, f"{root}/topic", records=FILE_RECORDS)
-        write = lambda df, i: sinks.append_batch(df.select(F.col("value").cast("long").alias("v"), F.lit(i).cast("long").alias("run")), f"{root}/out", i) and None
+        # the run is text, as Spark writes numbers into the code that it compiles, anew for each
+        write = lambda df, i: sinks.append_batch(df.selectExpr("cast(value as long) as v", f"'{i}' as run"), f"{root}/out", i, small=True, seen=seen) and None
         stream = offset_stream(spark, f"{root}/topic", f"{root}/checkpoint", 500)
-        running = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint").trigger(processingTime="0 seconds").start()
+        with lone_checkpoints(spark):
+            running = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint").trigger(processingTime="0 seconds").start()
         running.processAllAvailable()
         running.stop()
-    got = sinks.read_appended(spark, f"{root}/out", "v long, run long")
-    return got.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("first_offset"), F.max("v").alias("last_offset"))
+    got = sinks.read_appended(spark, f"{root}/out", "v long, run string")
+    return got.groupBy(F.col("run").cast("long").alias("run")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("first_offset"), F.max("v").alias("last_offset"))
 
 
 @query(f"""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'S' || event_id END AS seal, CASE WHEN event_id % 4 = 1 THEN (event_id * 2)::VARCHAR END AS weight, event_id % 4 < 2 AS has_more

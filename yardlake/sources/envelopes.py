@@ -85,10 +85,17 @@ class EnvelopeReader(DataSourceStreamReader):
         self.known = {f: h for f, h in self.known.items() if f in there}
         return [h for f in files for h in self.known[f]]
 
+    def holding(self, partition: int, begin: int, stop: int) -> list[str]:
+        """The files that hold these offsets of a partition. latestOffset() has just looked for new ones; where it has not, as in a query that starts
+        with a batch that was planned before, they are looked for here."""
+        if not any(h.partitions[0] <= partition <= h.partitions[1] and h.offsets[1] >= stop - 1 for held in self.known.values() for h in held):
+            self.held()
+        return sorted({h.file for held in self.known.values() for h in held if h.partitions[0] <= partition <= h.partitions[1] and h.offsets[0] < stop and h.offsets[1] >= begin})
+
     def ends(self) -> dict[int, int]:
         """The offset behind the last one of each partition. Files that hold several partitions are asked which."""
         out: dict[int, int] = {}
-        system, _ = self.files()
+        system, _ = fs.FileSystem.from_uri(self.folder)
         for h in self.held():
             low, high = h.partitions
             if low == high:
@@ -116,12 +123,11 @@ class EnvelopeReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[Offsets]:
         self.reached = end
-        out, held = [], self.held()
+        out = []
         for p, stop in ((int(k), v) for k, v in end["next"].items()):
             begin = int(start["next"].get(str(p), self.first.get(p, 0)))
             if begin < stop:
-                files = sorted({h.file for h in held if h.partitions[0] <= p <= h.partitions[1] and h.offsets[0] < stop and h.offsets[1] >= begin})
-                out.append(Offsets(p, begin, stop, files))
+                out.append(Offsets(p, begin, stop, self.holding(p, begin, stop)))
         return out
 
     def read(self, partition: Offsets) -> Iterator[pa.RecordBatch]:

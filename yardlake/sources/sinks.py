@@ -8,14 +8,20 @@ keyed table that grows with its streams is a list of runs, merged where they are
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
-from functools import reduce
+from collections.abc import Callable, Iterator
+from functools import partial, reduce
 from operator import and_
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from yardlake.session import ship
+
 KEEP = 3
 
 
@@ -95,23 +101,57 @@ def query_of(spark: SparkSession, checkpoint: str) -> str:
 DAY = "event_day"
 
 
-def append_batch(df: DataFrame, folder: str, batch_id: int, query: str = "", day_of: str | None = None) -> bool:
+def write_part(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's rows as one file, of the same name in each attempt; its number of rows."""
+    task = TaskContext.get()
+    system, root = fs.FileSystem.from_uri(folder)
+    aside, name, n, writer = f"{root}/_{task.partitionId()}-{task.taskAttemptId()}", f"part-{task.partitionId():05d}.parquet", 0, None
+    for batch in batches:
+        if batch.num_rows:
+            if writer is None:
+                system.create_dir(root, recursive=True)
+                writer = pq.ParquetWriter(aside, batch.schema, filesystem=system)
+            writer.write_batch(batch)
+            n += batch.num_rows
+    if writer is not None:
+        writer.close()
+        system.move(aside, f"{root}/{name}")
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+
+def write_small(df: DataFrame, folder: str) -> None:
+    """A batch of few rows as Parquet, a file for each task that has some, in a folder that is not there. Spark's own writer sends the settings of the
+    file system to every task and makes, moves and marks folders, which takes longer than the rows of such a batch. folder: a URI that Arrow's file
+    systems know."""
+    ship(df.sparkSession)
+    if not df.mapInArrow(partial(write_part, folder), "n long").collect():
+        make_folder(df.sparkSession, folder)
+
+
+def append_batch(df: DataFrame, folder: str, batch_id: int, query: str = "", day_of: str | None = None, small: bool = False, seen: dict | None = None) -> bool:
     """Rows of one batch, once: the batch is written aside and renamed into the table, so a reader sees all of it or
     nothing, and a batch that is there already is not written again. New columns are added to the table's. False: it was
     there. query: see query_of(); a batch is known by it and its number. day_of: a column of times, by whose dates the batch is laid out
-    in folders (read_days() reads them). (On stores without an atomic rename of folders, a reader
-    must wait for the batch's _SUCCESS file.)"""
+    in folders (read_days() reads them). small: the batch has few rows, see write_small(). seen: kept by a query from batch to batch, so that it reads the
+    table's columns, which only grow, for batches with new ones alone. (On stores without an atomic rename of folders, a reader
+    must wait for the batch's _SUCCESS file, which small ones don't have.)"""
     spark, name = df.sparkSession, f"{query}-{batch_id}" if query else f"{batch_id}"
     files, place, aside = Files(spark, folder), f"{folder}/batch_id={name}", f"{folder}/_new-{name}"
     if files.exists(place):
         return False
-    known = columns_of(spark, folder)
-    if (now := widened(known, df.schema)) != known:
-        files.put(f"{folder}/{SCHEMA}", now.json())
+    seen, own = {} if seen is None else seen, df.schema
+    if folder not in seen or widened(seen[folder], own) != seen[folder]:
+        known = columns_of(spark, folder)
+        if (now := widened(known, own)) != known:
+            files.put(f"{folder}/{SCHEMA}", now.json())
+        seen[folder] = now
     if day_of:
         # a day's rows of a batch meet in one task, so that a batch has a file a day and not one for each task and day
         dealt = df.withColumn(DAY, F.to_date(day_of)).repartition(DAY)
         dealt.sortWithinPartitions(day_of).write.mode("overwrite").partitionBy(DAY).parquet(aside)
+    elif small:
+        files.delete(aside)
+        write_small(df, aside)
     else:
         df.write.mode("overwrite").parquet(aside)
     files.move(aside, place)
